@@ -12,6 +12,7 @@ from datetime import timedelta
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tierloom.operators.skew import with_slices
 from tierloom.operators.windows import _columns, latest_per_key, neighbours
 
 Names = str | Sequence[str]
@@ -74,12 +75,12 @@ def scd2_history(log: DataFrame, key: Names, ts: str, columns: Names, tie_break:
     Repeats without a change open no version. A version ends where the next one starts.
     """
     keys, tracked = _columns(key), _columns(columns)
+    state = F.struct(*tracked)
     ordered = log.select(*dict.fromkeys([*keys, ts, *tie_break, *tracked]))
-    seen = neighbours(ordered, keys, ts, F.struct(*tracked), tie_break, **skew)
-    changed = seen.where(
-        F.col("__before").isNull() | ~F.col("__before").eqNullSafe(F.struct(*tracked))
-    ).drop("__before", "__after")
-    dated = neighbours(changed, keys, ts, F.struct(F.col(ts).alias("ts")), tie_break, **skew)
+    sliced, hot = with_slices(ordered, keys, ts, **skew)
+    seen = neighbours(sliced, hot, keys, ts, state, tie_break)
+    changed = seen.where(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(state)).drop("__before", "__after")
+    dated = neighbours(changed, hot, keys, ts, F.struct(F.col(ts).alias("ts")), tie_break)
     return dated.select(
         *keys,
         *tracked,
@@ -97,19 +98,18 @@ def scd2_apply(
     Only the versions that a batch can affect are rebuilt: for each key those that are open, or closed at or after
     its first batch row. A row that falls inside a closed version splits it. The table no longer holds the repeats
     that opened no version; if such a repeat followed the late row, only the change log knows it. Given ``log`` (the
-    earlier changes), the keys with late rows are rebuilt from it.
+    earlier changes), the keys with batch rows older than their last logged change are rebuilt from it.
     """
     keys, tracked = _columns(key), _columns(columns)
     changes = batch.select(*keys, ts, *tracked)
     firsts = changes.groupBy(*keys).agg(F.min(ts).alias("__first"))
     rebuilt_late = None
     if log is not None:
-        late = (
-            dim.where("is_current").join(firsts, keys).where(F.col("__first") < F.col("effective_date")).select(*keys)
-        )
+        logged = log.join(firsts, keys).groupBy(*keys).agg(F.min("__first").alias("__first"), F.max(ts).alias("__last"))
+        late = logged.where(F.col("__first") < F.col("__last")).select(*keys)
         rebuilt_late = scd2_history(
             log.select(*keys, ts, *tracked).unionByName(changes).join(late, keys, "left_semi"),
-            keys, ts, tracked, **skew,
+            keys, ts, tracked, profile=log.select(*keys, ts), **skew,
         )
         dim = dim.join(late, keys, "left_anti")
         changes = changes.join(late, keys, "left_anti")
@@ -119,7 +119,8 @@ def scd2_apply(
     points = matched.where(reached).select(*keys, F.col("effective_date").alias(ts), *tracked)
     # At equal times the batch row comes after the version it corrects.
     line = points.withColumn("__order", F.lit(0)).unionByName(changes.withColumn("__order", F.lit(1)))
-    rebuilt = scd2_history(line, keys, ts, tracked, ["__order"], **skew)
+    loads = dim.select(*keys, F.col("effective_date").alias(ts)).unionByName(batch.select(*keys, ts))
+    rebuilt = scd2_history(line, keys, ts, tracked, ["__order"], profile=loads, **skew)
     out = untouched.unionByName(rebuilt)
     return out if rebuilt_late is None else out.unionByName(rebuilt_late)
 

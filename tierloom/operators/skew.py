@@ -31,17 +31,24 @@ MIN_ROWS = 2_000_000
 
 
 def with_slices(
-    df: DataFrame, key: Sequence[str], order_by: str, share: float = SHARE, min_rows: int = MIN_ROWS
+    df: DataFrame,
+    key: Sequence[str],
+    order_by: str,
+    share: float = SHARE,
+    min_rows: int = MIN_ROWS,
+    profile: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
     """Add the column :data:`SLICE`: 0 for ordinary keys, 1, 2, ... in order for the rows of a hot key.
 
     Returns the frame and whether there is any hot key. Which keys count as hot, and where they are cut, changes
-    only the work per task and never the result, so the counts may come from a sketch. The cuts are read once and
-    kept as literals, hence every later evaluation of the frame cuts in the same places.
+    only the work per task and never the result, so the counts may come from a sketch, and from ``profile`` if the
+    rows of ``df`` are costly to compute: a frame with the same key and order columns that needs no join. The cuts
+    are read once and kept as literals, hence every later evaluation of the frame cuts in the same places.
     """
     hashed = F.xxhash64(*key)
     top = int(1 / share)
-    found = df.select(hashed.alias(_HASH)).agg(
+    profile = df if profile is None else profile
+    found = profile.select(hashed.alias(_HASH)).agg(
         F.expr(f"approx_top_k({_HASH}, {top}, {min(1_000_000, 8 * top)})").alias("top"), F.count("*").alias("rows")
     )
     row = found.first()
@@ -52,7 +59,7 @@ def with_slices(
 
     position = clock_position(order_by, dict(df.dtypes)[order_by])
     cuts = (
-        df.select(hashed.alias(_HASH), position.alias("at"))
+        profile.select(hashed.alias(_HASH), position.alias("at"))
         .where(F.col(_HASH).isin(hot))
         .groupBy(_HASH)
         .agg(

@@ -27,19 +27,19 @@ def latest_per_key(
 
 
 def neighbours(
-    df: DataFrame, key: Sequence[str], ts: str, state: Column, tie_break: Sequence[str] = (), **skew
+    sliced: DataFrame, hot: bool, key: Sequence[str], ts: str, state: Column, tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Add the structs ``__before`` and ``__after``: the state of the previous and next row of the same key.
 
-    They are NULL only at the two ends of a key, also where the state itself is NULL.
+    They are NULL only at the two ends of a key, also where the state itself is NULL. The frame comes with its slices
+    from :func:`tierloom.operators.skew.with_slices`; at the ends of a slice the neighbouring slices answer.
     """
-    sliced, hot = with_slices(df, key, ts, **skew)
     group = [*key, SLICE]
     order = [ts, *tie_break]
     window = Window.partitionBy(*group).orderBy(*order)
     out = sliced.withColumns({"__before": F.lag(state).over(window), "__after": F.lead(state).over(window)})
     if not hot:
-        return out.drop(SLICE)
+        return out
     along = Window.partitionBy(*key).orderBy(SLICE)
     edges = (
         sliced.where(F.col(SLICE) > 0)
@@ -50,7 +50,7 @@ def neighbours(
     return (
         join_summaries(out, edges, group)
         .withColumns({"__before": F.coalesce("__before", "__carry"), "__after": F.coalesce("__after", "__next")})
-        .drop("__carry", "__next", SLICE)
+        .drop("__carry", "__next")
     )
 
 
@@ -58,12 +58,13 @@ def status_transitions(
     df: DataFrame, key: str | Sequence[str], ts: str, status: str, tie_break: Sequence[str] = (), **skew
 ) -> DataFrame:
     """Add ``prev_status``, ``next_status`` and ``status_changed`` (a previous status exists and differs)."""
-    state = F.struct(F.col(status).alias("status"))
+    keys = _columns(key)
+    sliced, hot = with_slices(df, keys, ts, **skew)
     return (
-        neighbours(df, _columns(key), ts, state, tie_break, **skew)
+        neighbours(sliced, hot, keys, ts, F.struct(F.col(status).alias("status")), tie_break)
         .withColumns({"prev_status": F.col("__before.status"), "next_status": F.col("__after.status")})
         .withColumn(
             "status_changed", F.col("prev_status").isNotNull() & (F.col("prev_status") != F.col(status))
         )
-        .drop("__before", "__after")
+        .drop("__before", "__after", SLICE)
     )
