@@ -112,7 +112,7 @@ def test_readers_and_tables(spark, tmp_path):
     assert readers.read_table(spark, "v_customers").count() == 2
     for name, body in (("b.txt", "two\n\nlines ü\n"), ("a.txt", "one")):
         (tmp_path / name).write_text(body, encoding="utf-8")
-    assert rows(readers.read_documents(spark, str(tmp_path / "*.txt"))) == [("a.txt", "one"), ("b.txt", "two\n\nlines ü\n")]
+    assert rows(readers.read_documents(spark, str(tmp_path / "*.txt")), "source", "text") == [("a.txt", "one"), ("b.txt", "two\n\nlines ü\n")]
 
 
 def test_stamp_is_one_value(spark):

@@ -39,25 +39,27 @@ def _in(window_col: str, label: str) -> Column:
     return F.col(window_col) == label
 
 
-def _window_means(df: DataFrame, window_col: str, features: Sequence[str]) -> DataFrame:
-    """Means of both windows, one row per feature; a feature without values has NULL means."""
-    known = {f: F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in features}
-    row = df.agg(
-        *[
-            F.avg(F.when(_in(window_col, label), column)).alias(f"{label}_{i}")
-            for i, column in enumerate(known.values())
-            for label in (BASELINE, CURRENT)
-        ]
+def _window_stats(df: DataFrame, window_col: str, features: Sequence[str]) -> DataFrame:
+    """Size and mean of both windows per feature, from one aggregate; a feature without values has NULL means."""
+    known = [F.nanvl(F.col(f).cast("double"), F.lit(None).cast("double")) for f in features]
+    aggregates, per_feature = [], []
+    for i, (name, column) in enumerate(zip(features, known)):
+        fields = [F.lit(name).alias("feature")]
+        for label in (BASELINE, CURRENT):
+            value = F.when(_in(window_col, label), column)
+            aggregates += [F.avg(value).alias(f"{label}_mean_{i}"), F.count(value).alias(f"{label}_rows_{i}")]
+            fields += [F.col(f"{label}_{part}_{i}").alias(f"{label}_{part}") for part in ("mean", "rows")]
+        per_feature.append(F.struct(*fields))
+    return df.agg(*aggregates).select(F.inline(F.array(*per_feature)))
+
+
+def _shifted(stats: DataFrame, threshold_pct: float, change: str) -> DataFrame:
+    """Add the percent change of the mean, infinite from a mean of 0, and whether it is beyond the threshold."""
+    after = F.col("current_mean")
+    from_zero = F.when(after != 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
+    return stats.withColumn(change, percent_change(F.col("baseline_mean"), after, from_zero)).withColumn(
+        "mean_shift_drift", F.coalesce(F.abs(change) > threshold_pct, F.lit(False))
     )
-    per_feature = [
-        F.struct(
-            F.lit(f).alias("feature"),
-            F.col(f"{BASELINE}_{i}").alias("baseline_mean"),
-            F.col(f"{CURRENT}_{i}").alias("current_mean"),
-        )
-        for i, f in enumerate(features)
-    ]
-    return row.select(F.inline(F.array(*per_feature)))
 
 
 def mean_shift(
@@ -67,13 +69,8 @@ def mean_shift(
 
     From a mean of 0 any change counts as infinite. All features share one scan and one aggregate.
     """
-    before, after = F.col("baseline_mean"), F.col("current_mean")
-    from_zero = F.when(after != 0, F.lit(float("inf"))).otherwise(F.lit(0.0))
-    return (
-        _window_means(df, window_col, features)
-        .withColumn("pct_change", percent_change(before, after, from_zero))
-        .withColumn("mean_shift_drift", F.coalesce(F.abs("pct_change") > threshold_pct, F.lit(False)))
-    )
+    stats = _window_stats(df, window_col, features).drop("baseline_rows", "current_rows")
+    return _shifted(stats, threshold_pct, "pct_change")
 
 
 def _running_counts(
@@ -113,24 +110,19 @@ def ks_drift(
     :data:`tierloom.functions.ks.EXACT_MAX_ROWS` rows get the exact p-value, larger ones the limiting one.
     """
     long = _long(df.where(F.col(window_col).isin(BASELINE, CURRENT)), [window_col], features)
-    counts = {
-        "n": F.count_if(_in(window_col, BASELINE)),
-        "m": F.count_if(_in(window_col, CURRENT)),
-    }
-    sizes = long.groupBy("feature").agg(counts["n"].alias("size_n"), counts["m"].alias("size_m"))
+    counts = {"n": F.count_if(_in(window_col, BASELINE)), "m": F.count_if(_in(window_col, CURRENT))}
+    stats = _window_stats(df, window_col, features)  # one row per listed feature
+    size_n, size_m = F.col("baseline_rows"), F.col("current_rows")
     gaps = (
         _running_counts(long, ["feature"], counts, **skew)
-        .join(F.broadcast(sizes), "feature")  # one row per listed feature
-        .groupBy("feature", "size_n", "size_m")
-        .agg(F.max(F.abs(F.try_divide("run_n", "size_n") - F.try_divide("run_m", "size_m"))).alias("ks_stat"))
-    )
-    means = _window_means(df, window_col, features)
-    p = F.coalesce(
-        exact_p("ks_stat", "size_n", "size_m"), series_p(F.col("ks_stat"), F.col("size_n"), F.col("size_m"))
+        .join(F.broadcast(stats.select("feature", "baseline_rows", "current_rows")), "feature")
+        .groupBy("feature")
+        .agg(F.max(F.abs(F.try_divide("run_n", size_n) - F.try_divide("run_m", size_m))).alias("ks_stat"))
     )
+    p = F.coalesce(exact_p("ks_stat", size_n, size_m), series_p(F.col("ks_stat"), size_n, size_m))
     change = percent_change(F.col("baseline_mean"), F.col("current_mean"), F.lit(float("nan")))
     return (
-        means.join(gaps, "feature", "left")
+        stats.join(gaps, "feature", "left")
         .withColumn("p_value", p)
         .select(
             "feature",
@@ -171,9 +163,10 @@ def combined_drift(
 ) -> DataFrame:
     """KS result per feature with the mean-shift flag; either one flags the feature."""
     ks = ks_drift(df, window_col, numeric, alpha, **skew)
-    shift = mean_shift(df, window_col, numeric, threshold_pct).select("feature", "mean_shift_drift")
-    return ks.join(shift, "feature").withColumn(
-        "combined_drift", F.col("drift_detected") | F.col("mean_shift_drift")
+    return (
+        _shifted(ks, threshold_pct, "__change")
+        .drop("__change")
+        .withColumn("combined_drift", F.col("drift_detected") | F.col("mean_shift_drift"))
     )
 
 
@@ -204,16 +197,14 @@ def describe(df: DataFrame, group: Sequence[str], features: Sequence[str], **ske
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    running = _running_counts(long, keys, {"rows": F.count("*")}, **skew).join(
-        basics.select(*keys, "count"), keys
-    )
+    running = _running_counts(long, keys, {"rows": F.count("*")}, **skew).join(basics, keys)
     quartiles = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
     first, last = F.col("run_rows") - F.col("rows"), F.col("run_rows") - 1
 
     def value_at(rank: Column) -> Column:
         return F.max(F.when((first <= rank) & (rank <= last), F.col("value")))
 
-    picked = running.groupBy(*keys, "count").agg(
+    picked = running.groupBy(*basics.columns).agg(
         *[
             value_at(edge((F.col("count") - 1) * share)).alias(f"{name}_{side}")
             for name, share in quartiles.items()
@@ -226,7 +217,6 @@ def describe(df: DataFrame, group: Sequence[str], features: Sequence[str], **ske
         low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
         return low + (high - low) * (rank - F.floor(rank))
 
-    quartile_rows = picked.select(*keys, *[interpolated(n, s).alias(n) for n, s in quartiles.items()])
-    return basics.join(quartile_rows, keys).select(
-        *keys, "count", "mean", "std", "min", *quartiles, "max"
+    return picked.select(
+        *keys, "count", "mean", "std", "min", *[interpolated(n, s).alias(n) for n, s in quartiles.items()], "max"
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierloom.operators.joins import BROADCAST_ROWS
 from tierloom.operators.keyed import high_water_mark, upsert_newest
 from tierloom.operators.skew import SLICE, join_summaries, with_slices
 from tierloom.operators.windows import latest_per_key
@@ -86,7 +87,7 @@ def historical_features(
     """
     names = spec.resolve(features)
     at, created, key = spec.timestamp_field, spec.created_field, spec.key
-    typed = spec.apply(view_df)
+    typed = spec.apply(_reachable(entities, view_df, spec, ts))
     value = F.struct(F.col(at).alias("at"), *names)
     known = typed.select(
         key, F.col(at).alias("__ts"), F.lit(0).alias("__side"), F.col(created).alias("__created"),
@@ -117,6 +118,26 @@ def historical_features(
     )
 
 
+def _reachable(entities: DataFrame, view_df: DataFrame, spec: FeatureView, ts: str) -> DataFrame:
+    """Feature rows that some entity row could get: in its time range, and of its keys if those are few.
+
+    The time bounds are read first, so that they reach the scan as literals.
+    """
+    at = F.col(spec.timestamp_field)
+    dtype = view_df.schema[spec.timestamp_field].dataType
+    asked = entities.agg(
+        F.min(ts).cast("string").alias("first"), F.max(ts).cast("string").alias("last"), F.count("*").alias("rows")
+    ).first()
+    if asked["first"] is None:
+        return view_df
+    reachable = view_df.where(at <= F.lit(asked["last"]).cast(dtype))
+    if spec.ttl:
+        reachable = reachable.where(at >= F.lit(asked["first"]).cast(dtype) - F.lit(spec.ttl))
+    if asked["rows"] <= BROADCAST_ROWS:
+        reachable = reachable.join(F.broadcast(entities.select(spec.key).distinct()), spec.key, "left_semi")
+    return reachable
+
+
 def batch_scoring(
     entities: DataFrame, view_df: DataFrame, spec: FeatureView, features: Sequence[str] | str, stamp: datetime
 ) -> DataFrame:

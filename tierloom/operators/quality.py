@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tierloom.operators.joins import orphans
+from tierloom.session import shared_folder
 
 
 @dataclass(frozen=True)
@@ -153,9 +154,15 @@ class CheckFailed(ValueError):
 def guarded_write(
     df: DataFrame, checks: Sequence, path: str, refs: Mapping[str, DataFrame] | None = None, mode: str = "overwrite"
 ) -> str:
-    """Write Parquet only if every check passes."""
-    failed = run_checks(df, checks, refs).where(~F.col("passed")).collect()  # one row per check
+    """Write Parquet only if every check passes.
+
+    The rows are computed once into the shared folder; the checks read them there, and so does the write.
+    """
+    staged = shared_folder(df.sparkSession, "guarded")
+    df.write.parquet(staged)
+    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
+    failed = run_checks(rows, checks, refs).where(~F.col("passed")).collect()  # one row per check
     if failed:
         raise CheckFailed("; ".join(f"{r.check_name}({r.column}): {r.failures}" for r in failed))
-    df.write.mode(mode).parquet(path)
+    rows.write.mode(mode).parquet(path)
     return path

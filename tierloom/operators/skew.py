@@ -27,7 +27,7 @@ _GRID = 1024  # quantile cuts per hot key before thinning
 #: A key is hot above this share of all rows ...
 SHARE = 1 / 4000
 #: ... and above this many rows.
-MIN_ROWS = 2_000_000
+MIN_ROWS = 5_000_000
 
 
 def with_slices(
@@ -45,9 +45,11 @@ def with_slices(
     rows of ``df`` are costly to compute: a frame with the same key and order columns that needs no join. The cuts
     are read once and kept as literals, hence every later evaluation of the frame cuts in the same places.
     """
+    profile = df if profile is None else profile
+    if profile.count() <= min_rows:  # reads no columns
+        return df.withColumn(SLICE, F.lit(0)), False
     hashed = F.xxhash64(*key)
     top = int(1 / share)
-    profile = df if profile is None else profile
     found = profile.select(hashed.alias(_HASH)).agg(
         F.expr(f"approx_top_k({_HASH}, {top}, {min(1_000_000, 8 * top)})").alias("top"), F.count("*").alias("rows")
     )

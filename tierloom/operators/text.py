@@ -159,10 +159,11 @@ def chunk_fixed(
     """Windows of ``size`` characters, each starting ``size - overlap`` after the previous one; no text, no chunk."""
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
-    text = F.col(text_col)
-    starts = F.sequence(F.lit(1), F.length(text), F.lit(size - overlap))
-    windows = F.transform(starts, lambda at: F.substring(text, at, F.lit(size)))
-    chunked = docs.where(F.length(text) > 0).select(F.col(id_col), windows.alias("__chunks"))
+    # One walk over the text: each step looks ahead a whole window and moves on by less. Cutting substrings by position
+    # would count characters from the start of the text for every window.
+    step = f"(?s)(?=(.{{1,{size}}})).{{1,{size - overlap}}}"
+    windows = F.regexp_extract_all(F.col(text_col), F.lit(step), F.lit(1))
+    chunked = docs.select(F.col(id_col), windows.alias("__chunks"))
     return _numbered(chunked, id_col, "__chunks")
 
 

@@ -29,7 +29,7 @@ Encoder = Callable[[list[str]], np.ndarray]
 
 def tokens(text_col: str) -> Column:
     """Lower-case runs of letters and digits."""
-    return F.filter(F.split(F.lower(text_col), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text_col), r"[^\p{L}\p{N}]+"), "")
 
 
 def embed(

@@ -45,19 +45,26 @@ def scan_csv(spark, sf_dir):
     return readers.read_csv(spark, path, orders.schema)
 
 
-@query("scan_text", "SELECT 'doc_id=' || doc_id AS doc, text, length(text)::BIGINT AS chars FROM documents")
+@query(
+    "scan_text",
+    """SELECT doc_id // 256 AS volume, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text,
+              count(*) AS documents FROM documents GROUP BY 1""",
+)
 def scan_text(spark, sf_dir):
+    """Documents written as text files, 256 to a file, and read back as one row per file."""
     path = shared_folder(spark, "scan_text")
-    documents = tt.table(spark, sf_dir, "documents").select("doc_id", "text")
-    documents.write.partitionBy("doc_id").text(path)
-    files = (
-        spark.read.text(path, wholetext=True)
-        .select(F.concat(F.lit("doc_id="), "doc_id").alias("doc"), F.col("value").alias("text"))
+    volumes = tt.table(spark, sf_dir, "documents").select(F.expr("doc_id DIV 256").alias("volume"), "doc_id", "text")
+    (
+        volumes.repartition("volume")
+        .sortWithinPartitions("volume", "doc_id")
+        .drop("doc_id")
+        .write.partitionBy("volume")
+        .text(path)
     )
-    # The text writer ends every file with one line feed that is not part of the document.
-    return files.withColumn("text", F.expr("left(text, length(text) - 1)")).withColumn(
-        "chars", F.length("text").cast("bigint")
+    files = readers.read_documents(spark, path).select(
+        F.regexp_extract("path", "volume=([0-9]+)", 1).cast("bigint").alias("volume"), "text"
     )
+    return files.join(volumes.groupBy("volume").agg(F.count("*").alias("documents")), "volume")
 
 
 @query("sink_parquet", tt.alerts_sql(tt.THRESHOLD) + "SELECT * FROM alerts")

@@ -315,28 +315,37 @@ def event_props_json(spark, sf_dir):
 # --- streams ---
 
 
-@query("push_ingest", LATEST_SQL.format("true"))
-def push_ingest(spark, sf_dir):
-    """Events arrive in several files in any order; the latest table ends up with the newest row per user."""
+def in_waves(df, later, landing, run):
+    """Two loads of a landing folder, the later rows first; the stream runs after each and takes only the new files."""
+    for wave in (df.where(later), df.where(~later)):
+        wave.write.mode("append").parquet(landing)
+        run(df.sparkSession.readStream.schema(df.schema).parquet(landing)).awaitTermination()
+
+
+def push_events(spark, sf_dir):
     root = shared_folder(spark, "push")
-    arriving = tt.events(spark, sf_dir)
-    arriving.repartition(3, F.xxhash64("event_id") % 3).write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(arriving.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
     latest = BucketedTable(spark, f"{root}/latest", "user_id", buckets=8)
-    push.push_stream(stream, tt.USER_VIEW, f"{root}/offline", latest, f"{root}/checkpoint").awaitTermination()
+    in_waves(
+        tt.events(spark, sf_dir),
+        F.col("ts") >= tt.moment(tt.EVENT_CUT),
+        f"{root}/landing",
+        lambda stream: push.push_stream(stream, tt.USER_VIEW, f"{root}/offline", latest, f"{root}/checkpoint"),
+    )
+    return latest, f"{root}/offline"
+
+
+@query("push_ingest", LATEST_SQL.format("true"))
+def push_ingest(spark, sf_dir):
+    """The earlier events arrive last; the latest table still ends up with the newest row per user."""
+    latest, _ = push_events(spark, sf_dir)
     return latest.read()
 
 
 @query("push_offline", "SELECT user_id, value, event_type, ts, ts AS created FROM events")
 def push_offline(spark, sf_dir):
     """The offline history holds every pushed event once."""
-    root = shared_folder(spark, "push_offline")
-    arriving = tt.events(spark, sf_dir)
-    arriving.write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(arriving.schema).parquet(f"{root}/landing")
-    latest = BucketedTable(spark, f"{root}/latest", "user_id", buckets=8)
-    push.push_stream(stream, tt.USER_VIEW, f"{root}/offline", latest, f"{root}/checkpoint").awaitTermination()
-    return push.read_offline(spark, f"{root}/offline", tt.USER_VIEW)
+    _, offline = push_events(spark, sf_dir)
+    return push.read_offline(spark, offline, tt.USER_VIEW)
 
 
 @query(
@@ -346,12 +355,14 @@ def push_offline(spark, sf_dir):
         QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY last_updated DESC) = 1""",
 )
 def stream_upsert_orders(spark, sf_dir):
-    """Orders and their later updates as a stream of files; the table keeps the newest row per order."""
+    """Orders and their later updates as a stream; the updates arrive first and the table keeps the newest rows."""
     root = shared_folder(spark, "order_stream")
     updates = reissued_orders(spark, sf_dir).where("order_date <> last_updated")
-    orders = tt.orders(spark, sf_dir).unionByName(updates)
-    orders.repartition(3, F.xxhash64("order_id", "last_updated") % 3).write.parquet(f"{root}/landing")
-    stream = spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/landing")
     stored = BucketedTable(spark, f"{root}/orders", "order_id", buckets=8)
-    push.upsert_stream(stream, stored, "last_updated", [], f"{root}/checkpoint").awaitTermination()
+    in_waves(
+        tt.orders(spark, sf_dir).unionByName(updates),
+        F.col("last_updated") >= tt.moment(tt.ORDER_CUT),
+        f"{root}/landing",
+        lambda stream: push.upsert_stream(stream, stored, "last_updated", [], f"{root}/checkpoint"),
+    )
     return stored.read()

@@ -8,10 +8,11 @@ the manifest entry leaves the table as it was, and its rerun overwrites what it
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierloom.sources.readers import path_exists
 
@@ -29,28 +30,30 @@ class BucketedTable:
     def _manifest(self) -> str:
         return f"{self.root}/manifest"
 
-    def _entries(self) -> DataFrame:
-        if path_exists(self.spark, f"{self._manifest}/*.parquet"):
-            return self.spark.read.schema("version bigint, bucket int").parquet(self._manifest)
-        return self.spark.createDataFrame([], "version bigint, bucket int")
+    def _newest(self, version: int | None = None) -> dict[int, int]:
+        """The newest version of each bucket, as of ``version`` if given; one entry per bucket at most."""
+        if not path_exists(self.spark, f"{self._manifest}/*.parquet"):
+            return {}
+        entries = self.spark.read.schema("version bigint, bucket int").parquet(self._manifest)
+        if version is not None:
+            entries = entries.where(F.col("version") <= version)
+        return dict(entries.groupBy("bucket").agg(F.max("version")).collect())
 
     def last_version(self) -> int | None:
-        return self._entries().agg(F.max("version")).first()[0]
+        return max(self._newest().values(), default=None)
 
-    def read(self, version: int | None = None, only: Sequence[int] | None = None) -> DataFrame | None:
-        """The table now or as of a version; ``only`` restricts the read to some buckets. None if nothing is there."""
-        entries = self._entries()
-        if version is not None:
-            entries = entries.where(F.col("version") <= version)
-        if only is not None:
-            entries = entries.where(F.col("bucket").isin(list(only)))
-        newest = entries.groupBy("bucket").agg(F.max("version").alias("version")).collect()  # one row per bucket
+    def read(self, version: int | None = None) -> DataFrame | None:
+        """The table now or as of a version; None if there was nothing yet."""
+        return self._read(self._newest(version))
+
+    def _read(self, newest: Mapping[int, int], schema: T.StructType | None = None) -> DataFrame | None:
         if not newest:
             return None
-        paths = [f"{self.root}/data/version={row.version}/{BUCKET}={row.bucket}" for row in newest]
-        return (
-            self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop("version", BUCKET)
-        )
+        reader = self.spark.read.option("basePath", f"{self.root}/data")
+        if schema is not None:
+            reader = reader.schema(schema)
+        paths = [f"{self.root}/data/version={version}/{BUCKET}={bucket}" for bucket, version in newest.items()]
+        return reader.parquet(*paths).drop("version", BUCKET)
 
     def update(
         self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None
@@ -59,16 +62,17 @@ class BucketedTable:
 
         A version that is already published is left alone, so a replayed batch changes nothing.
         """
-        last = self.last_version()
+        newest = self._newest()
+        last = max(newest.values(), default=-1)
         if version is None:
-            version = 0 if last is None else last + 1
-        elif last is not None and version <= last:
+            version = last + 1
+        elif version <= last:
             return last
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         touched = [row[0] for row in batch.select(bucket).distinct().collect()]  # at most self.buckets values
         if not touched:
-            return -1 if last is None else last
-        current = self.read(only=touched)
+            return last
+        current = self._read({b: newest[b] for b in touched if b in newest}, batch.schema)
         merged = batch if current is None else merge(current, batch)
         (
             merged.withColumn(BUCKET, bucket)

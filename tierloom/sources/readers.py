@@ -49,9 +49,11 @@ def read_table(spark: SparkSession, name: str, columns: Sequence[str] | None = N
 
 
 def read_documents(spark: SparkSession, path: str) -> DataFrame:
-    """Text files, one row each: ``source`` (the file name) and ``text`` (the whole content, UTF-8)."""
+    """Text files, one row each: ``source`` (the file name), ``path``, and ``text`` (the whole content, UTF-8)."""
     return spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("source"), F.col("value").alias("text")
+        F.col("_metadata.file_name").alias("source"),
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias("text"),
     )
 
 
