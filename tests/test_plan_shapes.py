@@ -62,3 +62,27 @@ def test_one_scan_for_all_thresholds_and_row_checks(spark):
     assert plan_of(entry.queries()["dq_not_null"](spark, SF)).count("FileScan") == 1
     sweep = plan_of(entry.queries()["threshold_sweep"](spark, SF))
     assert sweep.count("orders.parquet") == 1
+
+
+def test_hot_keys_of_a_join_are_split(spark):
+    """The adaptive skew join cuts the partition of a hot customer on the order side."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        orders = spark.range(60_000, numPartitions=8).selectExpr(
+            "id AS order_id", "IF(id % 3 = 0, 7, id % 1000) AS customer_id", "uuid() AS note")
+        customers = spark.range(1000).selectExpr("id AS customer_id", "concat('c', id) AS customer_name")
+        joined = joins.enrich(orders, customers, "customer_id")
+        assert joined.count() == 60_000
+        joined = joins.enrich(orders, customers, "customer_id")
+        joined.collect()
+        assert "isSkew=true" in plan_of(joined) or "skew" in plan_of(joined)
+    finally:
+        for name in settings:
+            spark.conf.unset(name)

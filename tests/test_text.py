@@ -175,6 +175,33 @@ def test_filter_comes_before_and_threshold_after(spark, points):
     assert few.count() == 6
 
 
+def test_approximate_search(spark):
+    rng = np.random.default_rng(9)
+    centers = rng.normal(size=(20, 16))
+    data = [(i, (centers[i % 20] + 0.1 * rng.normal(size=16)).tolist()) for i in range(2000)]
+    stored = vectors.with_buckets(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), 16)
+    asked = spark.createDataFrame([(i, centers[i].tolist()) for i in range(20)], "query_id bigint, query_vector array<double>")
+    exact = set(rows(vectors.retrieve(asked, stored, 5)))
+    assert set(rows(vectors.retrieve_lsh(asked, stored, radius=8, top_k=5))) == exact
+    found = set(rows(vectors.retrieve_lsh(asked, stored, radius=1, top_k=5)))
+    assert len(found) == 100 and len(found & exact) >= 90
+    one = asked.where("query_id = 4")
+    own = set(rows(vectors.retrieve_lsh(one, stored, radius=0, top_k=5)))
+    assert len(own) == 5 and {r[2] % 20 for r in own} == {4}
+
+
+def test_approximate_search_of_the_test_tables(spark):
+    """The test vectors have no close neighbours, which is the hard case; most of the exact hits are still found."""
+    import __spark_entry__ as entry
+
+    sf_dir = "/root/testdata/sf0.01"
+    exact, near = (
+        {(r.query_id, r.vec_id) for r in entry.queries()[name](spark, sf_dir).collect()}
+        for name in ("retrieve_topk", "retrieve_lsh")
+    )
+    assert len(exact & near) >= 0.6 * len(exact)
+
+
 def test_prompts(spark):
     queries = spark.createDataFrame([("q1", "Why?"), ("q2", "Off topic?")], "query_id string, query_text string")
     hits = spark.createDataFrame(

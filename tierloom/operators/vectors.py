@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
+from itertools import combinations
 
 import numpy as np
 import pandas as pd
@@ -11,6 +12,7 @@ from pyspark.ml.feature import HashingTF, Normalizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierloom.session import carry_to_workers
 
@@ -24,6 +26,10 @@ MAX_DISTANCE = 1.3
 #: Questions are searched in blocks of at most about this many, one pass over the vectors per block.
 QUERY_BLOCK = 1024
 
+#: Random planes of the approximate search: their number (buckets are two to the power of it) and their seed.
+LSH_BITS = 8
+LSH_SEED = 11
+
 Encoder = Callable[[list[str]], np.ndarray]
 
 
@@ -111,6 +117,61 @@ def retrieve(
     return ranked.select(query_id, "rank", id_col, "distance", *payload)
 
 
+def _planes(bits: int, width: int, seed: int) -> np.ndarray:
+    return np.random.default_rng(seed).normal(size=(bits, width))
+
+
+def _codes(rows: np.ndarray, planes: np.ndarray) -> np.ndarray:
+    """One bit per plane: the side on which the vector lies."""
+    return ((rows @ planes.T) > 0) @ (1 << np.arange(len(planes)))
+
+
+def with_buckets(
+    vectors: DataFrame, width: int, bits: int = LSH_BITS, seed: int = LSH_SEED, vector_col: str = "embedding"
+) -> DataFrame:
+    """Add ``bucket``, equal for vectors on the same side of some random planes: near vectors tend to share it.
+
+    Write the result partitioned by ``bucket`` and a search over few buckets reads only their folders.
+    """
+
+    @F.pandas_udf(T.IntegerType())
+    def bucket(column: pd.Series) -> pd.Series:
+        rows = np.array(column.tolist(), dtype="float64").reshape(len(column), width)
+        return pd.Series(_codes(rows, _planes(bits, width, seed)))
+
+    return vectors.where(F.size(vector_col) == width).withColumn("bucket", bucket(vector_col))
+
+
+def retrieve_lsh(
+    queries: DataFrame,
+    bucketed: DataFrame,
+    radius: int = 1,
+    bits: int = LSH_BITS,
+    seed: int = LSH_SEED,
+    query_vector: str = "query_vector",
+    **search,
+) -> DataFrame:
+    """Approximate search: :func:`retrieve` within the buckets that differ in at most ``radius`` bits from a question's.
+
+    With ``radius = bits`` all buckets are read and the search is exact. The buckets only choose which rows are
+    scanned, so one that holds a large share of the vectors is scanned by many tasks like any other data.
+    """
+
+    @F.pandas_udf(T.IntegerType())
+    def code(column: pd.Series) -> pd.Series:
+        rows = np.array(column.tolist(), dtype="float64").reshape(len(column), -1)
+        return pd.Series(_codes(rows, _planes(bits, rows.shape[1], seed)))
+
+    found = queries.select(code(F.col(query_vector).cast("array<double>")).alias("code")).distinct().collect()
+    near = {
+        row["code"] ^ sum(1 << bit for bit in flipped)
+        for row in found  # at most 2**bits codes
+        for distance in range(radius + 1)
+        for flipped in combinations(range(bits), distance)
+    }
+    return retrieve(queries, bucketed.where(F.col("bucket").isin(sorted(near))), query_vector=query_vector, **search)
+
+
 def _bounded(hits: DataFrame, blocks: int) -> DataFrame:
     """One block has at most ``top_k`` hits for about :data:`QUERY_BLOCK` questions, which is safe to broadcast."""
     return F.broadcast(hits) if blocks == 1 else hits

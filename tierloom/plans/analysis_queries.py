@@ -9,6 +9,7 @@ from tierloom.operators import alerts as al
 from tierloom.operators import drift, experiments, text, vectors
 from tierloom.plans import testtables as tt
 from tierloom.plans.registry import query
+from tierloom.session import shared_folder
 
 MEANS_SQL = f"""
     SELECT feature, avg(value) FILTER (WHERE w = 'baseline') AS baseline_mean,
@@ -255,6 +256,15 @@ def retrieve_threshold(spark, sf_dir):
     return typed(hits)
 
 
+@query("retrieve_lsh")
+def retrieve_lsh(spark, sf_dir):
+    """The approximate search over vectors stored by bucket; how much of the exact result it finds is tested."""
+    stored = shared_folder(spark, "vector_buckets")
+    vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64).write.partitionBy("bucket").parquet(stored)
+    hits = vectors.retrieve_lsh(tt.centroids(spark, sf_dir), spark.read.parquet(stored), radius=3)
+    return typed(hits)
+
+
 @query("note_search")
 def note_search(spark, sf_dir):
     """Questions over the notes of all customers in one region."""
