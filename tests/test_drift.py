@@ -82,6 +82,13 @@ def test_exact_p_against_all_orders():
         assert exact_p_value(d, n, m) == pytest.approx(share) == pytest.approx(exact_p_value(d, m, n))
 
 
+@pytest.mark.parametrize(("d", "n", "m"), [(0.0185, 3000, 3000), (0.03, 2500, 4000), (0.012, 10_000, 10_000)])
+def test_exact_p_of_larger_samples_is_near_the_limit(d, n, m):
+    x = d * math.sqrt(n * m / (n + m))
+    limit = 2 * sum((-1) ** (k - 1) * math.exp(-2 * k * k * x * x) for k in range(1, 101))
+    assert exact_p_value(d, n, m) == pytest.approx(limit, abs=0.03)
+
+
 def test_large_samples_use_the_limit(spark):
     df = spark.range(40_000).select(
         F.when(F.col("id") % 2 == 0, "baseline").otherwise("current").alias("window"),

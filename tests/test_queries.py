@@ -7,7 +7,7 @@ from compare import connect, difference, duck_rows, spark_rows
 
 SF = "/root/testdata/sf0.001"
 QUERIES, ORACLES = entry.queries(), entry.oracle_sql()
-ROWS_ONLY = {"chunk_recursive", "embed_hash", "note_search", "retrieve_lsh"}
+ROWS_ONLY = {"chunk_recursive", "chunk_search", "embed_hash", "note_search", "retrieve_lsh"}
 
 
 @pytest.fixture(scope="module")

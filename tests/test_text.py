@@ -216,18 +216,42 @@ def test_prompts(spark):
     assert got["q2"].prompt is None and got["q2"].sources == [] and got["q2"].answer == text.NO_ANSWER
 
 
+def brute_force(pool, id_col, question_vectors, max_distance=None):
+    """All distances, per question the three nearest as (question, rank, id)."""
+    out = []
+    for query_id, asked in question_vectors.items():
+        scored = sorted(
+            (float(((np.array(r.embedding, dtype="float64") - np.array(asked, dtype="float64")) ** 2).sum()), r[id_col])
+            for r in pool)
+        out += [(query_id, i + 1, name) for i, (d, name) in enumerate(scored[:3])
+                if max_distance is None or round(d, 4) <= max_distance]
+    return sorted(out)
+
+
 def test_note_search(spark):
     """Every question finds the notes whose words it shares most, by brute force over all notes of the region."""
-    import __spark_entry__ as entry
-    from tierloom.plans.analysis_queries import notes
+    from tierloom.plans.analysis_queries import asked, note_search, notes
 
     sf_dir = "/root/testdata/sf0.001"
-    got = entry.queries()["note_search"](spark, sf_dir).collect()
+    got = note_search(spark, sf_dir)
     pool = vectors.embed(notes(spark, sf_dir), "alert_note").where("region = 'asia'").collect()
-    for query_id, question in (("q1", "Which customers need retention outreach due to cancellations?"),
-                               ("q2", "Who are our highest value accounts to prioritize?")):
-        asked = vectors.embed(spark.createDataFrame([(question,)], "t string"), "t").first().embedding
-        scored = sorted((float(((np.array(r.embedding, dtype="float64") - np.array(asked, dtype="float64")) ** 2).sum()),
-                         r.note_id) for r in pool)
-        mine = sorted(((r["rank"], r.note_id) for r in got if r.query_id == query_id))
-        assert [n for _, n in mine] == [n for _, n in scored[:3]]
+    questions = asked(spark, q1="Which customers need retention outreach due to cancellations?",
+                      q2="Who are our highest value accounts to prioritize?")
+    wanted = {r.query_id: r.query_vector for r in questions.collect()}
+    assert rows(got, "query_id", "rank", "note_id") == brute_force(pool, "note_id", wanted)
+
+
+def test_chunk_search(spark):
+    from tierloom.plans.analysis_queries import asked, chunk_search
+
+    sf_dir = "/root/testdata/sf0.001"
+    got = chunk_search(spark, sf_dir)
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    chunks = text.chunk_recursive(documents, "doc_id", "text")
+    pool = vectors.embed(chunks, "chunk_text").collect()
+    questions = asked(spark, q1="that heron in the", q2="le la des que", q3="zzzz")
+    wanted = {r.query_id: r.query_vector for r in questions.collect()}
+    want = brute_force(pool, "chunk_id", wanted, vectors.MAX_DISTANCE)
+    assert rows(got, "query_id", "rank", "chunk_id") == want and want
+    texts = {r.chunk_id: (r.chunk_label, r.chunk_text) for r in pool}
+    assert all((r.chunk_label, r.chunk_text) == texts[r.chunk_id] for r in got.collect())

@@ -28,22 +28,28 @@ def series_p(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
 
 
 def exact_p_value(d: float, n: int, m: int) -> float:
-    """P(D >= d) by counting the lattice paths that stay strictly inside the band around the diagonal.
+    """P(D >= d) from the lattice paths that stay strictly inside the band around the diagonal.
 
-    Row i keeps, for each j, the share of paths to (i, j) that stayed inside. Within one row the band is
-    contiguous and a step to the right adds up, so a row is a cumulative sum.
+    A path merges the two samples; at (i, j) it has taken i and j of them. Let stay(i, j) be the chance that a random
+    path to (i, j) never left the band. Its last step came from (i-1, j) with chance i/(i+j), else from (i, j-1), so
+    one diagonal i+j gives the next, and all numbers stay between 0 and 1.
     """
     if d <= 0:
         return 1.0
-    small, large = sorted((int(n), int(m)))
-    steps = np.arange(large + 1) / large
-    limit = (0.5 + np.floor(d * small * large - 1e-7)) / (small * large)
-    inside = np.where(steps > limit, 0.0, 1.0)
-    for i in range(1, small + 1):
-        weight = i / (i + large)
-        band = np.abs(i / small - steps) <= limit
-        inside = np.cumsum(np.where(band, weight * inside, 0.0)) * band
-    return float(min(1.0, max(0.0, 1.0 - inside[-1])))
+    n, m = int(n), int(m)
+    limit = (0.5 + np.floor(d * n * m - 1e-7)) / (n * m)  # between two possible values of the statistic
+    took = np.arange(n + 1)
+    stay = np.zeros(n + 2)  # shifted by one: stay[i + 1] belongs to i
+    stay[1] = 1.0
+    for step in range(1, n + m + 1):
+        low = max(0, step - m, int((step / m - limit) / (1 / n + 1 / m)) - 1)
+        high = min(n, step, int((step / m + limit) / (1 / n + 1 / m)) + 1)
+        i = took[low : high + 1]
+        inside = np.abs(i / n - (step - i) / m) <= limit
+        moved = (stay[low : high + 1] * i + stay[low + 1 : high + 2] * (step - i)) / step
+        stay[:] = 0.0
+        stay[low + 1 : high + 2] = moved * inside
+    return float(min(1.0, max(0.0, 1.0 - stay[n + 1])))
 
 
 @F.pandas_udf(T.DoubleType())

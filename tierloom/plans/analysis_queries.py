@@ -6,10 +6,11 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import squared_l2
 from tierloom.operators import alerts as al
-from tierloom.operators import drift, experiments, text, vectors
+from tierloom.operators import drift, experiments, keyed, text, vectors
 from tierloom.plans import testtables as tt
 from tierloom.plans.registry import query
 from tierloom.session import shared_folder
+from tierloom.sources.writers import write_parquet
 
 MEANS_SQL = f"""
     SELECT feature, avg(value) FILTER (WHERE w = 'baseline') AS baseline_mean,
@@ -259,32 +260,57 @@ def retrieve_threshold(spark, sf_dir):
 @query("retrieve_lsh")
 def retrieve_lsh(spark, sf_dir):
     """The approximate search over vectors stored by bucket; how much of the exact result it finds is tested."""
-    stored = shared_folder(spark, "vector_buckets")
-    vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64).write.partitionBy("bucket").parquet(stored)
-    hits = vectors.retrieve_lsh(tt.centroids(spark, sf_dir), spark.read.parquet(stored), radius=3)
+    bucketed = vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64)
+    path = write_parquet(bucketed, shared_folder(spark, "vector_buckets"), partition_by=["bucket"])
+    hits = vectors.retrieve_lsh(tt.centroids(spark, sf_dir), spark.read.parquet(path), radius=3)
     return typed(hits)
 
 
+def stored(spark, df, purpose):
+    """A collection is written once and then searched; its text is read only for the hits."""
+    path = shared_folder(spark, purpose)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def asked(spark, **questions):
+    """Questions with their vectors."""
+    rows = spark.createDataFrame(list(questions.items()), "query_id string, query_text string")
+    return vectors.embed(rows, "query_text", vector_col="query_vector")
+
+
 @query("note_search")
 def note_search(spark, sf_dir):
     """Questions over the notes of all customers in one region."""
-    collection = vectors.embed(notes(spark, sf_dir), "alert_note")
-    questions = spark.createDataFrame(
-        [
-            ("q1", "Which customers need retention outreach due to cancellations?"),
-            ("q2", "Who are our highest value accounts to prioritize?"),
-        ],
-        "query_id string, query_text string",
-    )
+    collection = keyed.collection_add(None, vectors.embed(notes(spark, sf_dir), "alert_note"), "note_id")
     return vectors.retrieve(
-        vectors.embed(questions, "query_text", vector_col="query_vector"),
-        collection,
+        asked(
+            spark,
+            q1="Which customers need retention outreach due to cancellations?",
+            q2="Who are our highest value accounts to prioritize?",
+        ),
+        stored(spark, collection, "notes"),
         where=F.col("region") == "asia",
         id_col="note_id",
         payload=["customer_name", "target_tier", "alert_note"],
     )
 
 
+@query("chunk_search")
+def chunk_search(spark, sf_dir):
+    """Documents split, embedded and stored; questions find the chunks that share most words with them."""
+    documents = tt.table(spark, sf_dir, "documents")
+    chunks = text.chunk_recursive(documents, "doc_id", "text").join(documents.select("doc_id", "source"), "doc_id")
+    collection = stored(spark, vectors.embed(chunks, "chunk_text"), "chunks")
+    return vectors.retrieve(
+        asked(spark, q1="that heron in the", q2="le la des que", q3="zzzz"),
+        collection,
+        id_col="chunk_id",
+        max_distance=vectors.MAX_DISTANCE,
+        payload=["source", "chunk_label", "chunk_text"],
+    )
+
+
 @query(
     "grounded_prompts",
     f"""WITH q AS (SELECT query_id, 'What do the documents of topic ' || query_id || ' say?' AS query_text
