@@ -83,6 +83,10 @@ def test_running_counts(spark):
     described = drift.describe(values, ["window"], ["a", "b"])
     digits = [F.round(c, 9) if c not in ("window", "feature") else F.col(c) for c in described.columns]
     assert rows(drift.describe(values, ["window"], ["a", "b"], **SLICED).select(digits)) == rows(described.select(digits))
+    unnamed = values.withColumn("window", F.when(F.col("window") == "current", F.col("window")))
+    for settings in ({}, SLICED):
+        by_null = {(r.window, r.feature): r["count"] for r in drift.describe(unnamed, ["window"], ["a"], **settings).collect()}
+        assert by_null == {(None, "a"): 2000, ("current", "a"): 2000}
     pdf = values.toPandas()
     for r in described.collect():
         series = pdf[pdf.window == r.window][r.feature].describe()

@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import percent_change
 from tierloom.functions.ks import exact_p, series_p
-from tierloom.operators.skew import SLICE, with_slices
+from tierloom.operators.joins import broadcast_if_small, join_null_safe
+from tierloom.operators.skew import SLICE, join_summaries, with_slices
+from tierloom.session import shared_folder
+from tierloom.sources.writers import write_parquet
 
 BASELINE, CURRENT = "baseline", "current"
 
@@ -95,7 +98,7 @@ def _running_counts(
         .select(*group, SLICE, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"shift_{n}") for n in counts])
     )
     return (
-        running.join(F.broadcast(shifts), [*group, SLICE])  # slices are bounded, see tierloom.operators.skew
+        join_summaries(running, shifts, [*group, SLICE])
         .withColumns({f"run_{name}": F.col(f"run_{name}") + F.col(f"shift_{name}") for name in counts})
         .drop(SLICE, *[f"shift_{name}" for name in counts])
     )
@@ -197,7 +200,12 @@ def describe(df: DataFrame, group: Sequence[str], features: Sequence[str], **ske
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    running = _running_counts(long, keys, {"rows": F.count("*")}, **skew).join(basics, keys)
+    # Written once, the basics are not computed again for the join, and their number decides how they are joined.
+    stored = write_parquet(basics, shared_folder(df.sparkSession, "describe"))
+    basics = broadcast_if_small(df.sparkSession.read.schema(basics.schema).parquet(stored))
+    running = join_null_safe(
+        _running_counts(long, keys, {"rows": F.count("*")}, **skew), basics, keys, "inner"
+    )
     quartiles = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
     first, last = F.col("run_rows") - F.col("rows"), F.col("run_rows") - 1
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: A dimension of at most this many rows may be broadcast on request.
@@ -28,6 +29,13 @@ def enrich(
     return facts.join(broadcast_if_small(dimension, max_rows) if broadcast else dimension, key, "left")
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, columns: Sequence[str], how: str = "left") -> DataFrame:
+    """Equi-join in which NULL equals NULL, as in grouping; the key columns come from the left side."""
+    renamed = right.withColumnsRenamed({name: f"__right_{name}" for name in columns})
+    matches = [F.col(name).eqNullSafe(F.col(f"__right_{name}")) for name in columns]
+    return left.join(renamed, reduce(Column.__and__, matches), how).drop(*[f"__right_{name}" for name in columns])
+
+
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Child rows whose key is not in the parent. A NULL key refers to nothing and is no orphan."""
     keys = parent.select(F.col(parent_key).alias(child_key))

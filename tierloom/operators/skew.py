@@ -12,12 +12,12 @@ size bound behind the broadcasts in the callers.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import clock_position
+from tierloom.operators.joins import join_null_safe
 
 SLICE = "__slice"
 _HASH = "__key_hash"
@@ -107,12 +107,5 @@ def _rank_in(bounds: Column, value: Column) -> Column:
 
 
 def join_summaries(rows: DataFrame, summaries: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Attach one summary row per (key, slice); a NULL key matches itself. The summaries are bounded, see above."""
-    renamed = summaries
-    for name in columns:
-        renamed = renamed.withColumnRenamed(name, f"__s_{name}")
-    condition = reduce(
-        lambda a, b: a & b, [F.col(name).eqNullSafe(F.col(f"__s_{name}")) for name in columns]
-    )
-    joined = rows.join(F.broadcast(renamed), condition, "left")
-    return joined.drop(*[f"__s_{name}" for name in columns])
+    """Attach one summary row per (key, slice). The summaries are bounded, see above, and a NULL key has its own."""
+    return join_null_safe(rows, F.broadcast(summaries), columns)

@@ -122,11 +122,12 @@ def chunk_recursive(
     size: int = CHUNK_SIZE,
     overlap: int = CHUNK_OVERLAP,
     separators: Sequence[str] = SEPARATORS,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """One row per chunk of each whole text: id, ``chunk_index``, ``total_chunks``, ``chunk_label``, ``chunk_text``.
 
     Splitting follows the data partitioning and shuffles nothing; ids are ``<document id>#<index>`` because a counter
-    over all documents would need a total order. Only id and text travel to Python, in Arrow batches.
+    over all documents would need a total order. ``keep`` names further document columns to repeat on each chunk.
     """
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
@@ -135,17 +136,18 @@ def chunk_recursive(
     def split(texts: pd.Series) -> pd.Series:
         return texts.map(lambda text: split_text(text, size, overlap, separators) if text else [])
 
-    chunked = docs.select(F.col(id_col), split(F.col(text_col)).alias("__chunks"))
-    return _numbered(chunked, id_col, "__chunks")
+    chunked = docs.select(id_col, *keep, split(F.col(text_col)).alias("__chunks"))
+    return _numbered(chunked, id_col, "__chunks", keep)
 
 
-def _numbered(chunked: DataFrame, id_col: str, chunks: str) -> DataFrame:
+def _numbered(chunked: DataFrame, id_col: str, chunks: str, keep: Sequence[str]) -> DataFrame:
     exploded = chunked.select(
-        id_col, F.size(chunks).alias("total_chunks"), F.posexplode(chunks).alias("chunk_index", "chunk_text")
+        id_col, *keep, F.size(chunks).alias("total_chunks"), F.posexplode(chunks).alias("chunk_index", "chunk_text")
     )
     return exploded.select(
         F.concat_ws("#", F.col(id_col).cast("string"), F.col("chunk_index").cast("string")).alias("chunk_id"),
         id_col,
+        *keep,
         "chunk_index",
         "total_chunks",
         part_label("chunk_index", "total_chunks").alias("chunk_label"),
@@ -154,7 +156,12 @@ def _numbered(chunked: DataFrame, id_col: str, chunks: str) -> DataFrame:
 
 
 def chunk_fixed(
-    docs: DataFrame, id_col: str, text_col: str, size: int = CHUNK_SIZE, overlap: int = CHUNK_OVERLAP
+    docs: DataFrame,
+    id_col: str,
+    text_col: str,
+    size: int = CHUNK_SIZE,
+    overlap: int = CHUNK_OVERLAP,
+    keep: Sequence[str] = (),
 ) -> DataFrame:
     """Windows of ``size`` characters, each starting ``size - overlap`` after the previous one; no text, no chunk."""
     if not 0 <= overlap < size:
@@ -163,8 +170,8 @@ def chunk_fixed(
     # would count characters from the start of the text for every window.
     step = f"(?s)(?=(.{{1,{size}}})).{{1,{size - overlap}}}"
     windows = F.regexp_extract_all(F.col(text_col), F.lit(step), F.lit(1))
-    chunked = docs.select(F.col(id_col), windows.alias("__chunks"))
-    return _numbered(chunked, id_col, "__chunks")
+    chunked = docs.select(id_col, *keep, windows.alias("__chunks"))
+    return _numbered(chunked, id_col, "__chunks", keep)
 
 
 def grounded_prompts(

@@ -97,11 +97,12 @@ def retrieve(
         (F.col(query_id).cast("bigint") if whole else F.col(query_id)).alias(query_id),
         F.col(query_vector).cast("array<double>").alias("__q"),
     )
-    blocks = max(1, -(-asked.count() // block))
+    first = asked.limit(block + 1).collect()
+    blocks = 1 if len(first) <= block else -(-asked.count() // block)
     found = None
     for number in range(blocks):
-        part = asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == number)
-        hits = _scan(part, searched, top_k, id_col, vector_col, query_id)
+        part = first if blocks == 1 else asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == number).collect()
+        hits = _scan(part, asked.schema[query_id], searched, top_k, id_col, vector_col)
         found = hits if found is None else found.unionByName(hits)
     nearest = Window.partitionBy(query_id).orderBy("__distance", id_col)
     ranked = (
@@ -178,13 +179,14 @@ def _bounded(hits: DataFrame, blocks: int) -> DataFrame:
 
 
 def _scan(
-    queries: DataFrame, vectors: DataFrame, top_k: int, id_col: str, vector_col: str, query_id: str
+    block: list, query_field: T.StructField, vectors: DataFrame, top_k: int, id_col: str, vector_col: str
 ) -> DataFrame:
-    """Per task and question the ``top_k`` best vectors; the questions are one bounded block."""
-    id_type = vectors.schema[id_col].dataType.simpleString()
-    query_type = queries.schema[query_id].dataType.simpleString()
-    schema = f"`{query_id}` {query_type}, `{id_col}` {id_type}, __distance double"
-    rows = [row for row in queries.collect() if row["__q"]]  # at most about QUERY_BLOCK rows
+    """Per task and question the ``top_k`` best vectors; the questions are one bounded block of rows."""
+    query_id = query_field.name
+    schema = T.StructType(
+        [query_field, vectors.schema[id_col], T.StructField("__distance", T.DoubleType())]
+    )
+    rows = [row for row in block if row["__q"]]
     if not rows:
         return vectors.sparkSession.createDataFrame([], schema)
     width = len(rows[0]["__q"])

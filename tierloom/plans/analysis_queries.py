@@ -299,8 +299,7 @@ def note_search(spark, sf_dir):
 @query("chunk_search")
 def chunk_search(spark, sf_dir):
     """Documents split, embedded and stored; questions find the chunks that share most words with them."""
-    documents = tt.table(spark, sf_dir, "documents")
-    chunks = text.chunk_recursive(documents, "doc_id", "text").join(documents.select("doc_id", "source"), "doc_id")
+    chunks = text.chunk_recursive(tt.table(spark, sf_dir, "documents"), "doc_id", "text", keep=["source"])
     collection = stored(spark, vectors.embed(chunks, "chunk_text"), "chunks")
     return vectors.retrieve(
         asked(spark, q1="that heron in the", q2="le la des que", q3="zzzz"),

@@ -12,7 +12,6 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tierloom.sources.readers import path_exists
 
@@ -46,14 +45,11 @@ class BucketedTable:
         """The table now or as of a version; None if there was nothing yet."""
         return self._read(self._newest(version))
 
-    def _read(self, newest: Mapping[int, int], schema: T.StructType | None = None) -> DataFrame | None:
+    def _read(self, newest: Mapping[int, int]) -> DataFrame | None:
         if not newest:
             return None
-        reader = self.spark.read.option("basePath", f"{self.root}/data")
-        if schema is not None:
-            reader = reader.schema(schema)
         paths = [f"{self.root}/data/version={version}/{BUCKET}={bucket}" for bucket, version in newest.items()]
-        return reader.parquet(*paths).drop("version", BUCKET)
+        return self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop("version", BUCKET)
 
     def update(
         self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None
@@ -72,7 +68,7 @@ class BucketedTable:
         touched = [row[0] for row in batch.select(bucket).distinct().collect()]  # at most self.buckets values
         if not touched:
             return last
-        current = self._read({b: newest[b] for b in touched if b in newest}, batch.schema)
+        current = self._read({b: newest[b] for b in touched if b in newest})
         merged = batch if current is None else merge(current, batch)
         (
             merged.withColumn(BUCKET, bucket)
