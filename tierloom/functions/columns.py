@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 
 
 def first_match(cases: Sequence[tuple[Column, object]], otherwise: object) -> Column:
-    """An ordered CASE: the value of the first condition that holds."""
-    chain = F
+    """An ordered CASE: the value (a literal or a column) of the first condition that holds."""
+    chain = None
     for condition, value in cases:
-        chain = chain.when(condition, F.lit(value))
-    return F.lit(otherwise) if chain is F else chain.otherwise(F.lit(otherwise))
+        chain = F.when(condition, F.lit(value)) if chain is None else chain.when(condition, F.lit(value))
+    return F.lit(otherwise) if chain is None else chain.otherwise(F.lit(otherwise))
 
 
 def known_or_zero(column: Column | str) -> Column:

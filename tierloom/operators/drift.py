@@ -16,9 +16,14 @@ from tierloom.sources.writers import write_parquet
 
 BASELINE, CURRENT = "baseline", "current"
 
-# Default limits of the two checks.
+# Default limits of the two checks, and the closing lines of the report.
 ALPHA = 0.05
 THRESHOLD_PCT = 30.0
+ADVICE = (
+    "Recommendation: review scoring thresholds (e.g. high_value_customer cutoff) — "
+    "they may be stale relative to current data."
+)
+NO_DRIFT = "No significant drift detected across checked features."
 
 
 def union_windows(frames: Mapping[str, DataFrame], window_col: str = "window") -> DataFrame:
@@ -176,12 +181,9 @@ def combined_drift(
 def drift_summary(report: DataFrame) -> DataFrame:
     """One row: the drifted features in name order and what to do about them."""
     names = F.array_sort(F.collect_list(F.when(F.col("combined_drift"), F.col("feature"))))  # one per feature
-    # The two closing lines of the report.
-    found = "Recommendation: review scoring thresholds (e.g. high_value_customer cutoff) — they may be stale relative to current data."
-    none = "No significant drift detected across checked features."
     return report.agg(names.alias("drifted")).select(
         F.array_join("drifted", ", ").alias("drifted_features"),
-        F.when(F.size("drifted") > 0, F.lit(found)).otherwise(F.lit(none)).alias("advice"),
+        F.when(F.size("drifted") > 0, ADVICE).otherwise(NO_DRIFT).alias("advice"),
     )
 
 

@@ -43,7 +43,8 @@ def scored_by_run(scoring: DataFrame, runs: Mapping[str, float]) -> DataFrame:
         F.struct(F.lit(name).alias("run_name"), alert_reason(default_rules(threshold)).alias("alert_reason"))
         for name, threshold in runs.items()
     ]
-    return scoring.withColumn("__run", F.explode(F.array(*per_run))).select("__run.run_name", *SCORED, "__run.alert_reason")
+    scored = scoring.withColumn("__run", F.explode(F.array(*per_run)))
+    return scored.select("__run.run_name", *SCORED, "__run.alert_reason")
 
 
 def write_runs(scored: DataFrame, path: str) -> str:

@@ -54,14 +54,17 @@ def delete_insert(
 
 def replace_keys(target: DataFrame, batch: DataFrame, key: Names) -> DataFrame:
     """Target rows of keys that are not in the batch, plus the batch."""
-    keys = _columns(key)
-    return target.join(batch.select(*keys).distinct(), keys, "left_anti").unionByName(batch)
+    return _without(target, batch, _columns(key)).unionByName(batch)
+
+
+def _without(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:
+    return target.join(batch.select(*keys).distinct(), keys, "left_anti")
 
 
 def merge_upsert(target: DataFrame, batch: DataFrame, key: Names, order_by: Names) -> DataFrame:
     """Matched keys take all columns of the newest batch row, other batch keys are inserted."""
     keys = _columns(key)
-    return replace_keys(target, latest_per_key(batch, keys, order_by), keys)
+    return _without(target, batch, keys).unionByName(latest_per_key(batch, keys, order_by))
 
 
 def upsert_newest(target: DataFrame, batch: DataFrame, key: Names, order_by: Names) -> DataFrame:
@@ -69,7 +72,9 @@ def upsert_newest(target: DataFrame, batch: DataFrame, key: Names, order_by: Nam
     return latest_per_key(target.unionByName(batch), key, order_by)
 
 
-def scd2_history(log: DataFrame, key: Names, ts: str, columns: Names, tie_break: Sequence[str] = (), **skew) -> DataFrame:
+def scd2_history(
+    log: DataFrame, key: Names, ts: str, columns: Names, tie_break: Sequence[str] = (), **skew
+) -> DataFrame:
     """Versions per key from a change log: ``effective_date``, ``end_date`` and ``is_current``.
 
     Repeats without a change open no version. A version ends where the next one starts.

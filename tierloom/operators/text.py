@@ -57,12 +57,10 @@ def fill_template(template: str) -> Column:
 
 def alert_notes(targets: DataFrame) -> DataFrame:
     """Add ``alert_note``, the text for a customer's alert, and its record id ``note_id``."""
-    note = F
-    for alert, template in NOTE_TEXTS.items():
-        note = note.when(F.col("alert_reason") == alert, fill_template(template))
+    cases = [(F.col("alert_reason") == alert, fill_template(template)) for alert, template in NOTE_TEXTS.items()]
     return targets.withColumns(
         {
-            "alert_note": note.otherwise(fill_template(NOTE_OTHERWISE)),
+            "alert_note": first_match(cases, fill_template(NOTE_OTHERWISE)),
             "note_id": F.concat(F.lit("alert_note_"), F.col("customer_id").cast("string")),
         }
     )

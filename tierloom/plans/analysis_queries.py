@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import squared_l2
 from tierloom.operators import alerts as al
 from tierloom.operators import drift, experiments, keyed, text, vectors
+from tierloom.operators.joins import enrich
 from tierloom.plans import testtables as tt
 from tierloom.plans.registry import query
 from tierloom.session import shared_folder
@@ -65,9 +68,9 @@ def drift_report(spark, sf_dir):
 
 @query(
     "drift_summary",
-    f"""SELECT coalesce(string_agg(feature, ', ' ORDER BY feature) FILTER (WHERE combined_drift), '') AS drifted_features,
-        CASE WHEN bool_or(combined_drift) THEN 'Recommendation: review scoring thresholds (e.g. high_value_customer cutoff) — they may be stale relative to current data.'
-        ELSE 'No significant drift detected across checked features.' END AS advice FROM ({REPORT_SQL})""",
+    f"""SELECT ifnull(string_agg(feature, ', ' ORDER BY feature) FILTER (WHERE combined_drift), '') AS drifted_features,
+        CASE WHEN bool_or(combined_drift) THEN '{drift.ADVICE}' ELSE '{drift.NO_DRIFT}' END AS advice
+        FROM ({REPORT_SQL})""",
 )
 def drift_summary(spark, sf_dir):
     return drift.drift_summary(drift.combined_drift(tt.windows(spark, sf_dir), "window", tt.NUMERIC))
@@ -107,7 +110,7 @@ SCORED_SQL = f"""
     scored AS (
 """ + " UNION ALL ".join(
     f"""SELECT '{name}' AS run_name, customer_id, customer_name, total_spend, pending_orders, cancelled_orders,
-        {tt.reason_sql(threshold)} AS alert_reason FROM stg_customers LEFT JOIN signals USING (customer_id)"""
+        {tt.pick_sql(tt.REASONS, tt.priority_sql(threshold))} AS alert_reason FROM stg_customers LEFT JOIN signals USING (customer_id)"""
     for name, threshold in RUNS.items()
 ) + ")"
 
@@ -163,17 +166,20 @@ def notes(spark, sf_dir):
     return text.alert_notes(al.customer_targets(tt.alerts(spark, sf_dir), ranked=False))
 
 
+def template_sql(template: str) -> str:
+    """The columns of a note put into its text."""
+    filled = re.sub(r"\{\$(\w+)\}", r"$' || \1::DECIMAL(18, 2) || '", template)
+    return "'" + re.sub(r"\{(\w+)\}", r"' || \1 || '", filled) + "'"
+
+
+NOTES_SQL = " ".join(f"WHEN '{alert}' THEN {template_sql(note)}" for alert, note in text.NOTE_TEXTS.items())
+
+
 @query(
     "alert_notes",
     tt.alerts_sql(tt.THRESHOLD)
-    + """SELECT 'alert_note_' || customer_id AS note_id, customer_id, region, target_tier, CASE alert_reason
-        WHEN 'high_value_customer' THEN customer_name || ' in ' || region || ' region is a high-value account with $'
-            || total_spend::DECIMAL(18, 2) || ' in total spend across ' || total_orders || ' orders. Recommend priority outreach to maintain engagement and explore upsell opportunities.'
-        WHEN 'pending_order_followup' THEN customer_name || ' has ' || pending_orders || ' pending order(s) requiring follow-up. Total historical spend is $'
-            || total_spend::DECIMAL(18, 2) || '. Recommend contacting to confirm order status and resolve any blockers before the order lapses.'
-        WHEN 'cancellation_review' THEN customer_name || ' has ' || cancelled_orders || ' cancelled order(s), which may indicate dissatisfaction or a competitive loss. Recommend a retention call to understand the cancellation reason and rebuild the relationship.'
-        ELSE customer_name || ' shows no active alerts. Standard cadence outreach is sufficient; no immediate action required.'
-        END AS alert_note FROM targets""",
+    + f"""SELECT 'alert_note_' || customer_id AS note_id, customer_id, region, target_tier,
+          CASE alert_reason {NOTES_SQL} ELSE {template_sql(text.NOTE_OTHERWISE)} END AS alert_note FROM targets""",
 )
 def alert_notes(spark, sf_dir):
     return notes(spark, sf_dir).select("note_id", "customer_id", "region", "target_tier", "alert_note")
@@ -210,13 +216,10 @@ def embed_hash(spark, sf_dir):
         FROM embeddings JOIN ({tt.CENTROIDS_SQL}) ON label = query_id""",
 )
 def vector_distance(spark, sf_dir):
-    """Distance of each vector to the mean of its label."""
+    """Distance of each vector to the mean of its label. There are few labels, which is checked before a broadcast."""
     centers = tt.centroids(spark, sf_dir).withColumnRenamed("query_id", "label")
-    return (
-        tt.table(spark, sf_dir, "embeddings")
-        .join(centers, "label")
-        .select("vec_id", "label", F.round(squared_l2("embedding", "query_vector"), 4).alias("distance"))
-    )
+    placed = enrich(tt.table(spark, sf_dir, "embeddings"), centers, "label", broadcast=True, max_rows=10_000)
+    return placed.select("vec_id", "label", F.round(squared_l2("embedding", "query_vector"), 4).alias("distance"))
 
 
 def hits_sql(where: str = "true") -> str:
@@ -310,6 +313,10 @@ def chunk_search(spark, sf_dir):
     )
 
 
+def quoted(value: str) -> str:
+    return "'" + value.replace("'", "''") + "'"
+
+
 @query(
     "grounded_prompts",
     f"""WITH q AS (SELECT query_id, 'What do the documents of topic ' || query_id || ' say?' AS query_text
@@ -317,10 +324,9 @@ def chunk_search(spark, sf_dir):
     h AS (SELECT query_id, string_agg('[' || source || ']: ' || text, chr(10) || chr(10) ORDER BY rank) AS context,
                  string_agg(source, ', ' ORDER BY rank) AS sources
           FROM ({hits_sql()}) JOIN documents ON doc_id = vec_id WHERE distance <= {MAX_DISTANCE} GROUP BY query_id)
-    SELECT query_id, query_text, 'Answer the question using ONLY the context below. If the context does not contain enough information to answer, say "I don''t have enough information to answer this."'
-           || chr(10) || chr(10) || 'Context:' || chr(10) || context || chr(10) || chr(10) || 'Question: ' || query_text
+    SELECT query_id, query_text, {quoted(text.PROMPT_HEAD)} || context || chr(10) || chr(10) || 'Question: ' || query_text
            || chr(10) || chr(10) || 'Answer:' AS prompt,
-           CASE WHEN context IS NULL THEN 'I don''t have enough information to answer this.' END AS answer,
+           CASE WHEN context IS NULL THEN {quoted(text.NO_ANSWER)} END AS answer,
            coalesce(sources, '') AS sources
     FROM q LEFT JOIN h USING (query_id)""",
 )

@@ -211,7 +211,8 @@ def dq_report(spark, sf_dir):
         dq.Relationship("customer_id", "customers", "customer_id"),
         dq.Relationship("order_id", "events", "event_id"),
     ]
-    refs = {"customers": tt.customers(spark, sf_dir), "events": tt.table(spark, sf_dir, "events")}
+    customers = tt.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("customer_id"))
+    refs = {"customers": customers, "events": tt.table(spark, sf_dir, "events")}
     return dq.run_checks(tt.orders(spark, sf_dir), checks, refs)
 
 

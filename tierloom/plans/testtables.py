@@ -141,10 +141,18 @@ SIGNALS_SQL = """
 """
 
 
-def reason_sql(threshold: float) -> str:
-    return f"""CASE WHEN coalesce(total_spend, 0) > {threshold} THEN 'high_value_customer'
-        WHEN coalesce(pending_orders, 0) > 0 THEN 'pending_order_followup'
-        WHEN coalesce(cancelled_orders, 0) > 0 THEN 'cancellation_review' ELSE 'no_alert' END"""
+def priority_sql(threshold: float) -> str:
+    """The position of the first rule that holds."""
+    rules = f"[coalesce(total_spend > {threshold}, false), coalesce(pending_orders > 0, false), " \
+        "coalesce(cancelled_orders > 0, false), true]"
+    return f"list_position({rules}, true)"
+
+
+def pick_sql(labels, position: str) -> str:
+    return "[" + ", ".join(f"'{label}'" for label in labels) + f"][{position}]"
+
+
+REASONS = (al.HIGH_VALUE, al.PENDING, al.CANCELLED, al.NO_ALERT)
 
 
 def alerts_sql(threshold: float, orders_filter: str = "true") -> str:
@@ -153,18 +161,14 @@ def alerts_sql(threshold: float, orders_filter: str = "true") -> str:
     WITH stg_customers AS ({CUSTOMERS_SQL}),
     stg_orders AS ({ORDERS_SQL} WHERE {orders_filter}),
     signals AS ({SIGNALS_SQL}),
+    ranked AS (SELECT *, {priority_sql(threshold)} AS p FROM stg_customers LEFT JOIN signals USING (customer_id)),
     alerts AS (
-        SELECT customer_id, customer_name, region, coalesce(total_orders, 0) AS total_orders,
-               round(coalesce(total_spend, 0), 2) AS total_spend, coalesce(pending_orders, 0) AS pending_orders,
-               coalesce(cancelled_orders, 0) AS cancelled_orders, last_order_date,
-               {reason_sql(threshold)} AS alert_reason,
-               CASE {reason_sql(threshold)} WHEN 'high_value_customer' THEN 1 WHEN 'pending_order_followup' THEN 2
-                    WHEN 'cancellation_review' THEN 3 ELSE 4 END AS alert_priority
-        FROM stg_customers LEFT JOIN signals USING (customer_id)),
-    targets AS (
-        SELECT *, CASE alert_priority WHEN 1 THEN 'Tier 1 - High Priority' WHEN 2 THEN 'Tier 2 - Medium Priority'
-                       WHEN 3 THEN 'Tier 3 - Low Priority' ELSE 'Tier 4 - No Action' END AS target_tier
-        FROM alerts)
+        SELECT customer_id, customer_name, region, ifnull(total_orders, 0) AS total_orders,
+               round(ifnull(total_spend, 0), 2) AS total_spend, ifnull(pending_orders, 0) AS pending_orders,
+               ifnull(cancelled_orders, 0) AS cancelled_orders, last_order_date,
+               {pick_sql(REASONS, "p")} AS alert_reason, p::INTEGER AS alert_priority
+        FROM ranked),
+    targets AS (SELECT *, {pick_sql([*al.TIERS.values(), al.LOWEST_TIER], "alert_priority")} AS target_tier FROM alerts)
     """
 
 
