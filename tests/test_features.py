@@ -62,6 +62,17 @@ def test_asof(spark, stats):
         ("g", 9.0, 9), ("g", 9.0, 9)]
 
 
+def test_rows_without_a_key_match_nothing(spark, stats):
+    from unittest import mock
+
+    unkeyed = stats.withColumn("k", F.when(F.col("k") == 1, F.col("k")))
+    asked = entity_rows(spark, (None, "2024-01-05T12:00", "n"), (1, "2024-01-02T00:00", "b"))
+    want = [("b", 3.0), ("n", None)]
+    assert rows(fe.historical_features(asked, unkeyed, SPEC, ["v"]), "label", "v") == want
+    with mock.patch.object(fe, "BROADCAST_ROWS", 0):  # also without the semi join for few questions
+        assert rows(fe.historical_features(asked, unkeyed, SPEC, ["v"]), "label", "v") == want
+
+
 def test_batch_scoring_is_asof_at_one_time(spark, stats):
     stamp = datetime(2024, 1, 3)
     keys = spark.createDataFrame([(1, "x"), (2, "y"), (7, "z")], "k bigint, label string")

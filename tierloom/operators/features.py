@@ -119,12 +119,13 @@ def historical_features(
 
 
 def _reachable(entities: DataFrame, view_df: DataFrame, spec: FeatureView, ts: str) -> DataFrame:
-    """Feature rows that some entity row could get: in its time range, and of its keys if those are few.
+    """Feature rows that some entity row could get: with a key, in the time range, and of the keys asked if few.
 
     The time bounds are read first, so that they reach the scan as literals.
     """
     at = F.col(spec.timestamp_field)
     dtype = view_df.schema[spec.timestamp_field].dataType
+    view_df = view_df.where(F.col(spec.key).isNotNull())
     asked = entities.agg(
         F.min(ts).cast("string").alias("first"), F.max(ts).cast("string").alias("last"), F.count("*").alias("rows")
     ).first()

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierloom.session import carry_to_workers
+from tierloom.session import carry_to_workers, shared_folder
 
 carry_to_workers(__name__)
 
@@ -99,18 +99,17 @@ def retrieve(
     )
     first = asked.limit(block + 1).collect()
     blocks = 1 if len(first) <= block else -(-asked.count() // block)
-    found = None
-    for number in range(blocks):
-        part = first if blocks == 1 else asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == number).collect()
-        hits = _scan(part, asked.schema[query_id], searched, top_k, id_col, vector_col)
-        found = hits if found is None else found.unionByName(hits)
-    nearest = Window.partitionBy(query_id).orderBy("__distance", id_col)
-    ranked = (
-        found.withColumn("rank", F.row_number().over(nearest))
-        .where(F.col("rank") <= top_k)
-        .withColumn("distance", F.round("__distance", 4))
-        .drop("__distance")
-    )
+    search = (asked.schema[query_id], searched, top_k, id_col, vector_col)
+    if blocks == 1:
+        nearest = _nearest(first, *search)
+    else:
+        # One block is held by the driver at a time; its hits are final, as a question is in one block only.
+        path = shared_folder(queries.sparkSession, "hits")
+        for number in range(blocks):
+            part = asked.where(F.pmod(F.xxhash64(query_id), F.lit(blocks)) == number).collect()
+            _nearest(part, *search).write.parquet(f"{path}/block={number}")
+        nearest = queries.sparkSession.read.parquet(path).drop("block")
+    ranked = nearest.withColumn("distance", F.round("__distance", 4)).drop("__distance")
     if max_distance is not None:
         ranked = ranked.where(F.col("distance") <= max_distance)
     if payload:
@@ -178,10 +177,23 @@ def _bounded(hits: DataFrame, blocks: int) -> DataFrame:
     return F.broadcast(hits) if blocks == 1 else hits
 
 
+def _nearest(
+    block: list, query_field: T.StructField, vectors: DataFrame, top_k: int, id_col: str, vector_col: str
+) -> DataFrame:
+    """The ``top_k`` best vectors per question of one bounded block, with ``rank``: per task first, then overall."""
+    query_id = query_field.name
+    by_distance = Window.partitionBy(query_id).orderBy("__distance", id_col)
+    return (
+        _scan(block, query_field, vectors, top_k, id_col, vector_col)
+        .withColumn("rank", F.row_number().over(by_distance))
+        .where(F.col("rank") <= top_k)
+    )
+
+
 def _scan(
     block: list, query_field: T.StructField, vectors: DataFrame, top_k: int, id_col: str, vector_col: str
 ) -> DataFrame:
-    """Per task and question the ``top_k`` best vectors; the questions are one bounded block of rows."""
+    """Per task and question the ``top_k`` best vectors."""
     query_id = query_field.name
     schema = T.StructType(
         [query_field, vectors.schema[id_col], T.StructField("__distance", T.DoubleType())]
