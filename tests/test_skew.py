@@ -83,6 +83,11 @@ def test_running_counts(spark):
     described = drift.describe(values, ["window"], ["a", "b"])
     digits = [F.round(c, 9) if c not in ("window", "feature") else F.col(c) for c in described.columns]
     assert rows(drift.describe(values, ["window"], ["a", "b"], **SLICED).select(digits)) == rows(described.select(digits))
+    # a hot group among small ones, which are not sliced
+    small = F.concat(F.lit("g"), (F.xxhash64("a", "b") % 30).cast("string"))
+    many = values.withColumn("window", F.when(F.col("window") == "current", "hot").otherwise(small))
+    assert rows(drift.describe(many, ["window"], ["a"], **SLICED).drop("mean", "std")) == rows(
+        drift.describe(many, ["window"], ["a"]).drop("mean", "std"))
     unnamed = values.withColumn("window", F.when(F.col("window") == "current", F.col("window")))
     for settings in ({}, SLICED):
         by_null = {(r.window, r.feature): r["count"] for r in drift.describe(unnamed, ["window"], ["a"], **settings).collect()}

@@ -98,13 +98,16 @@ def _running_counts(
         return running.drop(SLICE)
     earlier = Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
-        sliced.groupBy(*group, SLICE)
+        sliced.where(F.col(SLICE) > 0)
+        .groupBy(*group, SLICE)
         .agg(*aggregates)
-        .select(*group, SLICE, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(f"shift_{n}") for n in counts])
+        .select(*group, SLICE, *[F.sum(name).over(earlier).alias(f"shift_{name}") for name in counts])
     )
     return (
         join_summaries(running, shifts, [*group, SLICE])
-        .withColumns({f"run_{name}": F.col(f"run_{name}") + F.col(f"shift_{name}") for name in counts})
+        .withColumns(
+            {f"run_{n}": F.col(f"run_{n}") + F.coalesce(F.col(f"shift_{n}"), F.lit(0)) for n in counts}
+        )
         .drop(SLICE, *[f"shift_{name}" for name in counts])
     )
 
