@@ -1,3 +1,4 @@
+import random
 from datetime import datetime, timedelta
 
 import pytest
@@ -139,3 +140,34 @@ def test_push(spark, stats, tmp_path):
     push.push_batch(stats, 0, SPEC, f"{root}/offline", table)
     assert rows(table.read(), "k", "v") == [(1, 4.0), (2, 10.0)]
     assert push.read_offline(spark, f"{root}/offline", SPEC).count() == 7
+
+
+def test_push_targets(spark, stats, tmp_path):
+    table = BucketedTable(spark, str(tmp_path / "latest"), "k", buckets=2)
+    push.push_batch(stats, 0, SPEC, str(tmp_path / "offline"), table, to=push.OFFLINE)
+    assert table.read() is None and push.read_offline(spark, str(tmp_path / "offline"), SPEC).count() == 5
+    push.push_batch(stats, 0, SPEC, str(tmp_path / "none"), table, to=push.ONLINE)
+    assert table.read().count() == 2 and not (tmp_path / "none").exists()
+    with pytest.raises(ValueError):
+        push.push_batch(stats, 1, SPEC, str(tmp_path / "none"), table, to="elsewhere")
+
+
+def test_asof_against_brute_force(spark):
+    rng = random.Random(11)
+    start = datetime(2024, 1, 1)
+
+    def at():
+        return start + timedelta(hours=rng.randint(0, 200))
+
+    known = [(rng.randint(0, 15), rng.random(), n, at(), at()) for n in range(600)]
+    asked = [(rng.randint(0, 17), at(), f"q{n}") for n in range(400)]
+    view = spark.createDataFrame(known, "k bigint, v double, n int, event_timestamp timestamp, created timestamp")
+    entities = spark.createDataFrame(asked, "k bigint, event_timestamp timestamp, label string")
+    want = []
+    for key, when, label in asked:
+        hits = [r for r in known if r[0] == key and when - SPEC.ttl <= r[3] <= when]
+        newest = max(((r[3], r[4]) for r in hits), default=None)
+        want.append((label, newest))
+    got = fe.historical_features(entities, view, SPEC, ["n"]).collect()
+    by_number = {r[2]: (r[3], r[4]) for r in known}
+    assert sorted((r.label, None if r.n is None else by_number[r.n]) for r in got) == sorted(want)

@@ -1,3 +1,4 @@
+import random
 from datetime import timedelta
 
 import pytest
@@ -58,7 +59,7 @@ def history_by_hand(log):
     out = []
     for key in sorted({k for k, _, _ in log}):
         points = []
-        for _, at, v in sorted(r for r in log if r[0] == key):
+        for _, at, v in sorted((r for r in log if r[0] == key), key=lambda r: r[1]):
             if not points or points[-1][1] != v:
                 points.append((at, v))
         for i, (at, v) in enumerate(points):
@@ -101,6 +102,19 @@ def test_apply_rebuilds_late_keys_from_the_log(spark, batch):
     assert rows(got) == history_by_hand(log + batch)
 
 
+def test_apply_against_brute_force(spark):
+    """400 keys with random changes, of which random ones arrive in a later batch, in any order."""
+    rng = random.Random(2)
+    log, batch = [], []
+    for key in range(400):
+        for at in sorted(rng.sample(range(40), rng.randint(1, 12))):
+            (batch if rng.random() < rng.choice([0.1, 0.7]) else log).append((key, at, rng.choice(["a", "b", None])))
+    dim = keyed.scd2_history(log_of(spark, *log), "k", "at", "v")
+    assert rows(dim) == history_by_hand(log)
+    got = keyed.scd2_apply(dim, log_of(spark, *batch), "k", "at", "v", log=log_of(spark, *log))
+    assert rows(got) == history_by_hand(log + batch)
+
+
 def test_as_of(spark):
     dim = keyed.scd2_history(log_of(spark, *LOG), "k", "at", "v")
     assert rows(keyed.scd2_as_of(dim, 5), "k", "v") == [(1, "b"), (2, "x"), (3, None)]

@@ -162,24 +162,27 @@ def materialize(view_df: DataFrame, spec: FeatureView, start, end) -> DataFrame:
     return latest_per_key(spec.apply(ranged), spec.key, [spec.timestamp_field, spec.created_field])
 
 
-def materialize_incremental(
-    latest: DataFrame | None, view_df: DataFrame, spec: FeatureView, end, start=None
-) -> DataFrame:
-    """Bring the latest table up to ``end``.
+def increment(latest: DataFrame | None, view_df: DataFrame, spec: FeatureView, end, start=None) -> DataFrame:
+    """The latest row per key since the previous run, up to ``end``.
 
-    ``start`` is the end of the previous run and defaults to the newest time in the table; the first run looks back
-    one TTL. Newer (time, created) wins, so a range that overlaps an earlier run does no harm.
+    ``start`` is the end of the previous run and defaults to the newest time in the latest table; the first run looks
+    back one TTL.
     """
     dtype = view_df.schema[spec.timestamp_field].dataType
-    if latest is None:
-        first = start if start is not None else (_moment(end, dtype) - F.lit(spec.ttl) if spec.ttl else None)
-        return materialize(view_df, spec, first, end)
-    if start is None:
-        mark = high_water_mark(latest, spec.timestamp_field)
-        start = None if mark is None else F.lit(mark).cast(dtype)
-    return upsert_newest(
-        latest, materialize(view_df, spec, start, end), spec.key, [spec.timestamp_field, spec.created_field]
-    )
+    if start is None and latest is None:
+        start = _moment(end, dtype) - F.lit(spec.ttl) if spec.ttl else None
+    elif start is None:
+        start = high_water_mark(latest, spec.timestamp_field)
+    return materialize(view_df, spec, start, end)
+
+
+def materialize_incremental(
+    latest: DataFrame | None, view_df: DataFrame, spec: FeatureView, end, start=None
+) -> DataFrame:
+    """Bring the latest table up to ``end``. Newer (time, created) wins, so an overlap with earlier runs does no harm."""
+    rows = increment(latest, view_df, spec, end, start)
+    newest = [spec.timestamp_field, spec.created_field]
+    return rows if latest is None else upsert_newest(latest, rows, spec.key, newest)
 
 
 def online_features(

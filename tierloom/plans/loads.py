@@ -8,7 +8,8 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from tierloom.operators import alerts as al
-from tierloom.operators.keyed import new_rows, replace_keys
+from tierloom.operators.features import FeatureView, increment
+from tierloom.operators.keyed import new_rows, replace_keys, upsert_newest
 from tierloom.operators.quality import AcceptedValues, NotNull, Relationship, Unique, guarded_write, run_checks
 from tierloom.operators.staging import stage_customers, stage_orders
 from tierloom.operators.windows import latest_per_key
@@ -86,3 +87,13 @@ def load_incremental(
         batch = latest_per_key(batch, table.key, cursor, tie_break)
     table.update(batch, lambda current, rows: replace_keys(current, rows, table.key))
     return table.read()
+
+
+def load_features(table: BucketedTable, view_df: DataFrame, spec: FeatureView, end, start=None) -> DataFrame:
+    """Materialise into a stored latest table; only buckets that hold keys of new rows are rewritten."""
+    newest = [spec.timestamp_field, spec.created_field]
+    table.update(
+        increment(table.read(), view_df, spec, end, start),
+        lambda current, rows: upsert_newest(current, rows, spec.key, newest),
+    )
+    return table.read()

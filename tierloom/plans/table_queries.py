@@ -10,7 +10,7 @@ from tierloom.operators import keyed
 from tierloom.operators import quality as dq
 from tierloom.operators.joins import orphans
 from tierloom.plans import testtables as tt
-from tierloom.plans.loads import load_incremental
+from tierloom.plans.loads import load_features, load_incremental
 from tierloom.plans.registry import query
 from tierloom.session import shared_folder
 from tierloom.sources.bucketed import BucketedTable
@@ -284,9 +284,9 @@ def feature_materialize(spark, sf_dir):
 def feature_materialize_incremental(spark, sf_dir):
     """A first run up to the cut (looking back one TTL), stored, then a second run from there."""
     rows = tt.events(spark, sf_dir)
-    first = fe.materialize_incremental(None, rows, tt.USER_VIEW, tt.EVENT_CUT)
-    stored = spark.read.parquet(write_parquet(first, shared_folder(spark, "latest_features")))
-    return fe.materialize_incremental(stored, rows, tt.USER_VIEW, "2024-01-25")
+    latest = BucketedTable(spark, shared_folder(spark, "latest_features"), "user_id", buckets=8)
+    load_features(latest, rows, tt.USER_VIEW, tt.EVENT_CUT)
+    return load_features(latest, rows, tt.USER_VIEW, "2024-01-25")
 
 
 @query(

@@ -16,30 +16,51 @@ from tierloom.operators.windows import latest_per_key
 from tierloom.sources.bucketed import BucketedTable
 
 
-def push_batch(events: DataFrame, batch_id: int, spec: FeatureView, offline_path: str, latest: BucketedTable) -> None:
-    """Write one micro-batch to the offline history and the latest table."""
+ONLINE, OFFLINE, ONLINE_AND_OFFLINE = "online", "offline", "online_and_offline"
+
+
+def push_batch(
+    events: DataFrame,
+    batch_id: int,
+    spec: FeatureView,
+    offline_path: str,
+    latest: BucketedTable,
+    to: str = ONLINE_AND_OFFLINE,
+) -> None:
+    """Write one micro-batch to the offline history, the latest table, or both."""
+    if to not in (ONLINE, OFFLINE, ONLINE_AND_OFFLINE):
+        raise ValueError(f"cannot push to {to}")
+    newest = [spec.timestamp_field, spec.created_field]
     rows = spec.apply(events).persist()
     try:
-        rows.write.mode("overwrite").parquet(f"{offline_path}/batch_id={batch_id}")
-        newest_first = [spec.timestamp_field, spec.created_field]
-        latest.update(
-            latest_per_key(rows, spec.key, newest_first),
-            lambda current, batch: upsert_newest(current, batch, spec.key, newest_first),
-            version=batch_id,
-        )
+        if to != ONLINE:
+            rows.write.mode("overwrite").parquet(f"{offline_path}/batch_id={batch_id}")
+        if to != OFFLINE:
+            latest.update(
+                latest_per_key(rows, spec.key, newest),
+                lambda current, batch: upsert_newest(current, batch, spec.key, newest),
+                version=batch_id,
+            )
     finally:
         rows.unpersist()
 
 
 def push_stream(
-    events: DataFrame, spec: FeatureView, offline_path: str, latest: BucketedTable, checkpoint: str
+    events: DataFrame,
+    spec: FeatureView,
+    offline_path: str,
+    latest: BucketedTable,
+    checkpoint: str,
+    to: str = ONLINE_AND_OFFLINE,
 ) -> StreamingQuery:
     """Push a stream of feature events to the offline history and the latest table, until the input is used up.
 
     The newer (time, created) wins in the latest table, so events may arrive out of order.
     """
     return (
-        events.writeStream.foreachBatch(lambda df, batch_id: push_batch(df, batch_id, spec, offline_path, latest))
+        events.writeStream.foreachBatch(
+            lambda df, batch_id: push_batch(df, batch_id, spec, offline_path, latest, to)
+        )
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
