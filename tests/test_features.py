@@ -137,9 +137,18 @@ def test_push(spark, stats, tmp_path):
     asked = spark.createDataFrame([(2,), (3,)], "k bigint")
     assert rows(fe.online_features(table.read(), asked, SPEC, "only_v")) == [(2, 10.0), (3, None)]
     # a replay of the first batch changes neither table
-    push.push_batch(stats, 0, SPEC, f"{root}/offline", table)
+    streams = [p.name for p in (tmp_path / "offline").glob("stream=*")]
+    assert len(streams) == 1 and streams[0] != "stream=None"
+    push.push_batch(stats, 0, SPEC, f"{root}/offline", table, stream=streams[0].removeprefix("stream="))
     assert rows(table.read(), "k", "v") == [(1, 4.0), (2, 10.0)]
+    assert spark.read.parquet(f"{root}/offline").count() == 8
     assert push.read_offline(spark, f"{root}/offline", SPEC).count() == 7
+    # a stream with a checkpoint of its own counts its batches anew, and loses nothing
+    feature_rows(spark, (5, 5.0, 5, "2024-01-08T00:00", "2024-01-08T01:00")).write.parquet(f"{root}/other")
+    other = spark.readStream.schema(stats.schema).parquet(f"{root}/other")
+    push.push_stream(other, SPEC, f"{root}/offline", table, f"{root}/checkpoint2").awaitTermination()
+    assert rows(table.read(), "k", "v") == [(1, 4.0), (2, 10.0), (5, 5.0)]
+    assert push.read_offline(spark, f"{root}/offline", SPEC).count() == 8
 
 
 def test_push_targets(spark, stats, tmp_path):

@@ -144,16 +144,16 @@ def test_bucketed_table(spark, tmp_path):
     assert rows(table.read(version=0)) == rows(start)
     # only the bucket of key 7 was written again
     assert len(list((tmp_path / "t" / "data" / "version=1").glob(f"{BUCKET}=*"))) == 1
-    # a replayed version changes nothing
-    assert table.update(orders(spark, (8, "c", "2024-01-09")), newest, version=1) == 1
+    # a batch that comes twice changes nothing
+    assert table.update(orders(spark, (7, "b", "2024-01-02")), newest) == 2
     assert rows(table.read()) == state
     # a writer that died before its manifest entry left files that nobody reads, and its rerun replaces them
     orders(spark, (9, "junk", "2024-01-09")).withColumn(BUCKET, F.lit(0)).write.partitionBy(BUCKET).parquet(
-        str(tmp_path / "t" / "data" / "version=2"))
+        str(tmp_path / "t" / "data" / "version=3"))
     assert rows(table.read()) == state
-    assert table.update(orders(spark, (9, "d", "2024-01-09")), newest) == 2
+    assert table.update(orders(spark, (9, "d", "2024-01-09")), newest) == 3
     assert rows(table.read().where("id = 9"), "value") == [("d",)]
-    assert table.update(start.limit(0), newest) == 2
+    assert table.update(start.limit(0), newest) == 3 and table.versions() == [0, 1, 2, 3]
 
 
 def test_incremental_load_reruns(spark, tmp_path):

@@ -1,9 +1,10 @@
 """A keyed Parquet table that is updated by rewriting only the buckets of changed keys.
 
 Parquet has no MERGE. Rows are placed in a fixed number of buckets by key hash; an update writes the new content of
-the touched buckets under its own version folder and then appends one small file to the manifest, which makes the
-update visible at once. Earlier versions stay readable. One writer at a time is assumed; a writer that dies before
-the manifest entry leaves the table as it was, and its rerun overwrites what it had written.
+the touched buckets under its own version folder and then one small file that names the version of every bucket,
+which makes the update visible at once. Earlier versions stay readable until their folders are removed. One writer at a
+time is assumed; a writer that dies before that file leaves the table as it was, and its rerun overwrites what it had
+written.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from collections.abc import Callable, Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.sources.readers import path_exists
+from tierloom.sources.readers import matching_paths
 
 BUCKET = "__bucket"
 
@@ -25,25 +26,25 @@ class BucketedTable:
         self.key = [key] if isinstance(key, str) else list(key)
         self.buckets = buckets
 
-    @property
-    def _manifest(self) -> str:
-        return f"{self.root}/manifest"
-
-    def _newest(self, version: int | None = None) -> dict[int, int]:
-        """The newest version of each bucket, as of ``version`` if given; one entry per bucket at most."""
-        if not path_exists(self.spark, f"{self._manifest}/*.parquet"):
-            return {}
-        entries = self.spark.read.schema("version bigint, bucket int").parquet(self._manifest)
-        if version is not None:
-            entries = entries.where(F.col("version") <= version)
-        return dict(entries.groupBy("bucket").agg(F.max("version")).collect())
+    def versions(self) -> list[int]:
+        """The published versions in order."""
+        files = matching_paths(self.spark, f"{self.root}/manifest/version=*/*.parquet")
+        return sorted(int(path.split("/version=")[-1].split("/")[0]) for path in files)
 
     def last_version(self) -> int | None:
-        return max(self._newest().values(), default=None)
+        return max(self.versions(), default=None)
+
+    def _buckets(self, version: int | None) -> dict[int, int]:
+        """Which version holds the rows of each bucket, as of a published version; at most one entry per bucket."""
+        if version is None:
+            return {}
+        entries = self.spark.read.schema("bucket int, version bigint").parquet(f"{self.root}/manifest/version={version}")
+        return dict(entries.collect())
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The table now or as of a version; None if there was nothing yet."""
-        return self._read(self._newest(version))
+        published = [v for v in self.versions() if version is None or v <= version]
+        return self._read(self._buckets(max(published, default=None)))
 
     def _read(self, newest: Mapping[int, int]) -> DataFrame | None:
         if not newest:
@@ -51,25 +52,20 @@ class BucketedTable:
         paths = [f"{self.root}/data/version={version}/{BUCKET}={bucket}" for bucket, version in newest.items()]
         return self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop("version", BUCKET)
 
-    def update(
-        self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame], version: int | None = None
-    ) -> int:
-        """Write ``merge(current rows, batch)`` for the buckets the batch touches and publish it as ``version``.
+    def update(self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int | None:
+        """Write ``merge(current rows, batch)`` for the buckets the batch touches, and publish it as a new version.
 
-        A version that is already published is left alone, so a replayed batch changes nothing.
+        A batch may come twice, so ``merge`` must give the same rows again when it has seen the batch before.
         """
-        newest = self._newest()
-        last = max(newest.values(), default=-1)
-        if version is None:
-            version = last + 1
-        elif version <= last:
-            return last
+        last = self.last_version()
+        version = 0 if last is None else last + 1
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         touched = [row[0] for row in batch.select(bucket).distinct().collect()]  # at most self.buckets values
         if not touched:
             return last
-        current = self._read({b: newest[b] for b in touched if b in newest})
-        merged = batch if current is None else merge(current, batch)
+        held = self._buckets(last)
+        current = self._read({b: held[b] for b in touched if b in held})
+        merged = merge(batch.limit(0) if current is None else current, batch)
         (
             merged.withColumn(BUCKET, bucket)
             .hint("rebalance", BUCKET)
@@ -77,6 +73,7 @@ class BucketedTable:
             .partitionBy(BUCKET)
             .parquet(f"{self.root}/data/version={version}")
         )
-        entry = self.spark.createDataFrame([(version, b) for b in touched], "version bigint, bucket int")
-        entry.coalesce(1).write.mode("append").parquet(self._manifest)
+        held.update(dict.fromkeys(touched, version))
+        entries = self.spark.createDataFrame(list(held.items()), "bucket int, version bigint")
+        entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
         return version

@@ -57,15 +57,15 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def path_exists(spark: SparkSession, path: str) -> bool:
-    """Whether the path or glob matches anything, on whichever file system it names."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
+    """The paths a path or glob matches, on whichever file system it names."""
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
     fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.globStatus(hadoop))
+    return [status.getPath().toString() for status in fs.globStatus(hadoop) or []]
 
 
 def require_sources(spark: SparkSession, paths: Sequence[str]) -> None:
     """Fail, naming every missing input, before any work starts."""
-    missing = [path for path in paths if not path_exists(spark, path)]
+    missing = [path for path in paths if not matching_paths(spark, path)]
     if missing:
         raise FileNotFoundError(f"missing sources: {', '.join(missing)}")

@@ -1,6 +1,7 @@
 """Streams into keyed tables: pushed feature events and incremental orders.
 
-Both sinks are keyed by batch number, so a batch that is replayed after a failure changes nothing.
+A batch that is replayed after a failure changes nothing: the offline history has a folder per stream and batch, which is
+written anew, and the keyed tables only take rows newer than those they hold.
 """
 
 from __future__ import annotations
@@ -26,20 +27,23 @@ def push_batch(
     offline_path: str,
     latest: BucketedTable,
     to: str = ONLINE_AND_OFFLINE,
+    stream: str = "direct",
 ) -> None:
-    """Write one micro-batch to the offline history, the latest table, or both."""
+    """Write one micro-batch to the offline history, the latest table, or both.
+
+    ``stream`` and ``batch_id`` together name the batch; a second push under the same name replaces the first one.
+    """
     if to not in (ONLINE, OFFLINE, ONLINE_AND_OFFLINE):
         raise ValueError(f"cannot push to {to}")
     newest = [spec.timestamp_field, spec.created_field]
     rows = spec.apply(events).persist()
     try:
         if to != ONLINE:
-            rows.write.mode("overwrite").parquet(f"{offline_path}/batch_id={batch_id}")
+            rows.write.mode("overwrite").parquet(f"{offline_path}/stream={stream}/batch_id={batch_id}")
         if to != OFFLINE:
             latest.update(
                 latest_per_key(rows, spec.key, newest),
                 lambda current, batch: upsert_newest(current, batch, spec.key, newest),
-                version=batch_id,
             )
     finally:
         rows.unpersist()
@@ -57,10 +61,14 @@ def push_stream(
 
     The newer (time, created) wins in the latest table, so events may arrive out of order.
     """
+
+    def push(df: DataFrame, batch_id: int) -> None:
+        # The id lives in the checkpoint: a restarted stream keeps it, a new one counts its batches under its own.
+        stream = df.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        push_batch(df, batch_id, spec, offline_path, latest, to, stream)
+
     return (
-        events.writeStream.foreachBatch(
-            lambda df, batch_id: push_batch(df, batch_id, spec, offline_path, latest, to)
-        )
+        events.writeStream.foreachBatch(push)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()
@@ -69,7 +77,7 @@ def push_stream(
 
 def read_offline(spark: SparkSession, offline_path: str, spec: FeatureView) -> DataFrame:
     """The offline history, one row per (key, time, created): an event pushed twice counts once."""
-    rows = spark.read.parquet(offline_path).drop("batch_id")
+    rows = spark.read.parquet(offline_path).drop("stream", "batch_id")
     return rows.dropDuplicates([spec.key, spec.timestamp_field, spec.created_field])
 
 
@@ -85,7 +93,6 @@ def upsert_stream(
             table.update(
                 latest_per_key(rows, table.key, order_by),
                 lambda current, batch: upsert_newest(current, batch, table.key, order_by),
-                version=batch_id,
             )
         finally:
             rows.unpersist()
