@@ -263,9 +263,9 @@ def retrieve_threshold(spark, sf_dir):
 @query("retrieve_lsh")
 def retrieve_lsh(spark, sf_dir):
     """The approximate search over vectors stored by bucket; how much of the exact result it finds is tested."""
-    bucketed = vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64)
+    bucketed = vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64, bits=5)
     path = write_parquet(bucketed, shared_folder(spark, "vector_buckets"), partition_by=["bucket"])
-    hits = vectors.retrieve_lsh(tt.centroids(spark, sf_dir), spark.read.parquet(path), radius=3)
+    hits = vectors.retrieve_lsh(tt.centroids(spark, sf_dir), spark.read.parquet(path), radius=2, bits=5)
     return typed(hits)
 
 
