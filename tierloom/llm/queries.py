@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tierloom.llm import bpe
+from tierloom.llm import bpe, chat, token_counts
 from tierloom.llm.common import table
+from tierloom.session import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,3 +29,20 @@ def query(name: str, sql: str | None = None):
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every text, as digests."""
     return bpe.transcode(table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op3_token_counts")
+def token_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of every text, through a cache that begins empty with each call."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), shared_folder(spark, "token-cache"))
+
+
+@query("op5_chat_formatting")
+def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one whose texts are full of control strings, formatted and read back."""
+    trap = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))]
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    rows = rows.unionByName(spark.createDataFrame(trap, "conv_id long, turn long, role string, text string"))
+    return chat.format_conversations(
+        rows, outputs=("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
+    )
