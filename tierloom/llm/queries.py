@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, token_counts
+from tierloom.llm import bpe, chat, exact_dedup, token_counts
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -25,6 +25,19 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+@query(
+    "op6_exact_dedup",
+    r"""WITH n AS (SELECT doc_id, coalesce(text, '') AS t, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS norm
+                   FROM documents),
+             k AS (SELECT norm, first(doc_id ORDER BY length(t) DESC, doc_id) AS keep_id, count(*) AS group_size
+                   FROM n GROUP BY norm)
+        SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(norm) AS text_sha256 FROM n JOIN k USING (norm)""",
+)
+def exact_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which document stays for every one of them."""
+    return exact_dedup.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
 @query("op7_byte_bpe")
 def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every text, as digests."""
