@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, exact_dedup, token_counts
+from tierloom.llm import bpe, chat, exact_dedup, packing, token_counts
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -50,6 +50,12 @@ def token_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), shared_folder(spark, "token-cache"))
 
 
+@query("op4_best_two_fit")
+def best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where every piece of every document goes."""
+    return packing.pack_documents(table(spark, sf_dir, "documents"), keep_ids=False)
+
+
 @query("op5_chat_formatting")
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are full of control strings, formatted and read back."""
