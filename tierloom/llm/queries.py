@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, exact_dedup, packing, token_counts
+from tierloom.llm import bpe, chat, exact_dedup, packing, token_counts, toxicity
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -44,6 +44,15 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.transcode(table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query("op2_toxicity")
+def toxicity_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score by a machine that learns from labels of two folds of three."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold_of(F.col("doc_id"), 3) != 1)
+    scored = toxicity.score(docs, toxicity.train(docs, labels))
+    return scored.select("doc_id", (toxicity.fold_of(F.col("doc_id"), 3) == 1).alias("held_out"), "score", "predicted")
+
+
 @query("op3_token_counts")
 def token_counted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every text, through a cache that begins empty with each call."""
