@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, exact_dedup, packing, token_counts, toxicity
+from tierloom.llm import bpe, chat, exact_dedup, packing, substring_dedup, token_counts, toxicity
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -74,3 +74,10 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.format_conversations(
         rows, outputs=("n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars")
     )
+
+
+@query("op10_substring_dedup")
+def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every text without its repeated passages."""
+    found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
+    return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
