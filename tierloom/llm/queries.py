@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, exact_dedup, packing, substring_dedup, token_counts, toxicity
+from tierloom.llm import bpe, chat, exact_dedup, lm, packing, substring_dedup, token_counts, toxicity
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -76,6 +76,12 @@ def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op8_lm_scoring")
+def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score by a model of nine folds of ten."""
+    return lm.score_texts(table(spark, sf_dir, "documents"), toxicity.fold_of(F.col("doc_id"), 10) == 0)
+
+
 @query("op10_substring_dedup")
 def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without its repeated passages."""
