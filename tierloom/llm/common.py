@@ -89,3 +89,19 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         before = state
     return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
         edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+
+
+def linked_labels(links, left, right):
+    """Smallest labels along a block of links: ``links[i, j]`` joins row ``i`` to column ``j``; labels only go down.
+
+    What is emitted from this is one edge for each label that went down, not one for each link.
+    """
+    import numpy as np
+
+    most = np.iinfo(np.int64).max
+    while True:
+        new_left = np.minimum(left, np.where(links, right[None, :], most).min(1, initial=most))
+        new_right = np.minimum(right, np.where(links, new_left[:, None], most).min(0, initial=most))
+        if (new_left == left).all() and (new_right == right).all():
+            return left, right
+        left, right = new_left, new_right

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, exact_dedup, lm, packing, substring_dedup, token_counts, toxicity
+from tierloom.llm import bpe, chat, exact_dedup, lm, packing, substring_dedup, token_counts, toxicity, vector_dedup
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -82,6 +82,12 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"), toxicity.fold_of(F.col("doc_id"), 10) == 0)
 
 
+@query("op9_embedding_near_dedup")
+def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors."""
+    return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 @query("op10_substring_dedup")
 def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without its repeated passages."""
