@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tierloom.llm import bpe, chat, exact_dedup, lm, packing, substring_dedup, token_counts, toxicity, vector_dedup
+from tierloom.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, substring_dedup, token_counts, toxicity, vector_dedup
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -44,6 +44,12 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.transcode(table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
 
+@query("op1_ngram_jaccard_join")
+def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class and number of links of every document."""
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
+
+
 @query("op2_toxicity")
 def toxicity_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every text's score by a machine that learns from labels of two folds of three."""
