@@ -35,6 +35,29 @@ def whole_text(column: Column) -> Column:
     return F.coalesce(column, F.lit("")).cast("binary")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, or a longer one that no column has."""
+    taken = {column.lower() for column in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
+def with_unique_key(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
+    """``docs`` and a column that tells all rows apart: ``key``, or where it has nulls or repeats, a number written with the rows."""
+    repeated = docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where("n > 1 or key is null")
+    if not repeated.limit(1).count():
+        return docs, key
+    name = fresh_name(docs, "_row")
+    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
+def rows_with(docs: DataFrame, key: str, kept: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose ``key`` is in the one column of ``kept``."""
+    name = fresh_name(docs, "_kept")
+    return docs.join(kept.toDF(name), F.col(key) == F.col(name), "left_semi")
+
+
 def words_of(text: bytes) -> list[bytes]:
     """Runs without the six separators. ``bytes.split`` knows exactly these six and no other white space."""
     return text.split()

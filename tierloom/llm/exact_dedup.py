@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import SPACES, staged
+from tierloom.llm.common import SPACES, rows_with, staged, with_unique_key
 
 BLOCK = 4096
 
@@ -100,6 +100,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", s
 
 
 def drop_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Keys must be unique; null keys are matched as one key."""
-    kept = exact_duplicates(docs, key, text).where("kept").select(F.col(key).alias("_kept"))
-    return docs.join(kept, F.col(key).eqNullSafe(F.col("_kept")), "left_semi")
+    """The rows of ``docs`` that stay, with all their columns."""
+    rows, own = with_unique_key(docs, key)
+    kept = exact_duplicates(rows, own, text).where("kept").select(F.col(own).alias("kept"))
+    return rows_with(rows, own, kept).select(*docs.columns)

@@ -21,7 +21,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import components, linked_labels, shuffle_partitions, staged, whole_text, words_of
+from tierloom.llm.common import (
+    components,
+    linked_labels,
+    rows_with,
+    shuffle_partitions,
+    staged,
+    whole_text,
+    with_unique_key,
+    words_of,
+)
 
 WORDS, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 20, 7, 0.998
 #: Texts and n-grams of a block.
@@ -286,3 +295,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     copies = staged(of_row.groupBy("node").agg(smallest).select("node", F.col("least.key").alias("copy_id")), "copies")
     out = of_row.join(classes, "root").join(copies, "node")
     return out.select("row", F.col("key").alias(key), "class_id", "copy_id", "n_links", (F.col("row") == F.col("keep_row")).alias("kept"))
+
+
+def drop_near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` that stay, one of each class, with all their columns."""
+    rows, own = with_unique_key(docs, key)
+    kept = near_duplicates(rows, own, text, **options).where("kept").select(F.col(own).alias("kept"))
+    return rows_with(rows, own, kept).select(*docs.columns)

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from tierloom.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, substring_dedup, token_counts, toxicity, vector_dedup
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
@@ -99,3 +100,6 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without its repeated passages."""
     found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
     return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tierloom.llm.common import SPACES, shuffle_partitions, staged, whole_text, words_of
+from tierloom.llm.common import SPACES, fresh_name, shuffle_partitions, staged, whole_text, with_unique_key, words_of
 from tierloom.llm.fm_index import FMIndex, repeated_stretches
 
 WINDOW, ANCHOR = 35, 12
@@ -313,3 +313,18 @@ def _without(texts: DataFrame) -> DataFrame:
 
     names = ["row", "n_removed", "kept_sha256", "kept_text"]
     return texts.select("row", "text", "spans").mapInArrow(run, "row long, n_removed long, kept_sha256 string, kept_text string")
+
+
+def cut_passages(docs: DataFrame, key: str = "doc_id", text: str = "text", window: int = WINDOW) -> DataFrame:
+    """``docs`` with all their columns; texts that lose words have those that stay, joined by one space, others are unchanged.
+
+    Every row stays, even if no word does. A column ``n_chars`` is brought up to date.
+    """
+    rows, own = with_unique_key(docs, key)
+    found = repeated_passages(rows, own, text, window).where("n_removed > 0")
+    name, left = fresh_name(rows, "_cut"), fresh_name(rows, "_left")
+    found = found.select(F.col("key").alias(name), F.coalesce("kept_text", F.lit("")).alias(left))
+    joined = rows.join(found, F.col(own) == F.col(name), "left").withColumn(text, F.coalesce(F.col(left), F.col(text)))
+    if "n_chars" in docs.columns:
+        joined = joined.withColumn("n_chars", F.when(F.col(left).isNull(), F.col("n_chars")).otherwise(F.length(text)).cast("long"))
+    return joined.select(*docs.columns)

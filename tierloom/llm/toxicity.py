@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierloom.llm.common import staged
 
@@ -217,7 +218,7 @@ def logistic(highest: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
 def highest_spans(docs: DataFrame, machine: Machine, kept: list[str], text: str) -> DataFrame:
     """``kept`` columns of ``docs`` and ``highest``, the score of each whole text's highest span; a null text is empty."""
     picked = docs.select(*kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in picked.schema if f.name != "_text")
+    schema = T.StructType([*picked.schema.fields[:-1], T.StructField("highest", T.DoubleType())])
 
     def run(batches):
         scorer = None
@@ -228,7 +229,7 @@ def highest_spans(docs: DataFrame, machine: Machine, kept: list[str], text: str)
             columns = batch.columns[:-1] + [pa.array(np.concatenate(highest) if highest else [], pa.float64())]
             yield pa.RecordBatch.from_arrays(columns, names=[*batch.schema.names[:-1], "highest"])
 
-    return picked.mapInArrow(run, f"{schema}, highest double")
+    return picked.mapInArrow(run, schema)
 
 
 def fold_of(key: Column, folds: int) -> Column:
@@ -243,8 +244,9 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y")).where("y in (0, 1)").distinct()
     order = F.xxhash64("_key")
     sample = known.where("y = 1").orderBy(order).limit(most_docs).union(known.where("y = 0").orderBy(order).limit(most_docs))
-    picked = docs.join(F.broadcast(sample), F.col(key) == F.col("_key"))  # at most 2 * most_docs rows of two numbers
-    picked = staged(picked.select("y", F.coalesce(F.col(text), F.lit("")).alias("text")).distinct(), "labelled", 24)
+    texts = docs.select(F.col(key).alias("_doc"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    picked = texts.join(F.broadcast(sample), F.col("_doc") == F.col("_key"))  # at most 2 * most_docs rows of two numbers
+    picked = staged(picked.select("y", "text").distinct(), "labelled", 24)
 
     def cut(batches):
         for batch in batches:
@@ -298,8 +300,8 @@ def score(docs: DataFrame, machine: Machine, key: str = "doc_id", text: str = "t
 
 def without_toxic(docs: DataFrame, machine: Machine, text: str = "text", threshold: float = 0.7) -> DataFrame:
     """The rows of ``docs`` whose score is below ``threshold``, with all their columns; decided in the same pass."""
-    found = highest_spans(docs.withColumn("_text_again", F.col(text)), machine, docs.columns, "_text_again")
     if not machine.weights:
         return docs
+    whole = docs.select(F.struct("*").alias("_row"), F.col(text).alias("_t"))
     limit = (np.log(threshold / (1 - threshold)) - machine.shift) / machine.slope
-    return found.where(F.col("highest") < float(limit)).select(*docs.columns)
+    return highest_spans(whole, machine, ["_row"], "_t").where(F.col("highest") < float(limit)).select("_row.*")
