@@ -17,6 +17,7 @@ added up once into one weight for each subsequence.
 
 from __future__ import annotations
 
+import math
 import re
 from dataclasses import dataclass
 from itertools import product
@@ -30,8 +31,8 @@ from pyspark.sql import types as T
 from tierloom.llm.common import staged
 
 ORDER, GAP, DECAY = 4, 2, 0.8
-#: Bounds of the training sample: documents of each label, toxic spans, clean spans, landmarks.
-MOST_DOCS, MOST_TOXIC, MOST_CLEAN, LANDMARKS = 8_000, 400, 12_000, 96
+#: Bounds of the training sample: documents of each label, toxic spans, clean spans, landmarks of each label.
+MOST_DOCS, MOST_TOXIC, MOST_CLEAN, LANDMARKS = 8_000, 400, 12_000, 80
 #: A span needs this share of the toxic documents (at least 3) as different surroundings to count as a toxic example, and
 #: may occur in clean documents at most this often against toxic ones.
 LEAST_SHARE, MOST_RATIO = 0.008, 0.05
@@ -170,11 +171,11 @@ def stretched(span: str) -> list[str]:
     return [f"{span[:i]}{c}{span[i:]}" for i in range(1, len(span)) for c in ".x"] + ["-".join(span), "*".join(span)]
 
 
-def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost: float = 10.0) -> Machine:
-    """Nyström features on landmarks among the toxic spans, then Newton steps on the squared hinge loss."""
+def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost: float = 1000.0) -> Machine:
+    """Nyström features on landmarks, the first toxic and the first clean spans, then Newton steps on the squared hinge loss."""
     if not toxic:
         return Machine({})
-    chosen = [subsequences(span) for span in toxic[:landmarks]]
+    chosen = [subsequences(span) for span in toxic[:landmarks] + clean[:landmarks]]
     gram = kernel(chosen, chosen)
     values, vectors = np.linalg.eigh(gram / gram.diagonal().mean())
     solid = values > 1e-6 * values.max()
@@ -201,18 +202,30 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost: fl
     return Machine(weights, float(w[-1]))
 
 
-def logistic(highest: np.ndarray, toxic: np.ndarray) -> tuple[float, float]:
-    """Slope and shift of a logistic curve with targets kept off 0 and 1, by Newton steps."""
+def boundary(highest: np.ndarray, toxic: np.ndarray) -> float:
+    """The value with the fewest wrong sides, in the middle of the widest gap that has this number."""
+    order = np.argsort(highest, kind="stable")
+    x, y = highest[order], toxic[order]
+    wrong = np.concatenate([[0], np.cumsum(y)]) + np.concatenate([np.cumsum((1 - y)[::-1])[::-1], [0]])
+    edges = np.concatenate([[x[0] - 1], x, [x[-1] + 1]])
+    gaps = np.diff(edges)
+    wrong = np.where(gaps > 0, wrong, len(y) + 1)
+    best = np.flatnonzero(wrong == wrong.min())
+    at = best[np.argmax(gaps[best])]
+    return float((edges[at] + edges[at + 1]) / 2)
+
+
+def logistic(highest: np.ndarray, toxic: np.ndarray, threshold: float) -> tuple[float, float]:
+    """Slope and shift of a logistic curve that takes ``threshold`` at the boundary; targets are kept off 0 and 1."""
     n1, n0 = toxic.sum(), (1 - toxic).sum()
     target = np.where(toxic > 0, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-    x, w = np.stack([highest, np.ones(len(highest))], 1), np.array([1.0, 0.0])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -60, 60)))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (p - target) + 1e-3 * (w - [1, 0]))
-        w = w - np.clip(step, -2, 2)
-        if np.abs(step).max() < 1e-8:
-            break
-    return float(max(w[0], 1e-3)), float(w[1])
+    middle, offset, slope = boundary(highest, toxic), math.log(threshold / (1 - threshold)), 1.0
+    x = highest - middle
+    for _ in range(60):
+        p = 1 / (1 + np.exp(-np.clip(slope * x + offset, -60, 60)))
+        step = ((x * (p - target)).sum() + 1e-3 * slope) / ((x * x * p * (1 - p)).sum() + 1e-3)
+        slope = min(max(slope - step, slope / 2), slope * 2)
+    return slope, offset - slope * middle
 
 
 def highest_spans(docs: DataFrame, machine: Machine, kept: list[str], text: str) -> DataFrame:
@@ -238,9 +251,9 @@ def fold_of(key: Column, folds: int) -> Column:
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "toxic",
-          most_docs: int = MOST_DOCS) -> Machine:
+          threshold: float = 0.7, most_docs: int = MOST_DOCS) -> Machine:
     """Train on ``labels`` (``key, label``) and their texts in ``docs``: at most ``most_docs`` of each label, picked by a hash of
-    the key. Labels other than 0 and 1 are left out. Without documents of both labels every score is 0."""
+    the key. Scores from ``threshold`` on mean toxic. Labels other than 0 and 1 are left out. Without documents of both labels every score is 0."""
     known = labels.select(F.col(key).alias("_key"), F.col(label).cast("int").alias("y")).where("y in (0, 1)").distinct()
     order = F.xxhash64("_key")
     sample = known.where("y = 1").orderBy(order).limit(most_docs).union(known.where("y = 0").orderBy(order).limit(most_docs))
@@ -279,13 +292,13 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     ordinary = counts.where("clean > 0").where(~(F.col("toxic") >= least) | ~share).select("span")
     clean = [row["span"] for row in ordinary.orderBy(F.xxhash64("span")).limit(MOST_CLEAN // 2).collect()]
     machine = fit(toxic, clean)
-    for _ in range(2):
+    for _ in range(3):
         scored = highest_spans(ordinary, machine, ["span"], "span") if toxic else ordinary.withColumn("highest", F.lit(0.0))
         nearest = scored.where("highest > -1").orderBy(F.desc("highest"), "span").limit(MOST_CLEAN // 4).collect()
-        clean = list(dict.fromkeys(clean + [row["span"] for row in nearest]))
+        clean = list(dict.fromkeys([row["span"] for row in nearest] + clean))
         machine = fit(toxic, clean)
     found = highest_spans(picked, machine, ["y"], "text").select("y", "highest").toPandas()  # two numbers per sampled document
-    machine.slope, machine.shift = logistic(found["highest"].to_numpy(), found["y"].to_numpy())
+    machine.slope, machine.shift = logistic(found["highest"].to_numpy(), found["y"].to_numpy(), threshold)
     return machine
 
 
