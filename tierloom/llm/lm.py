@@ -37,7 +37,7 @@ START, END = xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")  # no
 
 def planes(values: np.ndarray) -> bytes:
     """Integers as bytes, all lowest bytes first: high bytes that are mostly zero then cost nothing once compressed."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1).T).tobytes()
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
 def from_planes(data: bytes, kind) -> np.ndarray:
