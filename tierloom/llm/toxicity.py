@@ -181,10 +181,12 @@ def fit(toxic: list[str], clean: list[str], landmarks: int = LANDMARKS, cost: fl
     solid = values > 1e-6 * values.max()
     whiten = vectors[:, solid] / np.sqrt(values[solid]) / gram.diagonal().mean()
     positive = toxic + [other for span in toxic[:landmarks] for other in stretched(span)]
+    clean = [*clean, ""]  # a span that shares nothing with any landmark is clean
     x = kernel([subsequences(s) for s in positive + clean], chosen) @ whiten
     x = np.hstack([x, np.ones((len(x), 1))])
     y = np.concatenate([np.ones(len(positive)), -np.ones(len(clean))])
-    weight = np.where(y > 0, 1 / len(positive), 4 / max(1, len(clean))) * cost * 100
+    weight = np.where(y > 0, 1 / len(positive), 4 / len(clean)) * cost * 100
+    weight[-1] *= len(clean)
     w, active = np.zeros(x.shape[1]), np.ones(len(y), bool)
     ridge = np.eye(x.shape[1])
     ridge[-1, -1] = 1e-6
