@@ -30,7 +30,7 @@ def windows(spark):
 
 
 def test_report(windows):
-    got = {r.feature: r for r in drift.combined_drift(windows, "window", NUMERIC).collect()}
+    got = {r.feature: r for r in drift.combined_drift(windows, "window", NUMERIC, method="exact").collect()}
     assert got["total_spend"].baseline_mean == pytest.approx(206.948)
     assert got["total_spend"].pct_change == pytest.approx(132.45, abs=0.01)
     assert got["pending_orders"].pct_change == pytest.approx(400)
@@ -103,3 +103,28 @@ def test_large_samples_use_the_limit(spark):
 def test_union(spark):
     got = drift.union_windows({"baseline": spark.range(2), "current": spark.range(1)})
     assert rows(got) == [(0, "baseline"), (0, "current"), (1, "baseline")]
+
+
+def test_nearly_equal_windows_have_not_drifted(spark):
+    """A million rows on each side that differ in one."""
+    before = spark.range(1_000_000).select(F.lit("baseline").alias("window"), F.col("id").cast("double").alias("v"))
+    after = before.select(F.lit("current").alias("window"), F.when(F.col("v") == 500, 501.0).otherwise(F.col("v")).alias("v"))
+    found = drift.combined_drift(before.union(after), "window", ["v"]).first()
+    assert found.ks_stat == pytest.approx(1e-6) and found.p_value == 1.0 and not found.combined_drift
+
+
+def test_limiting_p_values(spark):
+    """Known points of the limiting distribution, on both sides of the two series; the size plays no part."""
+    from tierloom.functions.ks import series_p
+
+    known = [(0.001, 1.0), (0.3, 0.9999906), (0.5, 0.9639452), (0.8, 0.5441424), (0.99, 0.2808738), (1.0, 0.2699997), (1.2, 0.1122497),
+             (1.36, 0.0494859), (2.0, 0.0006709), (30.0, 0.0)]
+    for size in (8, 2_000_000):
+        frame = spark.createDataFrame([(x, x / math.sqrt(size / 2), size) for x, _ in known], "x double, d double, n long")
+        got = {r.x: r.p for r in frame.select("x", series_p(F.col("d"), F.col("n"), F.col("n")).alias("p")).collect()}
+        assert [got[x] for x, _ in known] == pytest.approx([p for _, p in known], abs=1e-5)
+
+
+def test_unknown_method(windows):
+    with pytest.raises(ValueError):
+        drift.ks_drift(windows, "window", NUMERIC, method="auto")

@@ -112,14 +112,20 @@ def _running_counts(
     )
 
 
+P_VALUES = {"limiting": series_p, "exact": exact_p}
+
+
 def ks_drift(
-    df: DataFrame, window_col: str, features: Sequence[str], alpha: float = ALPHA, **skew
+    df: DataFrame, window_col: str, features: Sequence[str], alpha: float = ALPHA, method: str = "limiting", **skew
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per feature between the two windows, missing values left out.
 
-    The statistic is the largest gap between the two running shares over all values. Samples up to
-    :data:`tierloom.functions.ks.EXACT_MAX_ROWS` rows get the exact p-value, larger ones the limiting one.
+    The statistic is the largest gap between the two running shares over all values. ``method`` says which p-value goes
+    with it, at every size: ``limiting`` is that of large samples, ``exact`` counts lattice paths, with work that grows
+    with the rows of both samples on one core, and is meant for small windows.
     """
+    if method not in P_VALUES:
+        raise ValueError(f"unknown method {method}")
     long = _long(df.where(F.col(window_col).isin(BASELINE, CURRENT)), [window_col], features)
     counts = {"n": F.count_if(_in(window_col, BASELINE)), "m": F.count_if(_in(window_col, CURRENT))}
     stats = _window_stats(df, window_col, features)  # one row per listed feature
@@ -130,7 +136,7 @@ def ks_drift(
         .groupBy("feature")
         .agg(F.max(F.abs(F.try_divide("run_n", size_n) - F.try_divide("run_m", size_m))).alias("ks_stat"))
     )
-    p = F.coalesce(exact_p("ks_stat", size_n, size_m), series_p(F.col("ks_stat"), size_n, size_m))
+    p = P_VALUES[method](F.col("ks_stat"), size_n, size_m)
     change = percent_change(F.col("baseline_mean"), F.col("current_mean"), F.lit(float("nan")))
     return (
         stats.join(gaps, "feature", "left")
@@ -170,10 +176,10 @@ def categorical_drift(df: DataFrame, window_col: str, features: Sequence[str]) -
 
 def combined_drift(
     df: DataFrame, window_col: str, numeric: Sequence[str], alpha: float = ALPHA,
-    threshold_pct: float = THRESHOLD_PCT, **skew,
+    threshold_pct: float = THRESHOLD_PCT, method: str = "limiting", **skew,
 ) -> DataFrame:
     """KS result per feature with the mean-shift flag; either one flags the feature."""
-    ks = ks_drift(df, window_col, numeric, alpha, **skew)
+    ks = ks_drift(df, window_col, numeric, alpha, method, **skew)
     return (
         _shifted(ks, threshold_pct, "__change")
         .drop("__change")
