@@ -1,3 +1,4 @@
+import datetime
 import random
 from datetime import timedelta
 
@@ -143,13 +144,13 @@ def test_bucketed_table(spark, tmp_path):
     assert len(state) == 40 and rows(table.read().where("value = 'b'"), "id") == [(7,)]
     assert rows(table.read(version=0)) == rows(start)
     # only the bucket of key 7 was written again
-    assert len(list((tmp_path / "t" / "data" / "version=1").glob(f"{BUCKET}=*"))) == 1
+    assert len(list((tmp_path / "t" / "data" / "__version=1").glob(f"{BUCKET}=*"))) == 1
     # a batch that comes twice changes nothing
     assert table.update(orders(spark, (7, "b", "2024-01-02")), newest) == 2
     assert rows(table.read()) == state
     # a writer that died before its manifest entry left files that nobody reads, and its rerun replaces them
     orders(spark, (9, "junk", "2024-01-09")).withColumn(BUCKET, F.lit(0)).write.partitionBy(BUCKET).parquet(
-        str(tmp_path / "t" / "data" / "version=3"))
+        str(tmp_path / "t" / "data" / "__version=3"))
     assert rows(table.read()) == state
     assert table.update(orders(spark, (9, "d", "2024-01-09")), newest) == 3
     assert rows(table.read().where("id = 9"), "value") == [("d",)]
@@ -163,3 +164,103 @@ def test_incremental_load_reruns(spark, tmp_path):
     assert rows(load_incremental(table, source, "at")) == once == rows(source)
     more = source.unionByName(orders(spark, (2, "b", "2024-02-01")))
     assert rows(load_incremental(table, more, "at").where("id = 2"), "value") == [("b",)]
+
+
+NULL_KEYS = "k bigint, v string, at int"
+
+
+@pytest.mark.parametrize("merge", [keyed.merge_upsert, keyed.upsert_newest])
+def test_rows_without_a_key_all_stay_and_reruns_add_none(spark, merge):
+    target = spark.createDataFrame([(1, "a", 1), (None, "x", 1)], NULL_KEYS)
+    batch = spark.createDataFrame([(1, "b", 2), (None, "y", 2), (None, "z", 2), (None, "z", 2), (None, "x", 1)], NULL_KEYS)
+    want = [(1, "b", 2), (None, "x", 1), (None, "y", 2), (None, "z", 2), (None, "z", 2)]
+    once = merge(target, batch, "k", "at")
+    assert rows(once) == sorted(want, key=repr)
+    assert rows(merge(once, batch, "k", "at")) == rows(once)
+
+
+def test_marks_hold_in_the_repeated_hour(spark):
+    """New York, 3 November 2024: 01:30 comes twice."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        instants = spark.createDataFrame([(1, 1730611800), (2, 1730613600), (3, 1730615400), (4, 1730617200)], "id int, s bigint")
+        source = instants.select("id", F.timestamp_seconds("s").alias("at"))
+        got = keyed.new_rows(source, source.where("id <= 2"), "at")
+        assert [r.id for r in got.orderBy("id").collect()] == [3, 4]
+        got = keyed.new_rows(source, source.where("id <= 3"), "at")
+        assert [r.id for r in got.collect()] == [4]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_collections_keep_the_same_record_of_a_repeated_id(spark):
+    records = spark.createDataFrame([("a", i, "x") for i in range(50)], "id string, n int, t string")
+    kept = {keyed.collection_add(None, records.repartition(k + 1)).first().n for k in range(4)}
+    assert len(kept) == 1
+    assert keyed.collection_add(None, records, order_by=["n"]).first().n == 49
+
+
+@pytest.fixture
+def stored(spark, tmp_path):
+    def open_table(buckets=8, key="k"):
+        return BucketedTable(spark, str(tmp_path / "table"), key, buckets)
+
+    return open_table
+
+
+def test_a_table_keeps_its_key_and_buckets(spark, stored):
+    frame = spark.range(100).selectExpr("id AS k", "id AS version")
+    add = lambda current, rows: keyed.replace_keys(current, rows, "k")
+    stored().update(frame, add)
+    for other in (stored(16), stored(8, "version")):
+        with pytest.raises(ValueError):
+            other.update(frame, add)
+        with pytest.raises(ValueError):
+            other.read()
+    assert rows(stored().read(), "k", "version") == rows(frame)  # a user's column may be called version
+    with pytest.raises(ValueError, match="reserved"):
+        BucketedTable(spark, stored().root + "2", "k").update(frame.withColumn("__bucket", F.lit(1)), lambda c, r: r)
+
+
+def test_new_columns_and_emptied_buckets(spark, stored):
+    table = stored(4)
+    table.update(spark.range(20).selectExpr("id AS k", "'a' AS v"), lambda current, rows: rows)
+    wider = spark.createDataFrame([(3, "b", 1.5)], "k bigint, v string, w double")
+    table.update(wider, lambda current, rows: current.where("k <> 3").unionByName(rows, allowMissingColumns=True))
+    got = {r.k: (r.v, r.w) for r in table.read().collect()}
+    assert len(got) == 20 and got[3] == ("b", 1.5) and got[4] == ("a", None)
+    with pytest.raises(ValueError, match="is gone"):
+        table.update(spark.createDataFrame([(3,)], "k bigint"), lambda current, rows: rows)
+    everything = spark.range(20).selectExpr("id AS k")
+    table.update(everything, lambda current, rows: current.join(rows, "k", "left_anti"))
+    assert table.read().count() == 0 and table.read(0).count() == 20
+    table.update(wider, lambda current, rows: current.unionByName(rows))
+    assert rows(table.read()) == [(3, "b", 1.5)]
+
+
+def test_a_batch_is_computed_once(spark, stored):
+    """A batch whose rows differ each time they are computed: rows and touched buckets still agree."""
+    batch = spark.range(200).select(F.expr("CAST(rand() * 1e12 AS bigint) AS k"))
+    stored().update(batch, lambda current, rows: rows)
+    assert stored().read().count() == 200
+
+
+def test_stored_history_and_collection(spark, stored, tmp_path):
+    from tierloom.plans.loads import load_collection, load_history
+
+    schema = "k bigint, s string, at date"
+    day = lambda n: datetime.date(2024, 1, n)
+    first = spark.createDataFrame([(1, "a", day(1)), (1, "b", day(3)), (2, "a", day(1)), (None, "n", day(2))], schema)
+    later = spark.createDataFrame([(1, "c", day(5)), (2, "a", day(4)), (None, "n", day(2))], schema)
+    got = rows(load_history(stored(), first, "at", ["s"]))
+    assert rows(load_history(stored(), first, "at", ["s"])) == got
+    got = rows(load_history(stored(), later, "at", ["s"], log=first))
+    whole = rows(keyed.scd2_history(first.union(later), "k", "at", ["s"]))
+    assert got == whole and rows(load_history(stored(), later, "at", ["s"], log=first.union(later))) == whole
+    records = BucketedTable(spark, str(tmp_path / "records"), "id", 4)
+    one = spark.createDataFrame([("a", 1), ("b", 1), (None, 1)], "id string, n int")
+    load_collection(records, one)
+    two = spark.createDataFrame([("a", 2), ("c", 2), (None, 2)], "id string, n int")
+    held = rows(load_collection(records, two))
+    assert [r for r in held if r[0]] == [("a", 1), ("b", 1), ("c", 2)]
+    assert rows(load_collection(records, two)) == held

@@ -1,79 +1,126 @@
 """A keyed Parquet table that is updated by rewriting only the buckets of changed keys.
 
 Parquet has no MERGE. Rows are placed in a fixed number of buckets by key hash; an update writes the new content of
-the touched buckets under its own version folder and then one small file that names the version of every bucket,
-which makes the update visible at once. Earlier versions stay readable until their folders are removed. One writer at a
-time is assumed; a writer that dies before that file leaves the table as it was, and its rerun overwrites what it had
-written.
+the touched buckets under its own version folder and then one small file that names the version of every bucket that
+holds rows, together with the key, the number of buckets and the schema. That file makes the update visible at once.
+Earlier versions stay readable until their folders are removed. One writer at a time is assumed; a writer that dies
+before that file leaves the table as it was, and its rerun overwrites what it had written.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tierloom.sources.readers import matching_paths
+from tierloom.session import shared_folder
+from tierloom.sources.writers import write_parquet
 
-BUCKET = "__bucket"
+#: Names of folders; no column of a table may have them.
+BUCKET, VERSION = "__bucket", "__version"
+_MANIFEST = f"bucket int, version bigint, facts string, {VERSION} bigint"
 
 
 class BucketedTable:
+    """``key`` and ``buckets`` belong to the table: once it holds something, other values are refused."""
+
     def __init__(self, spark: SparkSession, root: str, key: str | Sequence[str], buckets: int = 64):
         self.spark = spark
         self.root = root.rstrip("/")
         self.key = [key] if isinstance(key, str) else list(key)
         self.buckets = buckets
 
+    def _manifest(self) -> DataFrame | None:
+        try:
+            return self.spark.read.schema(_MANIFEST).parquet(f"{self.root}/manifest")
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def versions(self) -> list[int]:
         """The published versions in order."""
-        files = matching_paths(self.spark, f"{self.root}/manifest/version=*/*.parquet")
-        return sorted(int(path.split("/version=")[-1].split("/")[0]) for path in files)
+        manifest = self._manifest()
+        found = [] if manifest is None else manifest.select(VERSION).distinct().collect()  # folder names
+        return sorted(row[0] for row in found)
 
     def last_version(self) -> int | None:
         return max(self.versions(), default=None)
 
-    def _buckets(self, version: int | None) -> dict[int, int]:
-        """Which version holds the rows of each bucket, as of a published version; at most one entry per bucket."""
+    def _published(self, version: int | None) -> tuple[dict[int, int], T.StructType | None]:
+        """Which version holds the rows of each bucket, and the schema; at most one entry per bucket."""
         if version is None:
-            return {}
-        entries = self.spark.read.schema("bucket int, version bigint").parquet(f"{self.root}/manifest/version={version}")
-        return dict(entries.collect())
+            return {}, None
+        entries = self._manifest().where(F.col(VERSION) == version).select("bucket", "version", "facts").collect()
+        facts = next(json.loads(row.facts) for row in entries if row.bucket == -1)
+        if (facts["key"], facts["buckets"]) != (self.key, self.buckets):
+            raise ValueError(
+                f"{self.root} has key {facts['key']} in {facts['buckets']} buckets, not {self.key} in {self.buckets}"
+            )
+        held = {row.bucket: row.version for row in entries if row.bucket >= 0}
+        return held, T.StructType.fromJson(facts["schema"])
 
     def read(self, version: int | None = None) -> DataFrame | None:
         """The table now or as of a version; None if there was nothing yet."""
         published = [v for v in self.versions() if version is None or v <= version]
-        return self._read(self._buckets(max(published, default=None)))
+        held, schema = self._published(max(published, default=None))
+        return None if schema is None else self._read(held, schema)
 
-    def _read(self, newest: Mapping[int, int]) -> DataFrame | None:
-        if not newest:
-            return None
-        paths = [f"{self.root}/data/version={version}/{BUCKET}={bucket}" for bucket, version in newest.items()]
-        return self.spark.read.option("basePath", f"{self.root}/data").parquet(*paths).drop("version", BUCKET)
+    def _read(self, held: Mapping[int, int], schema: T.StructType) -> DataFrame:
+        if not held:
+            return self.spark.createDataFrame([], schema)
+        paths = [f"{self.root}/data/{VERSION}={version}/{BUCKET}={bucket}" for bucket, version in held.items()]
+        return self.spark.read.schema(schema).parquet(*paths)
 
     def update(self, batch: DataFrame, merge: Callable[[DataFrame, DataFrame], DataFrame]) -> int | None:
         """Write ``merge(current rows, batch)`` for the buckets the batch touches, and publish it as a new version.
 
-        A batch may come twice, so ``merge`` must give the same rows again when it has seen the batch before.
+        The batch is computed once, into the shared folder. A batch may come twice, so ``merge`` must give the same rows
+        again when it has seen the batch before. Columns that ``merge`` adds are null in the rows of other buckets;
+        columns may not go or change their type.
         """
         last = self.last_version()
         version = 0 if last is None else last + 1
+        held, schema = self._published(last)
+        staged = write_parquet(batch, shared_folder(self.spark, "batch"))
+        batch = self.spark.read.schema(batch.schema).parquet(staged)
         bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
         touched = [row[0] for row in batch.select(bucket).distinct().collect()]  # at most self.buckets values
         if not touched:
             return last
-        held = self._buckets(last)
-        current = self._read({b: held[b] for b in touched if b in held})
-        merged = merge(batch.limit(0) if current is None else current, batch)
+        current = batch.limit(0) if schema is None else self._read({b: held[b] for b in touched if b in held}, schema)
+        merged = merge(current, batch)
+        schema = _widened(schema, merged.schema)
+        data = f"{self.root}/data/{VERSION}={version}"
         (
             merged.withColumn(BUCKET, bucket)
             .hint("rebalance", BUCKET)
             .write.mode("overwrite")
             .partitionBy(BUCKET)
-            .parquet(f"{self.root}/data/version={version}")
+            .parquet(data)
         )
-        held.update(dict.fromkeys(touched, version))
-        entries = self.spark.createDataFrame(list(held.items()), "bucket int, version bigint")
-        entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/version={version}")
+        written = self.spark.read.schema(T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])).parquet(data)
+        filled = {row[0] for row in written.select(BUCKET).distinct().collect()}  # buckets that merge emptied have no folder
+        held = {b: v for b, v in held.items() if b not in touched} | dict.fromkeys(filled, version)
+        facts = json.dumps({"key": self.key, "buckets": self.buckets, "schema": schema.jsonValue()})
+        entries = [(-1, version, facts), *((b, v, None) for b, v in held.items())]
+        entries = self.spark.createDataFrame(entries, "bucket int, version bigint, facts string")
+        entries.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/manifest/{VERSION}={version}")
         return version
+
+
+def _widened(stored: T.StructType | None, merged: T.StructType) -> T.StructType:
+    """The stored columns and those that are new, all nullable."""
+    reserved = {BUCKET, VERSION} & set(merged.names)
+    if reserved:
+        raise ValueError(f"reserved column names: {', '.join(sorted(reserved))}")
+    types = {field.name: field.dataType for field in merged}
+    for field in stored or []:
+        if types.get(field.name) != field.dataType:
+            raise ValueError(f"column {field.name} of type {field.dataType.simpleString()} is gone or has another type")
+    fields = [*(stored or []), *(field for field in merged if stored is None or field.name not in stored.names)]
+    return T.StructType([T.StructField(field.name, field.dataType) for field in fields])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,9 +30,19 @@ ORDER_SEED = T.StructType(
 )
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
-    """CSV with a header. Without a schema the types are inferred, which reads the files twice."""
-    reader = spark.read.option("header", True)
+#: The dialect most tools write: a quote inside a quoted field is doubled, and spaces belong to the field.
+CSV_DIALECT = {"header": True, "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+
+
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType | str | None = None, multiline: bool = False
+) -> DataFrame:
+    """CSV with a header. Without a schema the types are inferred, which reads the files twice.
+
+    A row that does not fit the schema is an error. ``multiline`` allows newlines in quoted fields; a file is then
+    read by one task, so write many files.
+    """
+    reader = spark.read.options(**CSV_DIALECT).option("multiLine", multiline).option("mode", "FAILFAST")
     reader = reader.schema(schema) if schema is not None else reader.option("inferSchema", True)
     return reader.csv(path)
 
@@ -57,15 +68,19 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def matching_paths(spark: SparkSession, pattern: str) -> list[str]:
-    """The paths a path or glob matches, on whichever file system it names."""
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return [status.getPath().toString() for status in fs.globStatus(hadoop) or []]
+def is_there(spark: SparkSession, path: str) -> bool:
+    """Whether a path or glob matches anything, on whichever file system it names."""
+    try:
+        spark.read.format("binaryFile").load(path)  # lists the files and reads none
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
 
 
 def require_sources(spark: SparkSession, paths: Sequence[str]) -> None:
     """Fail, naming every missing input, before any work starts."""
-    missing = [path for path in paths if not matching_paths(spark, path)]
+    missing = [path for path in paths if not is_there(spark, path)]
     if missing:
         raise FileNotFoundError(f"missing sources: {', '.join(missing)}")

@@ -8,6 +8,8 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tierloom.sources.readers import CSV_DIALECT
+
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
     df.write.mode(mode).partitionBy(*partition_by).parquet(path)
@@ -15,7 +17,8 @@ def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (), mo
 
 
 def write_csv(df: DataFrame, path: str, partition_by: Sequence[str] = (), mode: str = "overwrite") -> str:
-    df.write.mode(mode).partitionBy(*partition_by).option("header", True).csv(path)
+    """CSV in the dialect that :func:`tierloom.sources.readers.read_csv` reads; fields may hold quotes and newlines."""
+    df.write.mode(mode).partitionBy(*partition_by).options(**CSV_DIALECT).csv(path)
     return path
 
 
