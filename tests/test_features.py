@@ -64,14 +64,10 @@ def test_asof(spark, stats):
 
 
 def test_rows_without_a_key_match_nothing(spark, stats):
-    from unittest import mock
-
     unkeyed = stats.withColumn("k", F.when(F.col("k") == 1, F.col("k")))
     asked = entity_rows(spark, (None, "2024-01-05T12:00", "n"), (1, "2024-01-02T00:00", "b"))
     want = [("b", 3.0), ("n", None)]
     assert rows(fe.historical_features(asked, unkeyed, SPEC, ["v"]), "label", "v") == want
-    with mock.patch.object(fe, "BROADCAST_ROWS", 0):  # also without the semi join for few questions
-        assert rows(fe.historical_features(asked, unkeyed, SPEC, ["v"]), "label", "v") == want
 
 
 def test_batch_scoring_is_asof_at_one_time(spark, stats):
@@ -180,3 +176,38 @@ def test_asof_against_brute_force(spark):
     got = fe.historical_features(entities, view, SPEC, ["n"]).collect()
     by_number = {r[2]: (r[3], r[4]) for r in known}
     assert sorted((r.label, None if r.n is None else by_number[r.n]) for r in got) == sorted(want)
+
+
+def test_several_views_on_one_time_line(spark, stats):
+    """Both views in one request, with a field they share, also when the key is hot."""
+    other = fe.FeatureView("more", "k", {"v": T.DoubleType(), "w": T.LongType()}, timestamp_field="at", created_field="made")
+    rows2 = spark.createDataFrame([(1, 10.0, 7, "2024-01-01"), (1, 11.0, 8, "2024-01-04"), (2, 12.0, 9, "2024-01-02")],
+                                  "k bigint, v double, w bigint, d string")
+    rows2 = rows2.select("k", "v", "w", F.to_timestamp("d").alias("at"), F.to_timestamp("d").alias("made"))
+    asked = entity_rows(spark, (1, "2024-01-03T12:00", "a"), (2, "2024-01-01T12:00", "b"), (9, "2024-01-09T00:00", "c"))
+    one = fe.historical_features(asked, stats, SPEC, ["v"]).withColumnRenamed("v", f"{SPEC.name}__v")
+    two = fe.historical_features(asked, rows2, other, ["v", "w"]).withColumnRenamed("v", "more__v")
+    want = rows(one.join(two, ["k", "event_timestamp", "label"]), "label", f"{SPEC.name}__v", "more__v", "w")
+    names = [f"{SPEC.name}:v", "more:v", "more:w"]
+    for skew in ({}, {"share": 0.05, "min_rows": 0}):
+        got = fe.historical_views(asked, [(stats, SPEC), (rows2, other)], names, **skew)
+        assert rows(got, "label", f"{SPEC.name}__v", "more__v", "w") == want
+    with pytest.raises(KeyError):
+        fe.historical_views(asked, [(stats, SPEC)], names)
+
+
+def test_asof_in_the_repeated_hour(spark):
+    """New York, 3 November 2024: a value from the first 01:30 is there at the second one."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        at = F.timestamp_seconds("s")
+        known = spark.createDataFrame([(1, 2.5, 1730611800)], "k bigint, v double, s bigint").select(
+            "k", "v", at.alias(SPEC.timestamp_field), at.alias(SPEC.created_field))
+        known = known.withColumns({name: F.lit(None).cast(t) for name, t in SPEC.fields.items() if name != "v"})
+        asked = spark.createDataFrame([(1, "x", 1730615400), (1, "y", 1730608200)], "k bigint, label string, s bigint")
+        asked = asked.select("k", "label", at.alias("event_timestamp"))
+        assert rows(fe.historical_features(asked, known, SPEC, ["v"]), "label", "v") == [("x", 2.5), ("y", None)]
+        latest = fe.materialize_incremental(known, known.withColumn("v", F.lit(9.0)), SPEC, "2024-11-04")
+        assert rows(latest, "k") == [(1,)]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")

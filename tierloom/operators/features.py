@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierloom.operators.joins import BROADCAST_ROWS
-from tierloom.operators.keyed import high_water_mark, upsert_newest
+from tierloom.operators.keyed import extreme, extremes, upsert_newest
 from tierloom.operators.skew import SLICE, join_summaries, with_slices
 from tierloom.operators.windows import latest_per_key
 
@@ -85,14 +84,46 @@ def historical_features(
     entity columns pass through. Both sides are laid on one time line per key and the last feature value is carried
     forward, so the work is linear; the slices of a hot key pass their last value on to the next ones.
     """
-    names = spec.resolve(features)
-    at, created, key = spec.timestamp_field, spec.created_field, spec.key
-    typed = spec.apply(_reachable(entities, view_df, spec, ts))
-    value = F.struct(F.col(at).alias("at"), *names)
-    known = typed.select(
-        key, F.col(at).alias("__ts"), F.lit(0).alias("__side"), F.col(created).alias("__created"),
-        value.alias("__value"),
-    )
+    return historical_views(entities, [(view_df, spec)], {spec.name: spec.resolve(features)}, ts, **skew)
+
+
+def split_features(features: Sequence[str], specs: Sequence[FeatureView]) -> dict[str, list[str]]:
+    """Field names for each view from ``"view:field"`` names."""
+    known, wanted = {spec.name: spec for spec in specs}, {}
+    for feature in features:
+        view, _, _ = feature.rpartition(":")
+        if view not in known:
+            raise KeyError(f"unknown feature {feature}")
+        wanted.setdefault(view, []).extend(known[view].resolve([feature]))
+    return wanted
+
+
+def historical_views(
+    entities: DataFrame,
+    views: Sequence[tuple[DataFrame, FeatureView]],
+    features: Sequence[str] | Mapping[str, Sequence[str]],
+    ts: str = "event_timestamp",
+    **skew,
+) -> DataFrame:
+    """:func:`historical_features` from several views with one key: all of them are laid on one time line.
+
+    ``features`` are ``"view:field"`` names, or field names by view. A field that two views share comes back as
+    ``view__field``.
+    """
+    wanted = features if isinstance(features, Mapping) else split_features(features, [spec for _, spec in views])
+    views = [(df, spec) for df, spec in views if spec.name in wanted]
+    if len({spec.key for _, spec in views}) != 1:
+        raise ValueError("views asked together need one key")
+    key, known = views[0][1].key, None
+    for number, (view_df, spec) in enumerate(views):
+        at, created = spec.timestamp_field, spec.created_field
+        typed = spec.apply(_reachable(entities, view_df, spec, ts))
+        one = typed.select(
+            key, F.col(at).alias("__ts"), F.lit(0).alias("__side"), F.col(created).alias("__created"),
+            F.struct(F.col(at).alias("at"), *wanted[spec.name]).alias(f"__value_{number}"),
+        )
+        known = one if known is None else known.unionByName(one, allowMissingColumns=True)
+    values = [f"__value_{number}" for number in range(len(views))]
     asked = entities.select(
         key, F.col(ts).alias("__ts"), F.lit(1).alias("__side"), F.struct(*entities.columns).alias("__entity")
     )
@@ -102,20 +133,32 @@ def historical_features(
         .orderBy("__ts", "__side", "__created")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    seen = line.withColumn("__value", F.last("__value", ignorenulls=True).over(so_far))
+    seen = line.withColumns({value: F.last(value, ignorenulls=True).over(so_far) for value in values})
     if hot:
         earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = (
             line.where(F.col(SLICE) > 0)
             .groupBy(key, SLICE)
-            .agg(F.expr("max_by(__value, struct(__ts, __created)) FILTER (WHERE __side = 0)").alias("__end"))
-            .select(key, SLICE, F.last("__end", ignorenulls=True).over(earlier).alias("__carry"))
+            .agg(*[F.expr(f"max_by({value}, struct(__ts, __created)) FILTER (WHERE {value} IS NOT NULL)").alias(f"__end{value}")
+                   for value in values])
+            .select(key, SLICE, *[F.last(f"__end{value}", ignorenulls=True).over(earlier).alias(f"__carry{value}")
+                                  for value in values])
         )
-        seen = join_summaries(seen, carried, [key, SLICE]).withColumn("__value", F.coalesce("__value", "__carry"))
-    fresh = F.lit(True) if not spec.ttl else F.col("__value.at") >= F.col("__ts") - F.lit(spec.ttl)
-    return seen.where("__side = 1").select(
-        "__entity.*", *[F.when(fresh, F.col(f"__value.{name}")).alias(name) for name in names]
-    )
+        seen = join_summaries(seen, carried, [key, SLICE])
+        seen = seen.withColumns({value: F.coalesce(value, f"__carry{value}") for value in values})
+    columns = []
+    for value, (_, spec) in zip(values, views):
+        fresh = F.lit(True) if not spec.ttl else F.col(f"{value}.at") >= F.col("__ts") - F.lit(spec.ttl)
+        columns += [F.when(fresh, F.col(f"{value}.{name}")).alias(shown)
+                    for name, shown in zip(wanted[spec.name], _shown(spec.name, wanted))]
+    return seen.where("__side = 1").select("__entity.*", *columns)
+
+
+def _shown(view: str, wanted: Mapping[str, Sequence[str]]) -> list[str]:
+    """Names of a view's fields in the result."""
+    return [
+        f"{view}__{name}" if sum(name in names for names in wanted.values()) > 1 else name for name in wanted[view]
+    ]
 
 
 def _reachable(entities: DataFrame, view_df: DataFrame, spec: FeatureView, ts: str) -> DataFrame:
@@ -126,17 +169,14 @@ def _reachable(entities: DataFrame, view_df: DataFrame, spec: FeatureView, ts: s
     at = F.col(spec.timestamp_field)
     dtype = view_df.schema[spec.timestamp_field].dataType
     view_df = view_df.where(F.col(spec.key).isNotNull())
-    asked = entities.agg(
-        F.min(ts).cast("string").alias("first"), F.max(ts).cast("string").alias("last"), F.count("*").alias("rows")
-    ).first()
+    asked = extremes(entities, {"first": (ts, F.min), "last": (ts, F.max)})
     if asked["first"] is None:
         return view_df
-    reachable = view_df.where(at <= F.lit(asked["last"]).cast(dtype))
+    reachable = view_df.where(at <= asked["last"].cast(dtype))
     if spec.ttl:
-        reachable = reachable.where(at >= F.lit(asked["first"]).cast(dtype) - F.lit(spec.ttl))
-    if asked["rows"] <= BROADCAST_ROWS:
-        reachable = reachable.join(F.broadcast(entities.select(spec.key).distinct()), spec.key, "left_semi")
-    return reachable
+        reachable = reachable.where(at >= asked["first"].cast(dtype) - F.lit(spec.ttl))
+    # A semi join with few keys: the planner sends them to all tasks if their size at run time allows it.
+    return reachable.join(entities.select(spec.key).distinct(), spec.key, "left_semi")
 
 
 def batch_scoring(
@@ -172,7 +212,7 @@ def increment(latest: DataFrame | None, view_df: DataFrame, spec: FeatureView, e
     if start is None and latest is None:
         start = _moment(end, dtype) - F.lit(spec.ttl) if spec.ttl else None
     elif start is None:
-        start = high_water_mark(latest, spec.timestamp_field)
+        start = extreme(latest, spec.timestamp_field)
     return materialize(view_df, spec, start, end)
 
 
@@ -192,6 +232,18 @@ def online_features(
     return entities.join(latest.select(spec.key, *spec.resolve(features)), spec.key, "left")
 
 
+def online_views(
+    entities: DataFrame, latest: Sequence[tuple[DataFrame, FeatureView]], features: Sequence[str]
+) -> DataFrame:
+    """:func:`online_features` from several views, by ``"view:field"`` names; shared fields as ``view__field``."""
+    wanted = split_features(features, [spec for _, spec in latest])
+    for table, spec in latest:
+        if spec.name in wanted:
+            columns = [F.col(name).alias(shown) for name, shown in zip(wanted[spec.name], _shown(spec.name, wanted))]
+            entities = entities.join(table.select(spec.key, *columns), spec.key, "left")
+    return entities
+
+
 def on_demand(df: DataFrame, derived: Mapping[str, str]) -> DataFrame:
     """Features computed on request from stored features and request columns, as SQL expressions."""
     return df.withColumns({name: F.expr(sql) for name, sql in derived.items()})
