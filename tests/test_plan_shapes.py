@@ -7,6 +7,7 @@ import pytest
 import __spark_entry__ as entry
 from tierloom.operators import joins
 from tierloom.plans import testtables as tt
+from tierloom.plans.registry import QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -18,7 +19,7 @@ def plan_of(df):
 WRITES = {"incremental_delete_insert", "push_ingest", "push_offline", "stream_upsert_orders", "scan_text"}
 
 
-@pytest.mark.parametrize("name", sorted(set(entry.queries()) - WRITES))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - WRITES))
 def test_no_query_pairs_rows_without_a_key(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan

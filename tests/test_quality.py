@@ -57,3 +57,10 @@ def test_evolving_columns(spark, tmp_path):
     want = [(0, None), (1, None), (2, "x"), (3, "x")]
     assert rows(writers.read_evolved(spark, path), "id", "extra") == want
     assert rows(writers.append_evolving(old, new), "id", "extra") == want
+
+
+def test_quarantine_refuses_checks_of_whole_tables(spark):
+    frame = spark.range(3).withColumnRenamed("id", "k")
+    for check in (dq.Unique(("k",)), dq.Relationship("k", "t", "k")):
+        with pytest.raises(TypeError):
+            dq.quarantine(frame, [dq.NotNull("k"), check])

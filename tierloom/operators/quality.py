@@ -139,7 +139,12 @@ def run_checks(df: DataFrame, checks: Sequence, refs: Mapping[str, DataFrame] |
 
 
 def quarantine(df: DataFrame, checks: Sequence) -> tuple[DataFrame, DataFrame]:
-    """Split rows into those that pass all row checks and those that fail any, the latter with ``violations``."""
+    """Split rows into those that pass all row checks and those that fail any, the latter with ``violations``.
+
+    Checks over whole tables say nothing about a single row and are refused.
+    """
+    if other := [NAMES[type(c)] for c in checks if not isinstance(c, ROW_CHECKS)]:
+        raise TypeError(f"not checks of single rows: {', '.join(other)}")
     failed = F.array_compact(
         F.array(*[F.when(c.violated(), F.lit(f"{NAMES[type(c)]}({c.column})")) for c in checks])
     )

@@ -20,22 +20,30 @@ MEANS_SQL = f"""
            avg(value) FILTER (WHERE w = 'current') AS current_mean FROM ({tt.LONG_SQL}) GROUP BY feature
 """
 
-KS_SQL = f"""
-    WITH long AS ({tt.LONG_SQL}),
+
+
+def ks_sql(long: str, means: str) -> str:
+    """The limiting p-value from the one series that converges for every statistic, with enough terms for all of them."""
+    return f"""
+    WITH long AS ({long}),
     v AS (SELECT feature, value, count(*) FILTER (WHERE w = 'baseline') AS n,
                  count(*) FILTER (WHERE w = 'current') AS m FROM long GROUP BY feature, value),
     run AS (SELECT feature, sum(n) OVER t AS run_n, sum(m) OVER t AS run_m, sum(n) OVER f AS all_n, sum(m) OVER f AS all_m
             FROM v WINDOW t AS (PARTITION BY feature ORDER BY value), f AS (PARTITION BY feature)),
     stat AS (SELECT feature, max(abs(run_n::DOUBLE / all_n - run_m::DOUBLE / all_m)) AS d,
                     max(all_n)::DOUBLE AS n, max(all_m)::DOUBLE AS m FROM run GROUP BY feature),
-    p AS (SELECT *, greatest(0, least(1, 2 * list_sum(list_transform(range(1, 101), lambda k:
-              (CASE WHEN k % 2 = 1 THEN 1.0 ELSE -1.0 END) * exp(-2.0 * k * k * d * d * n * m / (n + m)))))) AS p FROM stat)
+    x AS (SELECT *, d * sqrt(n / (n + m) * m) AS x FROM stat),
+    p AS (SELECT *, CASE WHEN x = 0 THEN 1.0 WHEN x > 10 THEN 0.0 ELSE greatest(0, least(1, 1 - sqrt(2 * pi()) / x
+              * list_sum(list_transform(range(1, 201, 2), lambda o: exp(-o * o * pi() * pi() / (8 * x * x)))))) END AS p FROM x)
     SELECT feature, round(baseline_mean, 6) AS baseline_mean, round(current_mean, 6) AS current_mean,
            round((current_mean - baseline_mean) / baseline_mean * 100, 6) AS pct_change, round(d, 6) AS ks_stat,
            round(p, 6) AS p_value, p < 0.05 AS drift_detected
-    FROM p JOIN ({MEANS_SQL}) USING (feature)
+    FROM p JOIN ({means}) USING (feature)
 """
 
+
+KS_SQL = ks_sql(tt.LONG_SQL, MEANS_SQL)
+
 REPORT_SQL = f"""
     SELECT *, abs(pct_change) > 30 AS mean_shift_drift, drift_detected OR abs(pct_change) > 30 AS combined_drift
     FROM ({KS_SQL})
@@ -60,6 +68,31 @@ def drift_ks(spark, sf_dir):
     return tt.rounded(found, *ROUNDED, "ks_stat", "p_value", digits=6)
 
 
+SNAPSHOT_SQL = """
+    SELECT w, feature, value FROM (
+        SELECT 'baseline' AS w, l_quantity::DOUBLE AS l_quantity, l_extendedprice::DOUBLE AS l_extendedprice FROM lineitem
+        UNION ALL
+        SELECT 'current', l_quantity + CASE WHEN l_orderkey = (SELECT min(l_orderkey) FROM lineitem) THEN 1 ELSE 0 END,
+               l_extendedprice FROM lineitem)
+    UNPIVOT (value FOR feature IN (l_quantity, l_extendedprice))
+"""
+SNAPSHOT_MEANS_SQL = f"""
+    SELECT feature, avg(value) FILTER (WHERE w = 'baseline') AS baseline_mean,
+           avg(value) FILTER (WHERE w = 'current') AS current_mean FROM ({SNAPSHOT_SQL}) GROUP BY feature
+"""
+
+
+@query("drift_ks_snapshots", ks_sql(SNAPSHOT_SQL, SNAPSHOT_MEANS_SQL))
+def drift_ks_snapshots(spark, sf_dir):
+    """Two snapshots that differ in the rows of one order: the usual case, and no drift."""
+    features = ["l_quantity", "l_extendedprice"]
+    before = tt.table(spark, sf_dir, "lineitem").select("l_orderkey", *[F.col(f).cast("double").alias(f) for f in features])
+    first = before.agg(F.min("l_orderkey")).first()[0]
+    after = before.withColumn("l_quantity", F.col("l_quantity") + (F.col("l_orderkey") == first).cast("int"))
+    found = drift.ks_drift(drift.union_windows({"baseline": before, "current": after}), "window", features)
+    return tt.rounded(found, *ROUNDED, "ks_stat", "p_value", digits=6)
+
+
 @query("drift_report", REPORT_SQL)
 def drift_report(spark, sf_dir):
     found = drift.combined_drift(tt.windows(spark, sf_dir), "window", tt.NUMERIC)
@@ -190,14 +223,14 @@ def chunk_recursive(spark, sf_dir):
     return text.chunk_recursive(tt.table(spark, sf_dir, "documents"), "doc_id", "text")
 
 
-@query(
-    "chunk_fixed",
-    """WITH c AS (SELECT doc_id, unnest(range(0, length(text), 340)) AS pos, text FROM documents),
-    n AS (SELECT doc_id, pos // 340 AS chunk_index, substring(text, pos + 1, 400) AS chunk_text,
+CHUNKS_SQL = """WITH c AS (SELECT doc_id, source, unnest(range(0, length(text), 340)) AS pos, text FROM documents),
+    n AS (SELECT doc_id, source, pos // 340 AS chunk_index, substring(text, pos + 1, 400) AS chunk_text,
                  count(*) OVER (PARTITION BY doc_id) AS total_chunks FROM c)
-    SELECT doc_id || '#' || chunk_index AS chunk_id, doc_id, chunk_index::INTEGER AS chunk_index,
-           total_chunks::INTEGER AS total_chunks, (chunk_index + 1) || '/' || total_chunks AS chunk_label, chunk_text FROM n""",
-)
+    SELECT doc_id || '#' || chunk_index AS chunk_id, doc_id, source, chunk_index::INTEGER AS chunk_index,
+           total_chunks::INTEGER AS total_chunks, (chunk_index + 1) || '/' || total_chunks AS chunk_label, chunk_text FROM n"""
+
+
+@query("chunk_fixed", f"SELECT * EXCLUDE source FROM ({CHUNKS_SQL})")
 def chunk_fixed(spark, sf_dir):
     return text.chunk_fixed(tt.table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -205,9 +238,46 @@ def chunk_fixed(spark, sf_dir):
 # --- vectors ---
 
 
-@query("embed_hash")
+TOKENS_SQL = r"list_filter(regexp_split_to_array(lower({text}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')"
+
+
+def counts_sql(source: str, key: str, text: str) -> str:
+    """Signed counts per bucket of each text, and their length."""
+    return f"""
+    SELECT {key}, bucket, c, sqrt(sum(c * c) OVER (PARTITION BY {key})) AS norm FROM (
+        SELECT {key}, (('0x' || substr(md5(t), 1, 8))::BIGINT % {vectors.HASH_DIM})::INTEGER AS bucket,
+               sum(CASE WHEN substr(md5(t), 9, 1) < '8' THEN 1 ELSE -1 END)::DOUBLE AS c
+        FROM (SELECT {key}, unnest({TOKENS_SQL.format(text=text)}) AS t FROM ({source})) GROUP BY ALL)
+    WHERE c <> 0
+    """
+
+
+def search_sql(stored: str, key: str, text: str, questions: dict[str, str], payload: str, limit: str = "true") -> str:
+    """The three nearest texts of each question, over unit vectors of signed counts; a text without counts has none."""
+    asked = " UNION ALL ".join(f"SELECT '{name}' AS query_id, '{words}' AS query_text" for name, words in questions.items())
+    return f"""
+    WITH stored AS ({stored}),
+    s AS (SELECT {key}, bucket, (c / norm)::FLOAT::DOUBLE AS x FROM ({counts_sql("SELECT * FROM stored", key, text)})),
+    q AS (SELECT query_id, bucket, (c / norm)::FLOAT::DOUBLE AS y FROM ({counts_sql(asked, "query_id", "query_text")})),
+    pairs AS (SELECT * FROM (SELECT query_id, sum(y * y) AS yy FROM q GROUP BY ALL), (SELECT {key}, sum(x * x) AS xx FROM s GROUP BY ALL)),
+    dots AS (SELECT query_id, {key}, sum(x * y) AS xy FROM q JOIN s USING (bucket) GROUP BY ALL),
+    far AS (SELECT query_id, {key}, round(xx + yy - 2 * coalesce(xy, 0), 9) AS d FROM pairs LEFT JOIN dots USING (query_id, {key})),
+    hits AS (SELECT query_id, {key}, round(d, 4) AS distance, row_number() OVER (PARTITION BY query_id ORDER BY d, {key}) AS rank
+             FROM far QUALIFY rank <= 3)
+    SELECT query_id, rank, {key}, distance, {payload} FROM hits JOIN stored USING ({key}) WHERE {limit}
+    """
+
+
+@query(
+    "embed_hash",
+    f"""SELECT doc_id, bucket, round((c / norm)::FLOAT::DOUBLE, 6) AS value
+        FROM ({counts_sql("SELECT * FROM documents", "doc_id", "text")})""",
+)
 def embed_hash(spark, sf_dir):
-    return vectors.embed(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), "text").drop("text")
+    """The vector of every document, as its parts that are not zero."""
+    embedded = vectors.embed(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    parts = embedded.select("doc_id", F.posexplode("embedding").alias("bucket", "value")).where("value <> 0")
+    return parts.withColumn("value", F.round(F.col("value").cast("double"), 6))
 
 
 @query(
@@ -260,13 +330,23 @@ def retrieve_threshold(spark, sf_dir):
     return typed(hits)
 
 
+def bucketed_vectors(spark, sf_dir, bits):
+    stored = vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64, bits=bits)
+    return spark.read.parquet(write_parquet(stored, shared_folder(spark, "vector_buckets"), partition_by=["bucket"]))
+
+
 @query("retrieve_lsh")
 def retrieve_lsh(spark, sf_dir):
     """The approximate search over vectors stored by bucket; how much of the exact result it finds is tested."""
-    bucketed = vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64, bits=5)
-    path = write_parquet(bucketed, shared_folder(spark, "vector_buckets"), partition_by=["bucket"])
-    hits = vectors.retrieve_lsh(tt.centroids(spark, sf_dir), spark.read.parquet(path), radius=2, bits=5)
-    return typed(hits)
+    stored = bucketed_vectors(spark, sf_dir, 6)
+    return typed(vectors.retrieve_lsh(tt.centroids(spark, sf_dir), stored, radius=2, bits=6))
+
+
+@query("retrieve_lsh_all_buckets", hits_sql())
+def retrieve_lsh_all_buckets(spark, sf_dir):
+    """The same join with a radius that reaches every bucket: the exact hits."""
+    stored = bucketed_vectors(spark, sf_dir, 5)
+    return typed(vectors.retrieve_lsh(tt.centroids(spark, sf_dir), stored, radius=5, bits=5))
 
 
 def stored(spark, df, purpose):
@@ -279,37 +359,101 @@ def stored(spark, df, purpose):
 def asked(spark, **questions):
     """Questions with their vectors."""
     rows = spark.createDataFrame(list(questions.items()), "query_id string, query_text string")
-    return vectors.embed(rows, "query_text", vector_col="query_vector")
+    return vectors.meaningful(vectors.embed(rows, "query_text", vector_col="query_vector"), "query_vector")
+
 
+NOTE_QUESTIONS = {
+    "q1": "Which customers need retention outreach due to cancellations?",
+    "q2": "Who are our highest value accounts to prioritize?",
+}
+NOTES_TABLE_SQL = (
+    tt.alerts_sql(tt.THRESHOLD)
+    + f"""SELECT 'alert_note_' || customer_id AS note_id, customer_name, region, target_tier,
+          CASE alert_reason {NOTES_SQL} ELSE {template_sql(text.NOTE_OTHERWISE)} END AS alert_note FROM targets"""
+)
 
-@query("note_search")
+
+@query(
+    "note_search",
+    search_sql(f"SELECT * FROM ({NOTES_TABLE_SQL}) WHERE region = 'asia'", "note_id", "alert_note", NOTE_QUESTIONS,
+               "customer_name, target_tier, alert_note"),
+)
 def note_search(spark, sf_dir):
     """Questions over the notes of all customers in one region."""
     collection = keyed.collection_add(None, vectors.embed(notes(spark, sf_dir), "alert_note"), "note_id")
-    return vectors.retrieve(
-        asked(
-            spark,
-            q1="Which customers need retention outreach due to cancellations?",
-            q2="Who are our highest value accounts to prioritize?",
-        ),
-        stored(spark, collection, "notes"),
-        where=F.col("region") == "asia",
-        id_col="note_id",
-        payload=["customer_name", "target_tier", "alert_note"],
+    return typed(
+        vectors.retrieve(
+            asked(spark, **NOTE_QUESTIONS),
+            stored(spark, vectors.meaningful(collection), "notes"),
+            where=F.col("region") == "asia",
+            id_col="note_id",
+            payload=["customer_name", "target_tier", "alert_note"],
+        )
+    )
+
+
+#: The last question has no word of any document.
+CHUNK_QUESTIONS = {"q1": "that heron in the", "q2": "le la des que", "q3": "zzzz"}
+
+
+def chunk_hits(spark, chunks, id_col="chunk_id", payload=("source", "chunk_label", "chunk_text"), text_col="chunk_text"):
+    collection = stored(spark, vectors.meaningful(vectors.embed(chunks, text_col)), "chunks")
+    return typed(
+        vectors.retrieve(
+            asked(spark, **CHUNK_QUESTIONS), collection, id_col=id_col, max_distance=vectors.MAX_DISTANCE, payload=list(payload)
+        )
     )
 
 
 @query("chunk_search")
 def chunk_search(spark, sf_dir):
     """Documents split, embedded and stored; questions find the chunks that share most words with them."""
-    chunks = text.chunk_recursive(tt.table(spark, sf_dir, "documents"), "doc_id", "text", keep=["source"])
-    collection = stored(spark, vectors.embed(chunks, "chunk_text"), "chunks")
-    return vectors.retrieve(
-        asked(spark, q1="that heron in the", q2="le la des que", q3="zzzz"),
-        collection,
-        id_col="chunk_id",
-        max_distance=vectors.MAX_DISTANCE,
-        payload=["source", "chunk_label", "chunk_text"],
+    return chunk_hits(spark, text.chunk_recursive(tt.table(spark, sf_dir, "documents"), "doc_id", "text", keep=["source"]))
+
+
+@query(
+    "chunk_search_fixed",
+    search_sql(f"SELECT * FROM ({CHUNKS_SQL}) WHERE source = 'src3'", "chunk_id", "chunk_text", CHUNK_QUESTIONS,
+               "source, chunk_label, chunk_text", f"distance <= {vectors.MAX_DISTANCE}"),
+)
+def chunk_search_fixed(spark, sf_dir):
+    """The same over fixed windows of the documents of one source."""
+    documents = tt.table(spark, sf_dir, "documents").where("source = 'src3'")
+    return chunk_hits(spark, text.chunk_fixed(documents, "doc_id", "text", keep=["source"]))
+
+
+@query(
+    "document_search",
+    search_sql("SELECT * FROM documents", "doc_id", "text", CHUNK_QUESTIONS, "source, lang",
+               f"distance <= {vectors.MAX_DISTANCE}"),
+)
+def document_search(spark, sf_dir):
+    """Whole documents as a stored collection, searched with the same questions."""
+    return chunk_hits(spark, tt.table(spark, sf_dir, "documents"), "doc_id", ["source", "lang"], "text")
+
+
+@query(
+    "chunk_recursive_checks",
+    r"""SELECT doc_id, list_unique(list_filter(regexp_split_to_array(text, '[.\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS words,
+        0::BIGINT AS lost, 0::BIGINT AS too_long, 0::BIGINT AS not_in_text
+        FROM documents WHERE regexp_matches(text, '[^.\x20\x09-\x0D]')""",
+)
+def chunk_recursive_checks(spark, sf_dir):
+    """Chunks against their documents: no word is lost (a full stop may go to the next chunk), none is longer than allowed, and each stands in its text."""
+    documents = tt.table(spark, sf_dir, "documents").select("doc_id", "text")
+    chunks = text.chunk_recursive(documents, "doc_id", "text")
+    per_document = chunks.groupBy("doc_id").agg(F.collect_list("chunk_text").alias("chunks"))  # one document's chunks
+
+    def words(column):
+        return F.array_distinct(F.array_remove(F.split(column, r"[.\x20\x09-\x0D]+"), ""))
+
+    held = words(F.array_join("chunks", " "))
+    return documents.where(F.col("text").rlike(r"[^.\x20\x09-\x0D]")).join(per_document, "doc_id", "left").select(
+        "doc_id",
+        F.size(words(F.col("text"))).cast("bigint").alias("words"),
+        F.size(F.array_except(words(F.col("text")), held)).cast("bigint").alias("lost"),
+        F.size(F.filter("chunks", lambda c: F.length(c) > text.CHUNK_SIZE)).cast("bigint").alias("too_long"),
+        F.size(F.filter("chunks", lambda c: ~F.col("text").contains(c))).cast("bigint").alias("not_in_text"),
     )
 
 
@@ -333,10 +477,9 @@ def quoted(value: str) -> str:
 def grounded_prompts(spark, sf_dir):
     """One question per label; the texts behind the nearest vectors are its context."""
     centers = tt.centroids(spark, sf_dir)
-    collection = tt.table(spark, sf_dir, "embeddings").join(
-        tt.table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "vec_id"), "vec_id"
-    )
-    hits = vectors.retrieve(centers, collection, max_distance=MAX_DISTANCE, payload=["source", "text"])
+    hits = vectors.retrieve(centers, tt.table(spark, sf_dir, "embeddings"), max_distance=MAX_DISTANCE)
+    documents = tt.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("vec_id"), "source", "text")
+    hits = documents.join(hits, "vec_id")  # every vector is searched; a hit without a document gives no context
     questions = centers.select(
         "query_id",
         F.concat(F.lit("What do the documents of topic "), F.col("query_id").cast("string"), F.lit(" say?")).alias(

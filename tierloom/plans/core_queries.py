@@ -45,6 +45,20 @@ def scan_csv(spark, sf_dir):
     return readers.read_csv(spark, path, orders.schema)
 
 
+@query(
+    "scan_csv_text",
+    """SELECT doc_id, 'say "' || source || '", ok' || chr(10) || text || ' ' AS text, NULLIF(lang, 'de') AS lang FROM documents""",
+)
+def scan_csv_text(spark, sf_dir):
+    """Texts with quotes, commas, newlines, outer spaces and NULLs, to CSV and back."""
+    said = F.concat(F.lit('say "'), "source", F.lit('", ok\n'), "text", F.lit(" "))
+    documents = tt.table(spark, sf_dir, "documents").select(
+        "doc_id", said.alias("text"), F.nullif("lang", F.lit("de")).alias("lang")
+    )
+    path = writers.write_csv(documents, shared_folder(spark, "scan_csv_text"))
+    return readers.read_csv(spark, path, documents.schema, multiline=True)
+
+
 @query(
     "scan_text",
     """SELECT doc_id // 256 AS volume, string_agg(text, chr(10) ORDER BY doc_id) || chr(10) AS text,

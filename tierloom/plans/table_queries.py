@@ -300,6 +300,59 @@ def online_features(spark, sf_dir):
     return fe.online_features(latest, entities, tt.USER_VIEW, "activity").withColumnRenamed("user_id", "customer_id")
 
 
+VIEWS = ["user_stats:value", "order_stats:order_amount", "order_stats:value"]
+
+
+def order_view(spark, sf_dir):
+    """Orders as a second view of the same users, with a field that the first one has, too."""
+    rows = tt.table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("user_id"),
+        F.col("o_totalprice").alias("order_amount"),
+        F.col("o_orderkey").cast("double").alias("value"),
+        # Orders are years older than the events, so their times are moved into the range of these.
+        F.expr("timestamp_ntz'2024-01-01' + make_dt_interval(pmod(o_orderkey, 30), 0, 0, pmod(o_orderkey, 86400))").alias("at"),
+        F.col("o_orderdate").alias("made"),
+    )
+    spec = fe.FeatureView("order_stats", "user_id", {"order_amount": T.DoubleType(), "value": T.DoubleType()},
+                          timestamp_field="at", created_field="made")
+    return rows, spec
+
+
+ORDER_VIEW_SQL = """SELECT o_custkey AS user_id, o_totalprice AS order_amount, o_orderkey::DOUBLE AS value, o_orderdate AS made,
+    TIMESTAMP '2024-01-01' + to_days((o_orderkey % 30)::INTEGER) + to_seconds(o_orderkey % 86400) AS moment FROM orders"""
+
+
+@query(
+    "asof_two_views",
+    f"""SELECT a.event_id, a.user_id, a.event_timestamp, a.value AS user_stats__value, o.order_amount, o.value AS order_stats__value
+        FROM ({ASOF_SQL}) a ASOF LEFT JOIN (SELECT * FROM ({ORDER_VIEW_SQL}) QUALIFY row_number() OVER (
+            PARTITION BY user_id, moment ORDER BY made DESC) = 1) o ON a.user_id = o.user_id AND a.event_timestamp >= o.moment""",
+)
+def asof_two_views(spark, sf_dir):
+    """Two views on one time line."""
+    return fe.historical_views(
+        asked(spark, sf_dir), [(feature_rows(spark, sf_dir), tt.USER_VIEW), order_view(spark, sf_dir)], VIEWS
+    )
+
+
+@query(
+    "online_two_views",
+    f"""SELECT customer_id, u.value AS user_stats__value, o.order_amount, o.value AS order_stats__value
+        FROM (SELECT c_custkey AS customer_id FROM customer) LEFT JOIN ({LATEST_SQL.format("true")}) u ON customer_id = u.user_id
+        LEFT JOIN (SELECT * FROM ({ORDER_VIEW_SQL}) QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY moment DESC, made DESC) = 1) o
+        ON customer_id = o.user_id""",
+)
+def online_two_views(spark, sf_dir):
+    """The latest values of two views by key."""
+    rows, spec = order_view(spark, sf_dir)
+    latest = [
+        (fe.materialize(tt.events(spark, sf_dir), tt.USER_VIEW, None, "2100-01-01"), tt.USER_VIEW),
+        (fe.materialize(rows, spec, None, "2100-01-01"), spec),
+    ]
+    entities = tt.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("user_id"))
+    return fe.online_views(entities, latest, VIEWS).withColumnRenamed("user_id", "customer_id")
+
+
 @query(
     "event_props_json",
     "SELECT event_id, (props->>'$.k')::BIGINT AS k, props->>'$.k' AS k_text FROM events",
