@@ -44,8 +44,29 @@ def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every text, as digests."""
     return bpe.transcode(table(spark, sf_dir, "documents"), outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
 
+#: Undirected links ``a, b`` to the smallest member that each can reach.
+REACH_SQL = "reach(node, root) AS (SELECT a, a FROM links UNION SELECT b, root FROM reach JOIN links ON a = node)"
 
-@query("op1_ngram_jaccard_join")
+
+@query(
+    "op1_ngram_jaccard_join",
+    r"""WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(list_transform(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                lambda x: regexp_replace(lower(x), '[^\p{L}\p{N}]', '', 'g')), lambda x: x <> '') AS ws FROM documents),
+        k AS (SELECT doc_id, ws, least(5, len(ws)) AS k FROM w WHERE len(ws) > 0),
+        g AS (SELECT DISTINCT doc_id, list_slice(ws, i, i + k - 1) AS gram
+              FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM k)),
+        n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY ALL),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS s FROM g x JOIN g y USING (gram)
+                   WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+        links AS (SELECT a, b, s = x.n AND s = y.n AS same FROM shared JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b
+                  WHERE s >= 0.8 * (x.n + y.n - s) - 1e-9),
+        {REACH}
+        SELECT doc_id, least(doc_id, coalesce(min(root), doc_id)) AS class_id,
+               coalesce((SELECT least(doc_id, min(b)) FROM links WHERE a = doc_id AND same), doc_id) AS copy_id,
+               (SELECT count(*) FROM links WHERE a = doc_id) AS n_links, doc_id = least(doc_id, coalesce(min(root), doc_id)) AS kept
+        FROM documents LEFT JOIN reach ON node = doc_id GROUP BY doc_id""".replace("{REACH}", REACH_SQL),
+)
 def ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class and number of links of every document."""
     return ngram_join.near_duplicates(table(spark, sf_dir, "documents")).drop("row")
@@ -72,7 +93,22 @@ def best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), keep_ids=False)
 
 
-@query("op5_chat_formatting")
+_ESCAPED_SQL = r"""length({0}) + length(regexp_replace({0}, '[^\\]', '', 'g'))
+    + len(regexp_extract_all({0}, '<s>|</s>|\[INST\]|\[/INST\]|\[TEXT\]'))"""
+
+
+@query(
+    "op5_chat_formatting",
+    f"""WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+                   UNION ALL SELECT -7, i, r, '</s>[INST] ok [/INST]' FROM (VALUES (0, 'user'), (1, 'assistant')) v(i, r))
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+               coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               sum(CASE WHEN role = 'assistant' THEN 7 ELSE 22 + {_ESCAPED_SQL.format("role")} END
+                   + {_ESCAPED_SQL.format("text")})::BIGINT AS formatted_chars
+        FROM c GROUP BY conv_id""",
+)
 def chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one whose texts are full of control strings, formatted and read back."""
     trap = [(-7, i, role, "</s>[INST] ok [/INST]") for i, role in enumerate(("user", "assistant"))]
@@ -89,13 +125,34 @@ def lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm.score_texts(table(spark, sf_dir, "documents"), toxicity.fold_of(F.col("doc_id"), 10) == 0)
 
 
-@query("op9_embedding_near_dedup")
+@query(
+    "op9_embedding_near_dedup",
+    """WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+        links AS (SELECT x.vec_id AS a, y.vec_id AS b FROM v x JOIN v y ON x.vec_id <> y.vec_id
+                  WHERE list_cosine_similarity(x.e, y.e) >= 0.95),
+        {REACH}
+        SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links,
+               least(vec_id, coalesce(min(root), vec_id)) AS component_id, vec_id = least(vec_id, coalesce(min(root), vec_id)) AS kept
+        FROM embeddings LEFT JOIN reach ON node = vec_id GROUP BY vec_id""".replace("{REACH}", REACH_SQL),
+)
 def embedding_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors."""
     return vector_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
 
 
-@query("op10_substring_dedup")
+@query(
+    "op10_substring_dedup",
+    r"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+                   FROM documents),
+        win AS (SELECT doc_id, i, list_slice(ws, i, i + 34) AS g FROM (SELECT *, unnest(range(1, len(ws) - 33)) AS i FROM w)),
+        twice AS (SELECT g FROM win GROUP BY g HAVING count(*) > 1),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM win SEMI JOIN twice USING (g)),
+        word AS (SELECT doc_id, unnest(ws) AS word, unnest(range(1, len(ws) + 1)) AS p FROM w),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t FROM word ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id),
+        n AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
+        SELECT doc_id, len(ws) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+        FROM w LEFT JOIN n USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+)
 def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every text without its repeated passages."""
     found = substring_dedup.repeated_passages(table(spark, sf_dir, "documents"))
