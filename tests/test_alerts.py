@@ -118,3 +118,14 @@ def test_readers_and_tables(spark, tmp_path):
 def test_stamp_is_one_value(spark):
     stamped = writers.stamp_features(spark.range(100, numPartitions=4))
     assert stamped.select("event_timestamp", "created").distinct().count() == 1
+
+
+def test_a_diff_in_place_is_the_diff_of_the_runs(seeds):
+    from tierloom.operators import alerts, experiments
+
+    customers, orders = seeds
+    scoring = experiments.scoring_input(customers, alerts.order_signals(orders))
+    runs = {"high": 400.0, "low": 350.0}
+    scored = experiments.scored_by_run(scoring, runs)
+    want = rows(experiments.run_diff(scored, "high", "low"))
+    assert rows(experiments.threshold_diff(scoring, runs, "high", "low")) == want and want

@@ -87,3 +87,12 @@ def test_hot_keys_of_a_join_are_split(spark):
     finally:
         for name in settings:
             spark.conf.unset(name)
+
+
+def test_few_but_wide_rows_are_not_broadcast(spark):
+    wide = spark.range(200).selectExpr("id AS k", "repeat('x', 1000) AS note", "array(id, id) AS a")
+    rows, size = joins.measured_size(wide)
+    assert rows == 200 and 200_000 < size < 250_000
+    assert "broadcast" in joins.broadcast_if_small(wide)._jdf.queryExecution().logical().toString().lower()
+    assert "broadcast" not in joins.broadcast_if_small(wide, max_bytes=100_000)._jdf.queryExecution().logical().toString().lower()
+    assert joins.measured_size(wide.limit(0)) == (0, 0)

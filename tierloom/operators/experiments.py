@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.operators.alerts import HIGH_VALUE, alert_reason, default_rules
+from tierloom.sources.writers import write_csv
 
 SCORED = ["customer_id", "customer_name", "total_spend", "pending_orders", "cancelled_orders"]
 
@@ -49,8 +50,14 @@ def scored_by_run(scoring: DataFrame, runs: Mapping[str, float]) -> DataFrame:
 
 def write_runs(scored: DataFrame, path: str) -> str:
     """The scored customers as one CSV folder per run."""
-    scored.write.mode("overwrite").partitionBy("run_name").option("header", True).csv(path)
-    return path
+    return write_csv(scored, path, partition_by=["run_name"])
+
+
+def threshold_diff(scoring: DataFrame, runs: Mapping[str, float], a: str, b: str, key: str = "customer_id") -> DataFrame:
+    """:func:`run_diff` straight from the measures: both alerts of a customer are compared in place, without a shuffle."""
+    alert_a, alert_b = (alert_reason(default_rules(runs[name])) for name in (a, b))
+    both = scoring.select(key, alert_a.alias("alert_a"), alert_b.alias("alert_b"))
+    return both.where(~F.col("alert_a").eqNullSafe(F.col("alert_b")))
 
 
 def run_diff(scored: DataFrame, a: str, b: str, key: str = "customer_id") -> DataFrame:

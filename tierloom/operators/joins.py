@@ -7,14 +7,30 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-
-#: A dimension of at most this many rows may be broadcast on request.
-BROADCAST_ROWS = 1_000_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the rows; a larger side is left to the planner."""
-    return F.broadcast(df) if df.count() <= max_rows else df
+from pyspark.sql import types as T
+
+#: A dimension of at most this many rows and bytes may be broadcast on request.
+BROADCAST_ROWS, BROADCAST_BYTES = 1_000_000, 64 << 20
+
+
+def measured_size(df: DataFrame) -> tuple[int, int]:
+    """Rows and about as many bytes as they take: texts as they are, nested values as JSON, 8 for the rest."""
+    sizes = []
+    for field in df.schema:
+        kind = field.dataType
+        if isinstance(kind, (T.StringType, T.BinaryType)):
+            sizes.append(F.coalesce(F.octet_length(field.name), F.lit(0)))
+        elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+            sizes.append(F.coalesce(F.length(F.to_json(F.struct(field.name))), F.lit(0)))
+    row = reduce(Column.__add__, sizes, F.lit(8 * (1 + len(df.columns))))
+    found = df.agg(F.count("*").alias("rows"), F.coalesce(F.sum(row.cast("long")), F.lit(0)).alias("bytes")).first()
+    return found["rows"], found["bytes"]
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast only after measuring rows and bytes; a larger side is left to the planner."""
+    rows, size = measured_size(df)
+    return F.broadcast(df) if rows <= max_rows and size <= max_bytes else df
 
 
 def enrich(

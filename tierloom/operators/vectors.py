@@ -151,7 +151,7 @@ def retrieve(
     if max_distance is not None:
         ranked = ranked.where(F.col("distance") <= max_distance)
     if payload:
-        ranked = searched.select(id_col, *payload).join(_bounded(ranked, blocks), id_col)
+        ranked = searched.select(id_col, *payload).join(_bounded(ranked, blocks * top_k), id_col)
     return ranked.select(query_id, "rank", id_col, "distance", *payload)
 
 
@@ -278,9 +278,9 @@ def retrieve_lsh(
     return hits.select(query_id, "rank", id_col, "distance")
 
 
-def _bounded(hits: DataFrame, blocks: int) -> DataFrame:
-    """One block has at most ``top_k`` hits for about :data:`QUERY_BLOCK` questions, which is safe to broadcast."""
-    return F.broadcast(hits) if blocks == 1 else hits
+def _bounded(hits: DataFrame, per_question: int) -> DataFrame:
+    """A block of about :data:`QUERY_BLOCK` questions with few hits each is safe to broadcast: four numbers per hit."""
+    return F.broadcast(hits) if per_question <= 100 else hits
 
 
 def _nearest(

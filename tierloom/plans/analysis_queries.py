@@ -188,8 +188,7 @@ def scored_by_run(spark, sf_dir):
          WHERE a.alert_reason <> b.alert_reason""",
 )
 def run_diff(spark, sf_dir):
-    scored = experiments.scored_by_run(scoring(spark, sf_dir), RUNS)
-    return experiments.run_diff(scored, "threshold_2500000", "threshold_2000000")
+    return experiments.threshold_diff(scoring(spark, sf_dir), RUNS, "threshold_2500000", "threshold_2000000")
 
 
 # --- notes and chunks ---
