@@ -64,3 +64,15 @@ def test_quarantine_refuses_checks_of_whole_tables(spark):
     for check in (dq.Unique(("k",)), dq.Relationship("k", "t", "k")):
         with pytest.raises(TypeError):
             dq.quarantine(frame, [dq.NotNull("k"), check])
+
+
+def test_a_refused_publication_leaves_the_name_as_it_was(spark, tmp_path):
+    root, checks = str(tmp_path / "published"), [dq.NotNull("k"), dq.Unique(("k",))]
+    good = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
+    assert rows(dq.guarded_publish(good, checks, "published_rows", root)) == rows(good)
+    with pytest.raises(dq.CheckFailed):
+        dq.guarded_publish(good.union(good), checks, "published_rows", root)
+    assert rows(spark.table("published_rows")) == rows(good)
+    better = good.where("k = 2")
+    assert rows(dq.guarded_publish(better, checks, "published_rows", root)) == rows(better) == rows(spark.table("published_rows"))
+    spark.sql("DROP VIEW published_rows")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
@@ -161,13 +162,32 @@ def guarded_write(
 ) -> str:
     """Write Parquet only if every check passes.
 
-    The rows are computed once into the shared folder; the checks read them there, and so does the write.
+    The rows are computed once into the shared folder; the checks read them there, and so does the write. Where readers go
+    by name, :func:`guarded_publish` writes them only once.
     """
-    staged = shared_folder(df.sparkSession, "guarded")
-    df.write.parquet(staged)
-    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
+    rows = _checked(df, checks, shared_folder(df.sparkSession, "guarded"), refs)
+    rows.write.mode(mode).parquet(path)
+    return path
+
+
+def guarded_publish(
+    df: DataFrame, checks: Sequence, name: str, root: str, refs: Mapping[str, DataFrame] | None = None
+) -> DataFrame:
+    """Write a new folder under ``root`` and, if every check passes on it, let the view ``name`` stand for it.
+
+    The rows are written once. Until the view is replaced, which is one step in the catalog, and for good if a check or
+    the write fails, the name stands for the earlier folder.
+    """
+    folder = f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    _checked(df, checks, folder, refs)
+    df.sparkSession.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT * FROM parquet.`{folder}`")
+    return df.sparkSession.table(name)
+
+
+def _checked(df: DataFrame, checks: Sequence, folder: str, refs: Mapping[str, DataFrame] | None) -> DataFrame:
+    df.write.parquet(folder)
+    rows = df.sparkSession.read.schema(df.schema).parquet(folder)
     failed = run_checks(rows, checks, refs).where(~F.col("passed")).collect()  # one row per check
     if failed:
         raise CheckFailed("; ".join(f"{r.check_name}({r.column}): {r.failures}" for r in failed))
-    rows.write.mode(mode).parquet(path)
-    return path
+    return rows
