@@ -2,8 +2,8 @@
 
 Coarse centroids and the codewords of every subspace are fitted on a bounded sample; all vectors are indexed. A vector is stored in
 the list of its nearest centroid as one code byte per subspace for its residual. As a question it goes to every list that can
-hold a neighbour: a neighbour at the distance of the cosine threshold lies beyond the plane between two centroids only if the
-question is near enough to that plane. In a list, table lookups give the distance of a question to each coded vector; where that is
+hold a neighbour. The plane between two centroids cuts the way from a vector to a neighbour in another list, and one of the two is
+within half of that way of the plane; it is enough that this one asks, as a link is told to both. In a list, table lookups give the distance of a question to each coded vector; where that is
 within the threshold plus the vector's own coding error, the exact cosine decides. So codes lose nothing; only probes can.
 
 Equal vectors are one class, searched once. Lists are split by stored vectors and by questions, so a list that holds a third of all
@@ -26,7 +26,8 @@ from tierloom.llm.common import components, linked_labels, shuffle_partitions, s
 #: Bound of the fitted sample; vectors for each list until there are MOST_LISTS; vectors of a stored chunk and of a salt of questions.
 SAMPLE, PER_LIST, MOST_LISTS, CHUNK, SALT = 8192, 128, 1024, 2048, 32768
 SUBSPACES, CODEWORDS = 8, 256
-#: Standard deviations of a neighbour's step towards another centroid that probes allow for; None allows for all of it.
+#: Standard deviations of a neighbour's step towards another centroid that probes allow for, if steps have no preferred direction;
+#: None allows for any step.
 SPREAD = 4.0
 
 
@@ -61,7 +62,8 @@ class Quantiser:
         self.cuts = np.array_split(np.arange(sample.shape[1]), min(SUBSPACES, sample.shape[1]))
         self.codebooks = [k_means(residuals[:, cut], min(CODEWORDS, len(sample))) for cut in self.cuts]
         self.reach = math.sqrt(2 - 2 * threshold)
-        self.slack = self.reach if spread is None else min(self.reach, spread * self.reach / math.sqrt(sample.shape[1]))
+        step = 1.0 if spread is None else min(1.0, spread / math.sqrt(sample.shape[1]))
+        self.slack = self.reach * step / 2
         self.between = np.sqrt(squared_distances(self.centroids, self.centroids))
 
     def probes(self, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
