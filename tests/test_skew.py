@@ -97,3 +97,14 @@ def test_running_counts(spark):
         series = pdf[pdf.window == r.window][r.feature].describe()
         assert [r["count"], r["mean"], r["std"], r["min"], r["q25"], r["q50"], r["q75"], r["max"]] == pytest.approx(
             series.tolist())
+
+
+def test_rows_of_one_second_are_cut(spark):
+    """A hot key whose rows all fall into one second, apart by microseconds."""
+    log = spark.range(2000).select(
+        F.lit(1).alias("key"), F.expr("TIMESTAMP_NTZ'2024-03-10 00:00:00' + make_dt_interval(0, 0, 0, id / 1000000)").alias("ts"),
+        (F.col("id") % 2).alias("status"), "id")
+    sliced, hot = with_slices(log, ["key"], "ts", **SLICED)
+    assert hot and max(r["count"] for r in sliced.groupBy(SLICE).count().collect()) < 200
+    plain = status_transitions(log, "key", "ts", "status", ["id"])
+    assert rows(status_transitions(log, "key", "ts", "status", ["id"], **SLICED)) == rows(plain)

@@ -54,13 +54,14 @@ def percent_change(before: Column, after: Column, if_zero: Column) -> Column:
 def clock_position(column: str, dtype: str) -> Column:
     """A double that never falls as the value of an orderable column rises.
 
-    Timestamps are read field by field down to the second, so that daylight saving cannot reorder them.
+    Timestamps without a zone are read field by field, so that daylight saving cannot reorder them; both kinds count
+    microseconds.
     """
     col = F.col(column)
     if dtype in ("timestamp", "timestamp_ntz"):
         if dtype == "timestamp":
             return F.unix_micros(col).cast("double")
-        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.second(col)
+        seconds = F.hour(col) * 3600 + F.minute(col) * 60 + F.date_part(F.lit("SECOND"), col).cast("double")
         return F.datediff(F.to_date(col), F.lit("1970-01-01")) * 86400.0 + seconds
     if dtype == "date":
         return F.datediff(col, F.lit("1970-01-01")).cast("double")
