@@ -94,7 +94,7 @@ def exact_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", s
     best = F.min(F.struct(-F.col("n_chars"), F.col("key").isNull(), F.col("key"), F.col("row")))
     groups = rows.groupBy("blocks", "name").agg(best.alias("best"), F.count("*").alias("group_size"))
     groups = groups.select("blocks", "name", F.col("best.key").alias("keep_id"), F.col("best.row").alias("keep_row"), "group_size")
-    out = rows.join(groups, ["blocks", "name"])
+    out = rows.join(staged(groups, "groups"), ["blocks", "name"])  # written, so that a large group's rows can be split
     return out.select(F.col("key").alias(key), "keep_id", "group_size", (F.col("row") == F.col("keep_row")).alias("kept"),
                       "text_sha256")
 
