@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tierloom.llm.common import staged, whole_text, words_of
 
 #: A worker's remembered words are dropped beyond this count; the counts stay the same.
-MOST_WORDS = 500_000
+MOST_WORDS = 400_000
 CACHE = "content binary, n_tokens long, tokenizer string"
 
 
@@ -125,11 +125,15 @@ def count_tokens(
         encoder = None
         for batch in batches:
             encoder = encoder or counter(tokenizer_path, by_word)
-            counts = encoder.counts(batch.column(1).to_pylist())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64())], names=["content", "n_tokens"])
+            for at in range(0, batch.num_rows, 250):
+                part = batch.slice(at, 250)
+                counts = encoder.counts(part.column(1).to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(counts, pa.int64())], names=["content", "n_tokens"])
 
     encoded = to_encode.select("content", whole_text(F.col("_text")).alias("_text")).mapInArrow(run, "content binary, n_tokens long")
     encoded = encoded.groupBy("content").agg(F.max("n_tokens").alias("n_tokens"))  # rows repeated with their key
     encoded.withColumn("tokenizer", F.lit(version)).write.mode("append").partitionBy("tokenizer").parquet(cache)
-    counted = rows.join(read_cache(spark, cache, version), "content")
+    # Written, so that the rows of a frequent digest can be split.
+    known = staged(read_cache(spark, cache, version).join(rows.select("content").distinct(), "content", "left_semi"), "token-counts")
+    counted = rows.join(known, "content")
     return counted.select(F.col("_key").alias(key), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
