@@ -31,7 +31,7 @@ from tierloom.llm.common import numbering, shuffle_partitions, staged, whole_tex
 
 ORDER, MASS = 2, 200.0
 #: Tokens of a block, and parts for each shuffle partition.
-BLOCK, PARTS = 500_000, 4
+BLOCK, PARTS = 400_000, 4
 START, END = xxhash.xxh64_intdigest(b"\t"), xxhash.xxh64_intdigest(b"\n")  # no word is one of these
 
 
@@ -78,12 +78,15 @@ class Grams:
 
 
 def build_automaton(grams: Grams, counts: list[np.ndarray], total: int, kinds: int, mass: float):
-    """Arcs ``(state * tokens + token) -> (logarithm, next state)``, failure weights and targets, and the state of the start.
+    """Arcs ``(state * tokens + token) -> logarithm``, the state after each token and the arcs that lead further, failure
+    weights and targets, and the state of the start.
 
-    State 0 has no history; the other states are the block's n-grams below the highest order that training has seen.
+    State 0 has no history; the other states are the block's n-grams below the highest order that training has seen. Most
+    arcs lead to the state of their token alone, so only the others carry a state.
     """
     n, order = len(grams.hashes[0]), len(grams.hashes)
-    arcs: dict[int, tuple[float, int]] = {}
+    arcs: dict[int, float] = {}
+    further: dict[int, int] = {}
     fail_weight, fail_to, states = [np.zeros(1)], [np.zeros(1, np.int64)], 1
     for k in range(order):
         if k == 0:
@@ -108,25 +111,30 @@ def build_automaton(grams: Grams, counts: list[np.ndarray], total: int, kinds: i
         else:
             following = shorter
         real = seen | (k == 0)  # without history there is an arc for every token
-        keys = (source * n + grams.last[k])[real].tolist()
-        arcs.update(zip(keys, zip(np.log10(probability[real]).tolist(), following[real].tolist())))
+        keys = source * n + grams.last[k]
+        arcs.update(zip(keys[real].tolist(), np.log10(probability[real]).tolist()))
         if k == 0:
-            start = int(state[0]) if order > 1 else 0
-    return arcs, np.concatenate(fail_weight).tolist(), np.concatenate(fail_to).tolist(), start
+            after = following
+        longer = real & (following != after[grams.last[k]])
+        further.update(zip(keys[longer].tolist(), following[longer].tolist()))
+    start = int(after[0])
+    return arcs, after.tolist(), further, np.concatenate(fail_weight).tolist(), np.concatenate(fail_to).tolist(), start
 
 
 def traverse(automaton, width: int, tokens: list[int]) -> float:
     """Sum of the logarithms along one text's way; ``tokens`` without the start."""
-    arcs, fail_weight, fail_to, state = automaton
+    arcs, after, further, fail_weight, fail_to, state = automaton
     find, total = arcs.get, 0.0
     for token in tokens:
-        arc = find(state * width + token)
-        while arc is None:
+        arc = state * width + token
+        weight = find(arc)
+        while weight is None:
             total += fail_weight[state]
             state = fail_to[state]
-            arc = find(state * width + token)
-        total += arc[0]
-        state = arc[1]
+            arc = state * width + token
+            weight = find(arc)
+        total += weight
+        state = further.get(arc, after[token]) if further else after[token]
     return total
 
 
