@@ -208,6 +208,41 @@ def test_approximate_search_of_the_test_tables(spark):
     assert compared < 0.4 * stored.count() * probed.select("query_id").distinct().count()
 
 
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_approximate_search_finds_nine_of_ten(spark, sf):
+    import __spark_entry__ as entry
+    from tierloom.plans import analysis_queries as aq
+    from tierloom.plans import testtables as tt
+
+    sf_dir = f"/root/testdata/{sf}"
+    exact, near = (
+        {(r.query_id, r.vec_id) for r in entry.queries()[name](spark, sf_dir).collect()}
+        for name in ("retrieve_topk", "retrieve_lsh")
+    )
+    assert len(exact) == 30 and len(exact & near) >= 0.9 * len(exact)
+    probed = vectors.near_buckets(tt.centroids(spark, sf_dir), bits=aq.LSH_BITS, probes=aq.LSH_PROBES)
+    seen = probed.groupBy("query_id").agg(F.count("*").alias("n"), F.countDistinct("bucket").alias("different")).collect()
+    assert {(r.n, r.different) for r in seen} == {(aq.LSH_PROBES, aq.LSH_PROBES)} and aq.LSH_PROBES <= 0.7 * 2**aq.LSH_BITS + 1
+    placed = vectors.with_buckets(spark.read.parquet(f"{sf_dir}/embeddings.parquet"), 64, bits=aq.LSH_BITS)
+    compared = placed.join(probed.select("query_id", "bucket"), "bucket").count()
+    print(sf, len(exact & near), len(exact), compared / placed.count() / len(seen))
+    assert compared < 0.75 * placed.count() * len(seen)
+
+
+def test_probes_go_by_distance_to_the_planes(spark):
+    rng = np.random.default_rng(4)
+    questions = [(i, rng.normal(size=8).tolist()) for i in range(5)]
+    frame = spark.createDataFrame(questions, "query_id bigint, query_vector array<double>")
+    got = {}
+    for r in vectors.near_buckets(frame, bits=5, probes=9).collect():
+        got.setdefault(r.query_id, set()).add(r.bucket)
+    planes = np.random.default_rng(vectors.LSH_SEED).normal(size=(5, 8))
+    for name, q in questions:
+        sides = [float(np.dot(q, p) / np.linalg.norm(p)) for p in planes]
+        cost = {b: sum(abs(s) for i, s in enumerate(sides) if (s > 0) != bool(b >> i & 1)) for b in range(32)}
+        assert got[name] == set(sorted(cost, key=cost.get)[:9])
+
+
 def test_crowded_buckets_are_cut(spark):
     data = [(i, [1.0, i / 1000]) for i in range(500)]
     stored = vectors.with_buckets(spark.createDataFrame(data, "vec_id bigint, embedding array<double>"), 2, bits=3)

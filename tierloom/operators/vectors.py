@@ -188,14 +188,39 @@ def with_buckets(
 
 
 def near_buckets(queries: DataFrame, radius: int = 1, bits: int = LSH_BITS, seed: int = LSH_SEED,
-                 query_vector: str = "query_vector") -> DataFrame:
-    """The buckets of each question: those that differ from its own in at most ``radius`` bits."""
+                 query_vector: str = "query_vector", probes: int | None = None) -> DataFrame:
+    """The buckets of each question: those that differ from its own in at most ``radius`` bits.
+
+    With ``probes`` these are that many buckets instead, the ones whose planes lie nearest: a bucket costs the sum of the
+    question's distances to the planes that stand between them.
+    """
+    if probes is not None:
+        near = _probed(bits, seed, probes)(F.col(query_vector).cast("array<double>"))
+        return queries.select("*", F.explode(near).alias("bucket"))
     flips = [sum(1 << bit for bit in flipped) for n in range(radius + 1) for flipped in combinations(range(bits), n)]
     coded = _with_code(queries, "__code", query_vector, bits, seed)
     near = F.transform(F.array(*[F.lit(flip) for flip in flips]), lambda flip: F.col("__code").bitwiseXOR(flip))
     return coded.select("*", F.explode(near).alias("bucket")).drop("__code")
 
 
+def _probed(bits: int, seed: int, probes: int):
+    """A function of vectors: their ``probes`` nearest buckets by the distances to the planes that are crossed."""
+
+    @F.pandas_udf(T.ArrayType(T.IntegerType()))
+    def probed(column: pd.Series) -> pd.Series:
+        rows = np.array(column.tolist(), dtype="float64")
+        if not np.isfinite(rows).all():
+            raise ValueError("vectors hold non-finite numbers")
+        planes = _planes(bits, rows.shape[1], seed)
+        away = np.abs(rows @ (planes / np.linalg.norm(planes, axis=1, keepdims=True)).T)
+        crossed = (np.arange(1 << bits)[:, None] >> np.arange(bits)) & 1
+        return pd.Series([
+            (np.argsort(crossed @ own, kind="stable")[:probes] ^ code).tolist() for own, code in zip(away, _codes(rows, planes))
+        ])
+
+    return probed
+
+
 def retrieve_lsh(
     queries: DataFrame,
     bucketed: DataFrame,
@@ -209,16 +234,19 @@ def retrieve_lsh(
     query_id: str = "query_id",
     query_vector: str = "query_vector",
     rows_per_task: int = BUCKET_ROWS,
+    probes: int | None = None,
 ) -> DataFrame:
     """Approximate search: the ``top_k`` nearest vectors in the near buckets of each question, by exact distance.
 
+    The near buckets are those within ``radius`` bits, or with ``probes`` that many by distance to the planes.
+
     Questions and vectors meet by bucket. A bucket with more than ``rows_per_task`` vectors is cut, and its questions go to
     every cut, so a crowded bucket is many tasks. A task holds the questions of one bucket, streams the vectors past them and
-    passes on ``top_k`` per question; pairs are never rows. Only folders of near buckets are read. With ``radius =
-    bits`` every vector is compared.
+    passes on ``top_k`` per question; pairs are never rows. Of vectors stored by bucket only folders of near buckets are read.
+    With ``radius = bits`` every vector is compared.
     """
     whole = dict(queries.dtypes)[query_id] in ("tinyint", "smallint", "int")
-    asked = near_buckets(queries, radius, bits, seed, query_vector).select(
+    asked = near_buckets(queries, radius, bits, seed, query_vector, probes).select(
         "bucket", (F.col(query_id).cast("bigint") if whole else F.col(query_id)).alias("__id"),
         F.col(query_vector).cast("array<double>").alias("__vector"),
     )

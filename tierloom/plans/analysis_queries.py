@@ -334,11 +334,19 @@ def bucketed_vectors(spark, sf_dir, bits):
     return spark.read.parquet(write_parquet(stored, shared_folder(spark, "vector_buckets"), partition_by=["bucket"]))
 
 
+#: Of 2048 buckets a question sees these, about 70 percent: what nine of ten exact hits cost on vectors without close neighbours.
+LSH_BITS, LSH_PROBES = 11, 1434
+
+
 @query("retrieve_lsh")
 def retrieve_lsh(spark, sf_dir):
-    """The approximate search over vectors stored by bucket; how much of the exact result it finds is tested."""
-    stored = bucketed_vectors(spark, sf_dir, 6)
-    return typed(vectors.retrieve_lsh(tt.centroids(spark, sf_dir), stored, radius=2, bits=6))
+    """The approximate search; how much of the exact result it finds is tested.
+
+    So many buckets hold few vectors each and together the questions see all, so the table has no folder per bucket.
+    """
+    placed = vectors.with_buckets(tt.table(spark, sf_dir, "embeddings"), 64, bits=LSH_BITS)
+    placed = stored(spark, placed, "vector_buckets")
+    return typed(vectors.retrieve_lsh(tt.centroids(spark, sf_dir), placed, bits=LSH_BITS, probes=LSH_PROBES))
 
 
 @query("retrieve_lsh_all_buckets", hits_sql())
