@@ -371,6 +371,15 @@ def test_substring_dedup(case, none):
     assert substring_dedup.repeated_passages(none).count() == 0
 
 
+@pytest.mark.parametrize("words", [["la"] * 40, ["la", "le"] * 20, ["la"] * 36, ["la"] * 35])
+def test_a_passage_that_repeats_only_itself(spark, words):
+    text = " ".join(words)
+    (n, gone, kept), = brute.without_repeats([text])
+    got = substring_dedup.repeated_passages(spark.createDataFrame([(1, text)], "doc_id long, text string"))
+    assert sorted_rows(got, "n_words", "n_removed", "kept_sha256") == [(n, gone, brute.sha(kept))]
+    assert gone == (len(words) if len(words) > 35 else 0)
+
+
 @pytest.mark.parametrize("crowded", [0, 3])
 def test_crowded_anchors_go_by_window(small, crowded, monkeypatch):
     monkeypatch.setattr(substring_dedup, "CROWDED", crowded)

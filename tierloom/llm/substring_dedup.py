@@ -232,7 +232,7 @@ def _searched(shards: DataFrame, window: int) -> DataFrame:
                 before, last = anchor, (segment, shift)
                 strings.append((segment, shift, joined))
                 words += joined.count(b" ") + 2
-        if len(strings) > 1:
+        if strings:  # one segment can repeat a window within itself
             yield search(strings)
 
     return shards.mapInArrow(run, "segment binary, begin int, end int")
