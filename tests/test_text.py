@@ -328,3 +328,19 @@ def test_chunk_search(spark):
     assert rows(got, "query_id", "rank", "chunk_id") == want and want
     texts = {r.chunk_id: (r.chunk_label, r.chunk_text) for r in pool}
     assert all((r.chunk_label, r.chunk_text) == texts[r.chunk_id] for r in got.collect())
+
+
+def test_chunk_search_fixed_reads_all_documents(spark):
+    """The nearest fixed windows by brute force over every document, whatever its source."""
+    from tierloom.plans.analysis_queries import CHUNK_QUESTIONS, asked, chunk_search_fixed
+
+    sf_dir = "/root/testdata/sf0.001"
+    got = chunk_search_fixed(spark, sf_dir)
+    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    chunks = text.chunk_fixed(documents, "doc_id", "text", keep=["source"])
+    pool = vectors.meaningful(vectors.embed(chunks, "chunk_text")).collect()  # without blank windows
+    wanted = {r.query_id: r.query_vector for r in asked(spark, **CHUNK_QUESTIONS).collect()}
+    want = brute_force(pool, "chunk_id", wanted, vectors.MAX_DISTANCE)
+    assert rows(got, "query_id", "rank", "chunk_id") == want
+    sources = {r.chunk_id: r.source for r in pool}
+    assert any(sources[name] != "src3" for _, _, name in want)

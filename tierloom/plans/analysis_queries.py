@@ -420,13 +420,12 @@ def chunk_search(spark, sf_dir):
 
 @query(
     "chunk_search_fixed",
-    search_sql(f"SELECT * FROM ({CHUNKS_SQL}) WHERE source = 'src3'", "chunk_id", "chunk_text", CHUNK_QUESTIONS,
+    search_sql(CHUNKS_SQL, "chunk_id", "chunk_text", CHUNK_QUESTIONS,
                "source, chunk_label, chunk_text", f"distance <= {vectors.MAX_DISTANCE}"),
 )
 def chunk_search_fixed(spark, sf_dir):
-    """The same over fixed windows of the documents of one source."""
-    documents = tt.table(spark, sf_dir, "documents").where("source = 'src3'")
-    return chunk_hits(spark, text.chunk_fixed(documents, "doc_id", "text", keep=["source"]))
+    """The same over fixed windows of all documents."""
+    return chunk_hits(spark, text.chunk_fixed(tt.table(spark, sf_dir, "documents"), "doc_id", "text", keep=["source"]))
 
 
 @query(
