@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierloom.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, substring_dedup, token_counts, toxicity, vector_dedup
+from tierloom.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, substring_dedup, token_counts, toxicity, vector_codes, vector_dedup
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -159,4 +159,35 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def _round_sql(i: int) -> str:
+    """Assign parts to the entries of round ``i`` and move these; a floor of a quotient of integers takes its remainder off first."""
+    return f"""
+        a{i} AS MATERIALIZED (SELECT vec_id, part, xs, arg_min(entry, (d, entry)) AS entry, min(d) AS d FROM (
+            SELECT vec_id, p.part, xs, entry, list_sum(list_transform(list_zip(xs, cs), lambda z: (z[1] - z[2]) * (z[1] - z[2]))) AS d
+            FROM p JOIN b{i} USING (part)) GROUP BY vec_id, part, xs),
+        m{i} AS (SELECT part, entry, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS cs FROM (
+            SELECT part, entry, i, sum(xs[i]) AS s, count(*) AS n FROM (SELECT *, unnest(range(1, len(xs) + 1)) AS i FROM a{i}) GROUP BY ALL)
+            GROUP BY part, entry),
+        b{i + 1} AS MATERIALIZED (SELECT part, entry, coalesce(m.cs, b.cs) AS cs FROM b{i} b LEFT JOIN m{i} m USING (part, entry))"""
+
+
+@query(
+    "op13_vector_codes",
+    f"""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        p AS MATERIALIZED (SELECT vec_id, part, list_slice(e, part * len(e) // 8 + 1, (part + 1) * len(e) // 8) AS xs
+              FROM (SELECT *, unnest(range(8)) AS part FROM v)),
+        b0 AS MATERIALIZED (SELECT part, r - 1 AS entry, xs AS cs FROM (
+              SELECT part, xs, row_number() OVER (PARTITION BY part ORDER BY vec_id) AS r FROM p) WHERE r <= 16),
+        {",".join(_round_sql(i) for i in range(7))},
+        c AS (SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a6 GROUP BY vec_id)
+        SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+               (SELECT sha256(string_agg(array_to_string(cs, ','), ',' ORDER BY part, entry)) FROM b6) AS codebooks_sha256
+        FROM c JOIN v USING (vec_id)""",
+)
+def vector_coded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector."""
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
