@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tierloom.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, substring_dedup, token_counts, toxicity, vector_codes, vector_dedup
+from tierloom.llm import bpe, chat, exact_dedup, lm, ngram_join, packing, periodic, quality, substring_dedup, token_counts, toxicity, vector_codes, vector_dedup
 from tierloom.llm.common import table
 from tierloom.session import shared_folder
 
@@ -159,6 +159,67 @@ def substring_dedup_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("key").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+@query("op11_quality_votes")
+def quality_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every text's score by neighbours from three folds of four."""
+    docs = table(spark, sf_dir, "documents")
+    labels = table(spark, sf_dir, "labels").where(toxicity.fold_of(F.col("doc_id"), 4) != 2)
+    scored = quality.score(docs, quality.train(docs, labels))
+    return scored.select("doc_id", (toxicity.fold_of(F.col("doc_id"), 4) == 2).alias("held_out"), "score", "predicted")
+
+
+#: crc32 of a number's decimal digits, bit by bit.
+_CRC_SQL = """xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(doc_id::VARCHAR, ''),
+    lambda c: [-1 - ord(c), -1, -1, -1, -1, -1, -1, -1, -1]))),
+    lambda a, b: CASE WHEN b < -1 THEN xor(a, (-1 - b)::BIGINT) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)"""
+
+
+@query(
+    "op12_periodic_runs",
+    rf"""WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+                          {_CRC_SQL} AS h FROM documents),
+        t AS (SELECT doc_id, len(ws) AS n, h, (h // 10) % greatest(len(ws), 1) AS a, h // 10 AS g FROM w),
+        given AS MATERIALIZED (SELECT doc_id, unnest(range(len(ws))) AS i, unnest(ws) AS word FROM w),
+        spots AS (SELECT doc_id, i, CASE WHEN h % 10 = 0 AND i >= a THEN a + (i - a) % (1 + (n - a) // (3 + g % 8)) ELSE i END AS j
+                  FROM given JOIN t USING (doc_id)),
+        word AS MATERIALIZED (SELECT s.doc_id, s.i, word FROM spots s JOIN given x ON x.doc_id = s.doc_id AND x.i = s.j),
+        lag AS (SELECT doc_id, n, unnest(range(1, n // 4 + 1)) AS q FROM t),
+        spot AS (SELECT doc_id, q, q * unnest(range(0, (n - 1) // q - 2)) AS i FROM lag),
+        h0 AS MATERIALIZED (SELECT s.*, s.i + q AS next, word FROM spot s JOIN word USING (doc_id, i)),
+        h1 AS MATERIALIZED (SELECT h.doc_id, q, next + q AS next, h.word FROM h0 h JOIN word x ON x.doc_id = h.doc_id AND x.i = next AND x.word = h.word),
+        h2 AS MATERIALIZED (SELECT h.doc_id, q, next + q AS next, h.word FROM h1 h JOIN word x ON x.doc_id = h.doc_id AND x.i = next AND x.word = h.word),
+        hit AS MATERIALIZED (SELECT DISTINCT h.doc_id, q FROM h2 h JOIN word x ON x.doc_id = h.doc_id AND x.i = next AND x.word = h.word),
+        pair AS MATERIALIZED (SELECT doc_id, q, i, i + q AS next, word FROM hit JOIN word USING (doc_id)),
+        edge AS (SELECT p.doc_id, q, p.i FROM pair p JOIN word y ON y.doc_id = p.doc_id AND y.i = next WHERE p.word <> y.word UNION ALL SELECT doc_id, q, -1 FROM hit
+                 UNION ALL SELECT doc_id, q, n - q FROM hit JOIN t USING (doc_id)),
+        gap AS (SELECT doc_id, q, i AS until, lag(i) OVER (PARTITION BY doc_id, q ORDER BY i) + 1 AS start FROM edge),
+        run AS MATERIALIZED (SELECT doc_id, start, until - start + q AS length, min(q) AS period FROM gap
+                WHERE until - start + q >= greatest(6, 4 * q) GROUP BY doc_id, start, length),
+        best AS (SELECT doc_id, count(*) AS n_runs, arg_max((start, length, period), (length, -start, -period)) AS b,
+                 string_agg(start || ',' || length || ',' || period || chr(10), '' ORDER BY start, period) AS listed FROM run GROUP BY doc_id),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(start + period, start + length)) AS i FROM run),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+        SELECT t.doc_id, coalesce(n_runs, 0) AS n_runs, b[1] AS start, b[2] AS length, b[3] AS period,
+               1000 * b[2] // b[3] AS exponent_milli, sha256(coalesce(listed, '')) AS runs_sha256,
+               sha256(coalesce(kept.t, '')) AS collapsed_sha256
+        FROM t LEFT JOIN best USING (doc_id) LEFT JOIN kept USING (doc_id)""",
+)
+def periodic_run_detection(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of every text, after the tenth of the texts that the keys pick was made periodic from some word on."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    digest = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    words = F.filter(F.split("text", r"[\x20\x09-\x0D]+"), lambda word: word != "")
+    some = docs.select("doc_id", "text", F.when(digest % 10 == 0, words).alias("ws"), F.floor(digest / 10).alias("g"))
+    some = some.withColumn("n", F.size("ws")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    period = F.lit(1) + F.floor((F.col("n") - F.col("a")) / (F.lit(3) + F.col("g") % 8))
+    place = lambda i: F.when(i < F.col("a"), i).otherwise(F.col("a") + (i - F.col("a")) % F.col("p"))
+    # element_at reads an array by number; F.get would copy the lambda's array for each word
+    made = F.array_join(F.transform(F.sequence(F.lit(0), F.col("n") - 1), lambda i: F.element_at("ws", (place(i) + 1).cast("int"))), " ")
+    some = some.withColumn("p", period).select("doc_id", F.when(F.col("n") > 0, made).otherwise(F.col("text")).alias("text"))
+    outputs = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    return periodic.periodic_runs(some, outputs=outputs)
+
+
 def _round_sql(i: int) -> str:
     """Assign parts to the entries of round ``i`` and move these; a floor of a quotient of integers takes its remainder off first."""
     return f"""
