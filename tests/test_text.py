@@ -301,29 +301,31 @@ def brute_force(pool, id_col, question_vectors, max_distance=None):
     return sorted(out)
 
 
+def question_vectors(spark, questions):
+    frame = spark.createDataFrame(list(questions.items()), "query_id string, query_text string")
+    return {r.query_id: r.embedding for r in vectors.meaningful(vectors.embed(frame, "query_text")).collect()}
+
+
 def test_note_search(spark):
     """Every question finds the notes whose words it shares most, by brute force over all notes of the region."""
-    from tierloom.plans.analysis_queries import asked, note_search, notes
+    from tierloom.plans.analysis_queries import NOTE_QUESTIONS, note_search, notes
 
     sf_dir = "/root/testdata/sf0.001"
     got = note_search(spark, sf_dir)
     pool = vectors.embed(notes(spark, sf_dir), "alert_note").where("region = 'asia'").collect()
-    questions = asked(spark, q1="Which customers need retention outreach due to cancellations?",
-                      q2="Who are our highest value accounts to prioritize?")
-    wanted = {r.query_id: r.query_vector for r in questions.collect()}
+    wanted = question_vectors(spark, NOTE_QUESTIONS)
     assert rows(got, "query_id", "rank", "note_id") == brute_force(pool, "note_id", wanted)
 
 
 def test_chunk_search(spark):
-    from tierloom.plans.analysis_queries import asked, chunk_search
+    from tierloom.plans.analysis_queries import CHUNK_QUESTIONS, chunk_search
 
     sf_dir = "/root/testdata/sf0.001"
     got = chunk_search(spark, sf_dir)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     chunks = text.chunk_recursive(documents, "doc_id", "text")
     pool = vectors.embed(chunks, "chunk_text").collect()
-    questions = asked(spark, q1="that heron in the", q2="le la des que", q3="zzzz")
-    wanted = {r.query_id: r.query_vector for r in questions.collect()}
+    wanted = question_vectors(spark, CHUNK_QUESTIONS)
     want = brute_force(pool, "chunk_id", wanted, vectors.MAX_DISTANCE)
     assert rows(got, "query_id", "rank", "chunk_id") == want and want
     texts = {r.chunk_id: (r.chunk_label, r.chunk_text) for r in pool}
@@ -332,14 +334,14 @@ def test_chunk_search(spark):
 
 def test_chunk_search_fixed_reads_all_documents(spark):
     """The nearest fixed windows by brute force over every document, whatever its source."""
-    from tierloom.plans.analysis_queries import CHUNK_QUESTIONS, asked, chunk_search_fixed
+    from tierloom.plans.analysis_queries import CHUNK_QUESTIONS, chunk_search_fixed
 
     sf_dir = "/root/testdata/sf0.001"
     got = chunk_search_fixed(spark, sf_dir)
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     chunks = text.chunk_fixed(documents, "doc_id", "text", keep=["source"])
     pool = vectors.meaningful(vectors.embed(chunks, "chunk_text")).collect()  # without blank windows
-    wanted = {r.query_id: r.query_vector for r in asked(spark, **CHUNK_QUESTIONS).collect()}
+    wanted = question_vectors(spark, CHUNK_QUESTIONS)
     want = brute_force(pool, "chunk_id", wanted, vectors.MAX_DISTANCE)
     assert rows(got, "query_id", "rank", "chunk_id") == want
     sources = {r.chunk_id: r.source for r in pool}

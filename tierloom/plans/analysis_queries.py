@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import squared_l2
 from tierloom.operators import alerts as al
-from tierloom.operators import drift, experiments, keyed, text, vectors
+from tierloom.operators import drift, experiments, keyed, sparse, text, vectors
 from tierloom.operators.joins import enrich
 from tierloom.plans import testtables as tt
 from tierloom.plans.registry import query
@@ -274,9 +274,9 @@ def search_sql(stored: str, key: str, text: str, questions: dict[str, str], payl
 )
 def embed_hash(spark, sf_dir):
     """The vector of every document, as its parts that are not zero."""
-    embedded = vectors.embed(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
-    parts = embedded.select("doc_id", F.posexplode("embedding").alias("bucket", "value")).where("value <> 0")
-    return parts.withColumn("value", F.round(F.col("value").cast("double"), 6))
+    embedded = sparse.embed_sparse(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    parts = embedded.select("doc_id", F.explode("sparse").alias("part"))
+    return parts.select("doc_id", "part.bucket", F.round(F.col("part.value").cast("double"), 6).alias("value"))
 
 
 @query(
@@ -364,9 +364,15 @@ def stored(spark, df, purpose):
 
 
 def asked(spark, **questions):
-    """Questions with their vectors."""
+    """Questions with their vectors; one without a known word has none and is left out."""
     rows = spark.createDataFrame(list(questions.items()), "query_id string, query_text string")
-    return vectors.meaningful(vectors.embed(rows, "query_text", vector_col="query_vector"), "query_vector")
+    return sparse.embed_sparse(rows, "query_text", vector_col="query_vector").where(F.size("query_vector") > 0)
+
+
+def searchable(spark, rows, id_col, text_col, by=()):
+    """Stored posting lists of the texts of ``rows``."""
+    embedded = sparse.embed_sparse(rows.select(id_col, *by, text_col), text_col)
+    return stored(spark, sparse.postings(embedded, id_col, by), "postings")
 
 
 NOTE_QUESTIONS = {
@@ -387,13 +393,14 @@ NOTES_TABLE_SQL = (
 )
 def note_search(spark, sf_dir):
     """Questions over the notes of all customers in one region."""
-    collection = keyed.collection_add(None, vectors.embed(notes(spark, sf_dir), "alert_note"), "note_id")
+    collection = stored(spark, keyed.collection_add(None, notes(spark, sf_dir), "note_id"), "notes")
     return typed(
-        vectors.retrieve(
+        sparse.retrieve_sparse(
             asked(spark, **NOTE_QUESTIONS),
-            stored(spark, vectors.meaningful(collection), "notes"),
+            searchable(spark, collection, "note_id", "alert_note", ["region"]),
             where=F.col("region") == "asia",
             id_col="note_id",
+            rows=collection,
             payload=["customer_name", "target_tier", "alert_note"],
         )
     )
@@ -404,10 +411,11 @@ CHUNK_QUESTIONS = {"q1": "that heron in the", "q2": "le la des que", "q3": "zzzz
 
 
 def chunk_hits(spark, chunks, id_col="chunk_id", payload=("source", "chunk_label", "chunk_text"), text_col="chunk_text"):
-    collection = stored(spark, vectors.meaningful(vectors.embed(chunks, text_col)), "chunks")
+    collection = stored(spark, chunks, "chunks")
     return typed(
-        vectors.retrieve(
-            asked(spark, **CHUNK_QUESTIONS), collection, id_col=id_col, max_distance=vectors.MAX_DISTANCE, payload=list(payload)
+        sparse.retrieve_sparse(
+            asked(spark, **CHUNK_QUESTIONS), searchable(spark, collection, id_col, text_col), id_col=id_col,
+            max_distance=vectors.MAX_DISTANCE, rows=collection, payload=list(payload),
         )
     )
 
