@@ -122,9 +122,14 @@ def linked_labels(links, left, right):
     import numpy as np
 
     most = np.iinfo(np.int64).max
+
+    def least_of(matrix, values, own):
+        strips = [np.where(matrix[at : at + 128], values[None, :], most).min(1, initial=most) for at in range(0, len(matrix), 128)]
+        return np.minimum(own, np.concatenate(strips)) if strips else own
+
     while True:
-        new_left = np.minimum(left, np.where(links, right[None, :], most).min(1, initial=most))
-        new_right = np.minimum(right, np.where(links, new_left[:, None], most).min(0, initial=most))
+        new_left = least_of(links, right, left)
+        new_right = least_of(links.T, new_left, right)
         if (new_left == left).all() and (new_right == right).all():
             return left, right
         left, right = new_left, new_right

@@ -33,10 +33,10 @@ from tierloom.llm.common import (
 )
 
 WORDS, THRESHOLD, TREES, DEPTH, RECALL = 5, 0.8, 20, 7, 0.998
-#: Texts and n-grams of a block.
-BLOCK_TEXTS, BLOCK_GRAMS = 2048, 2_000_000
+#: Texts and n-grams of a block; texts and n-grams of it that are worked on at a time.
+BLOCK_TEXTS, BLOCK_GRAMS, STRIP, GRAMS_AT_ONCE = 2048, 500_000, 64, 1024
 #: A worker's remembered words are dropped beyond this count; the hashes stay the same.
-MOST_WORDS = 500_000
+MOST_WORDS = 200_000
 
 
 def forest_depths(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> list[int]:
@@ -177,35 +177,40 @@ def shared_grams(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     """Size of the intersection of each pair of sets."""
     if len(left) * len(right) <= 16:
         return np.array([[len(np.intersect1d(a, b, assume_unique=True)) for b in right] for a in left])
-    owners = np.concatenate([np.repeat(np.arange(len(s)), [len(x) for x in s]) for s in (left, right)])
-    side = np.repeat([0, 1], [sum(map(len, left)), sum(map(len, right))])
-    _, gram, times = np.unique(np.concatenate([*left, *right]), return_inverse=True, return_counts=True)
-    keep = times[gram] > 1
-    gram = np.unique(gram[keep], return_inverse=True)[1]
-    owners, side = owners[keep], side[keep]
-    out, order = np.zeros((len(left), len(right)), np.float32), np.argsort(gram, kind="stable")
-    gram, owners, side = gram[order], owners[order], side[order]
-    for begin in range(0, int(gram[-1]) + 1 if len(gram) else 0, 2048):
-        a, b = np.searchsorted(gram, [begin, begin + 2048])
-        x, y = np.zeros((len(left), 2048), np.float32), np.zeros((len(right), 2048), np.float32)
-        on_left = side[a:b] == 0
+    owners = np.concatenate([np.repeat(np.arange(len(s), dtype=np.int32), [len(x) for x in s]) for s in (left, right)])
+    side = np.repeat(np.array([False, True]), [sum(map(len, left)), sum(map(len, right))])
+    every = np.concatenate([*left, *right])
+    order = np.argsort(every, kind="stable")
+    every, owners, side = every[order], owners[order], side[order]
+    del order
+    new = np.concatenate([[True], every[1:] != every[:-1]])
+    ends = np.flatnonzero(np.concatenate([new[1:], [True]]))
+    keep = np.repeat(np.diff(ends, prepend=-1) > 1, np.diff(ends, prepend=-1))  # grams of one text alone are in no intersection
+    owners, side, gram = owners[keep], side[keep], np.cumsum(new[keep], dtype=np.int32) - 1
+    del every, new, keep
+    out = np.zeros((len(left), len(right)), np.float32)
+    for begin in range(0, int(gram[-1]) + 1 if len(gram) else 0, GRAMS_AT_ONCE):
+        a, b = np.searchsorted(gram, [begin, begin + GRAMS_AT_ONCE])
+        x, y = np.zeros((len(left), GRAMS_AT_ONCE), np.float32), np.zeros((len(right), GRAMS_AT_ONCE), np.float32)
+        on_left = ~side[a:b]
         x[owners[a:b][on_left], gram[a:b][on_left] - begin] = 1
         y[owners[a:b][~on_left], gram[a:b][~on_left] - begin] = 1
         out += x @ y.T
-    return out.astype(np.int64)
+    return out
 
 
 def links_between(left: Members, right: Members, bucket: int, trees: int, threshold: float) -> np.ndarray:
     """Which pairs are at least as similar as the threshold and have this bucket as the first that they share."""
     shared = shared_grams(left.sets, right.sets)
-    links = shared >= threshold * (left.sizes[:, None] + right.sizes - shared) - 1e-9
-    links &= left.nodes[:, None] != right.nodes
-    rows = np.flatnonzero(links.any(1))
+    links = np.zeros(shared.shape, bool)
     before, after = left.first(bucket, trees), right.first(bucket, trees)
-    for at in range(0, len(rows), 64):
-        i = rows[at : at + 64]
-        met = (before[i][:, None, :] == after[None]) & (before[i][:, None, :] > 0)
-        links[i] &= ~met.any(2)
+    for at in range(0, len(links), STRIP):
+        strip = slice(at, at + STRIP)
+        near = shared[strip] >= threshold * (left.sizes[strip, None] + right.sizes - shared[strip].astype(float)) - 1e-9
+        near &= left.nodes[strip, None] != right.nodes
+        if near.any():
+            met = (before[strip, None, :] == after[None]) & (before[strip, None, :] > 0)
+            links[strip] = near & ~met.any(2)
     return links
 
 

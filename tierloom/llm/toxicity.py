@@ -38,7 +38,7 @@ MOST_DOCS, MOST_TOXIC, MOST_CLEAN, LANDMARKS = 8_000, 400, 12_000, 80
 LEAST_SHARE, MOST_RATIO = 0.008, 0.05
 LONGEST = 40
 #: A worker's remembered spans are dropped beyond this count; the scores stay the same.
-MOST_SPANS = 500_000
+MOST_SPANS = 200_000
 
 _GAPS = [g for g in product(range(1, GAP + 2), repeat=ORDER - 1)]
 _EDGE = re.compile(r"^[\W_]+|[\W_]+$")
