@@ -189,7 +189,7 @@ def test_several_views_on_one_time_line(spark, stats):
     two = fe.historical_features(asked, rows2, other, ["v", "w"]).withColumnRenamed("v", "more__v")
     want = rows(one.join(two, ["k", "event_timestamp", "label"]), "label", f"{SPEC.name}__v", "more__v", "w")
     names = [f"{SPEC.name}:v", "more:v", "more:w"]
-    for skew in ({}, {"share": 0.05, "min_rows": 0}):
+    for skew in ({}, {"rows_per_slice": 40, "min_rows": 0}):
         got = fe.historical_views(asked, [(stats, SPEC), (rows2, other)], names, **skew)
         assert rows(got, "label", f"{SPEC.name}__v", "more__v", "w") == want
     with pytest.raises(KeyError):

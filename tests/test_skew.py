@@ -1,16 +1,17 @@
 """A hot key cut into slices must give the same rows as one window over the whole key."""
 
+import numpy as np
 import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tierloom.operators import drift, keyed
+from tierloom.operators import drift, keyed, ranks, skew
 from tierloom.operators.features import FeatureView, historical_features
 from tierloom.operators.skew import SLICE, with_slices
 from tierloom.operators.windows import status_transitions
 
-SLICED = {"share": 1 / 50, "min_rows": 20}
+SLICED = {"rows_per_slice": 60, "min_rows": 20}
 
 
 @pytest.fixture(scope="module")
@@ -41,7 +42,24 @@ def test_slices_follow_the_order_and_split_the_hot_keys(log):
     bounds = [tuple(r)[1:] for r in ranges.collect()]
     assert all(a[1] < b[0] for a, b in zip(bounds, bounds[1:]))
     assert sliced.count() == 3000
-    assert with_slices(log, ["key"], "ts")[1] is False
+    assert with_slices(log, ["key"], "ts")[1] == 0
+
+
+def test_one_key_for_all_rows_makes_even_slices_and_tasks(spark):
+    """No cap on the number of slices: twice the rows, twice the slices, and none of them grows."""
+    for rows_all in (40_000, 80_000):
+        log = spark.range(rows_all).select(F.lit("k").alias("key"), (F.xxhash64("id") % 10**9).alias("at"), "id").repartition(5)
+        sliced, slices = with_slices(log, ["key"], "at", rows_per_slice=500, min_rows=20)
+        sizes = [r["count"] for r in sliced.groupBy(SLICE).count().collect()]
+        assert slices == len(sizes) and 0.8 * rows_all / 500 < slices < 1.1 * rows_all / 500 and max(sizes) < 1500
+        tasks = sliced.repartition(8, "key", SLICE).groupBy(F.spark_partition_id()).count().collect()
+        assert max(r["count"] for r in tasks) < 2 * rows_all / 8
+
+
+def test_summaries_beyond_the_bound_are_joined_without_a_broadcast(spark, log, monkeypatch):
+    plain = rows(status_transitions(log, "key", "ts", "status", ["id"]))
+    monkeypatch.setattr(skew, "BROADCAST_SLICES", 3)
+    assert rows(status_transitions(log, "key", "ts", "status", ["id"], **SLICED)) == plain
 
 
 def test_transitions(log):
@@ -80,18 +98,18 @@ def test_running_counts(spark):
     )
     plain = drift.ks_drift(values, "window", ["a", "b"])
     assert rows(drift.ks_drift(values, "window", ["a", "b"], **SLICED)) == rows(plain)
+
+
+def test_described(spark):
+    values = spark.range(4000).select(
+        F.when(F.col("id") % 2 == 0, "baseline").otherwise("current").alias("window"),
+        F.when(F.col("id") % 3 == 0, 0.0).otherwise(F.xxhash64("id") % 1000 / 7.0).alias("a"),
+        F.when(F.col("id") % 50 == 0, F.lit(None)).otherwise((F.col("id") % 10).cast("double")).alias("b"),
+    )
     described = drift.describe(values, ["window"], ["a", "b"])
-    digits = [F.round(c, 9) if c not in ("window", "feature") else F.col(c) for c in described.columns]
-    assert rows(drift.describe(values, ["window"], ["a", "b"], **SLICED).select(digits)) == rows(described.select(digits))
-    # a hot group among small ones, which are not sliced
-    small = F.concat(F.lit("g"), (F.xxhash64("a", "b") % 30).cast("string"))
-    many = values.withColumn("window", F.when(F.col("window") == "current", "hot").otherwise(small))
-    assert rows(drift.describe(many, ["window"], ["a"], **SLICED).drop("mean", "std")) == rows(
-        drift.describe(many, ["window"], ["a"]).drop("mean", "std"))
     unnamed = values.withColumn("window", F.when(F.col("window") == "current", F.col("window")))
-    for settings in ({}, SLICED):
-        by_null = {(r.window, r.feature): r["count"] for r in drift.describe(unnamed, ["window"], ["a"], **settings).collect()}
-        assert by_null == {(None, "a"): 2000, ("current", "a"): 2000}
+    by_null = {(r.window, r.feature): r["count"] for r in drift.describe(unnamed, ["window"], ["a"]).collect()}
+    assert by_null == {(None, "a"): 2000, ("current", "a"): 2000}
     pdf = values.toPandas()
     for r in described.collect():
         series = pdf[pdf.window == r.window][r.feature].describe()
@@ -99,6 +117,29 @@ def test_running_counts(spark):
             series.tolist())
 
 
+def test_values_at_ranks(spark):
+    """Every rank of small groups: signs, zeros, infinities, neighbouring doubles, repeats, a NULL group."""
+    rng = np.random.default_rng(2)
+    odd = [0.0, -0.0, float("inf"), float("-inf"), 5e-324, -5e-324, 1.0, np.nextafter(1.0, 2), -1e300, 1e300]
+    data = [(k, float(v)) for k in (None, "x", "y") for v in [*odd, *rng.normal(size=40), *rng.integers(-3, 3, 20)]]
+    long = spark.createDataFrame([*data, ("z", 3.0)], "k string, value double").repartition(3)
+    wanted = spark.createDataFrame([(k, r) for k in (None, "x", "y", "z") for r in range(72)], "k string, rank int")
+    got = {(r.k, r.rank): r.value for r in ranks.values_at_ranks(long, ["k"], wanted).collect()}
+    want = {(k, r): v for k in (None, "x", "y", "z") for r, v in enumerate(sorted(v for g, v in [*data, ("z", 3.0)] if g == k))}
+    assert got == want
+    bits = ranks.ordered_bits(np.array(sorted(v for _, v in data)))
+    assert (np.diff(bits) >= 0).all()
+    assert ranks.values_at_ranks(long.where("value > 1e308 and value < 0"), ["k"], wanted).collect() == []
+
+
+def test_rank_of_many_values(spark):
+    """Many different values of one group, found in few passes."""
+    long = spark.range(200_000).select(F.lit("g").alias("k"), (F.xxhash64("id") / 1e9).alias("value"))
+    wanted = spark.createDataFrame([("g", 100_000)], "k string, rank int")
+    got = ranks.values_at_ranks(long, ["k"], wanted).first()["value"]
+    assert got == sorted(r.value for r in long.collect())[100_000]
+
+
 def test_rows_of_one_second_are_cut(spark):
     """A hot key whose rows all fall into one second, apart by microseconds."""
     log = spark.range(2000).select(

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import percent_change
 from tierloom.functions.ks import exact_p, series_p
-from tierloom.operators.joins import broadcast_if_small, join_null_safe
+from tierloom.operators.joins import join_null_safe
+from tierloom.operators.ranks import values_at_ranks
 from tierloom.operators.skew import SLICE, join_summaries, with_slices
 from tierloom.session import shared_folder
 from tierloom.sources.writers import write_parquet
@@ -82,19 +83,19 @@ def mean_shift(
 
 
 def _running_counts(
-    long: DataFrame, group: Sequence[str], counts: Mapping[str, Column], **skew
+    long: DataFrame, group: Sequence[str], counts: Mapping[str, Column], **slicing
 ) -> DataFrame:
     """Counts per distinct value with running sums (``run_*``, including the value) in value order per group.
 
     Rows are first combined to one per distinct value. A group with many of them is summed in slices, whose totals
     shift the sums of the following slices, so no task sees a whole group.
     """
-    sliced, hot = with_slices(long, group, "value", **skew)
+    sliced, slices = with_slices(long, group, "value", **slicing)
     aggregates = [column.alias(name) for name, column in counts.items()]
     per_value = sliced.groupBy(*group, SLICE, "value").agg(*aggregates)
     so_far = Window.partitionBy(*group, SLICE).orderBy("value").rowsBetween(Window.unboundedPreceding, 0)
     running = per_value.withColumns({f"run_{name}": F.sum(name).over(so_far) for name in counts})
-    if not hot:
+    if not slices:
         return running.drop(SLICE)
     earlier = Window.partitionBy(*group).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
     shifts = (
@@ -104,7 +105,7 @@ def _running_counts(
         .select(*group, SLICE, *[F.sum(name).over(earlier).alias(f"shift_{name}") for name in counts])
     )
     return (
-        join_summaries(running, shifts, [*group, SLICE])
+        join_summaries(running, shifts, [*group, SLICE], slices)
         .withColumns(
             {f"run_{n}": F.col(f"run_{n}") + F.coalesce(F.col(f"shift_{n}"), F.lit(0)) for n in counts}
         )
@@ -116,7 +117,7 @@ P_VALUES = {"limiting": series_p, "exact": exact_p}
 
 
 def ks_drift(
-    df: DataFrame, window_col: str, features: Sequence[str], alpha: float = ALPHA, method: str = "limiting", **skew
+    df: DataFrame, window_col: str, features: Sequence[str], alpha: float = ALPHA, method: str = "limiting", **slicing
 ) -> DataFrame:
     """Two-sample Kolmogorov-Smirnov test per feature between the two windows, missing values left out.
 
@@ -131,7 +132,7 @@ def ks_drift(
     stats = _window_stats(df, window_col, features)  # one row per listed feature
     size_n, size_m = F.col("baseline_rows"), F.col("current_rows")
     gaps = (
-        _running_counts(long, ["feature"], counts, **skew)
+        _running_counts(long, ["feature"], counts, **slicing)
         .join(F.broadcast(stats.select("feature", "baseline_rows", "current_rows")), "feature")
         .groupBy("feature")
         .agg(F.max(F.abs(F.try_divide("run_n", size_n) - F.try_divide("run_m", size_m))).alias("ks_stat"))
@@ -176,10 +177,10 @@ def categorical_drift(df: DataFrame, window_col: str, features: Sequence[str]) -
 
 def combined_drift(
     df: DataFrame, window_col: str, numeric: Sequence[str], alpha: float = ALPHA,
-    threshold_pct: float = THRESHOLD_PCT, method: str = "limiting", **skew,
+    threshold_pct: float = THRESHOLD_PCT, method: str = "limiting", **slicing,
 ) -> DataFrame:
     """KS result per feature with the mean-shift flag; either one flags the feature."""
-    ks = ks_drift(df, window_col, numeric, alpha, method, **skew)
+    ks = ks_drift(df, window_col, numeric, alpha, method, **slicing)
     return (
         _shifted(ks, threshold_pct, "__change")
         .drop("__change")
@@ -196,11 +197,14 @@ def drift_summary(report: DataFrame) -> DataFrame:
     )
 
 
-def describe(df: DataFrame, group: Sequence[str], features: Sequence[str], **skew) -> DataFrame:
+QUARTILES = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
+
+
+def describe(df: DataFrame, group: Sequence[str], features: Sequence[str]) -> DataFrame:
     """count, mean, std, min, quartiles and max per group and feature; missing values are left out.
 
-    Quartiles are exact, interpolated between the two neighbouring ranks. They are read off the running counts
-    instead of an aggregate that would hold all values of a group in memory.
+    Quartiles are exact, interpolated between the two neighbouring ranks, which are selected by counting
+    (:func:`tierloom.operators.ranks.values_at_ranks`), so no task holds the values of a group.
     """
     keys = [*group, "feature"]
     long = _long(df, group, features)
@@ -211,31 +215,18 @@ def describe(df: DataFrame, group: Sequence[str], features: Sequence[str], **ske
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
-    # Written once, the basics are not computed again for the join, and their number decides how they are joined.
+    # Written once, the basics are not computed again for the ranks and the join.
     stored = write_parquet(basics, shared_folder(df.sparkSession, "describe"))
-    basics = broadcast_if_small(df.sparkSession.read.schema(basics.schema).parquet(stored))
-    running = join_null_safe(
-        _running_counts(long, keys, {"rows": F.count("*")}, **skew), basics, keys, "inner"
-    )
-    quartiles = {"q25": 0.25, "q50": 0.50, "q75": 0.75}
-    first, last = F.col("run_rows") - F.col("rows"), F.col("run_rows") - 1
-
-    def value_at(rank: Column) -> Column:
-        return F.max(F.when((first <= rank) & (rank <= last), F.col("value")))
-
-    picked = running.groupBy(*basics.columns).agg(
-        *[
-            value_at(edge((F.col("count") - 1) * share)).alias(f"{name}_{side}")
-            for name, share in quartiles.items()
-            for side, edge in (("low", F.floor), ("high", F.ceil))
-        ]
-    )
+    basics = df.sparkSession.read.schema(basics.schema).parquet(stored)
+    last = F.col("count") - 1
+    ends = [edge(last * share).cast("long") for share in QUARTILES.values() for edge in (F.floor, F.ceil)]
+    found = values_at_ranks(long, keys, basics.select(*keys, F.explode(F.array(*ends)).alias("rank")))
+    by_rank = found.groupBy(*keys).agg(F.map_from_entries(F.collect_set(F.struct("rank", "value"))).alias("at"))  # six at most
 
     def interpolated(name: str, share: float) -> Column:
-        rank = (F.col("count") - 1) * share
-        low, high = F.col(f"{name}_low"), F.col(f"{name}_high")
-        return low + (high - low) * (rank - F.floor(rank))
+        rank = last * share
+        low, high = (F.col("at")[edge(rank).cast("long")] for edge in (F.floor, F.ceil))
+        return (low + (high - low) * (rank - F.floor(rank))).alias(name)
 
-    return picked.select(
-        *keys, "count", "mean", "std", "min", *[interpolated(n, s).alias(n) for n, s in quartiles.items()], "max"
-    )
+    joined = join_null_safe(basics, by_rank, keys, "inner")
+    return joined.select(*keys, "count", "mean", "std", "min", *[interpolated(n, s) for n, s in QUARTILES.items()], "max")

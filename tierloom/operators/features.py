@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from tierloom.operators.keyed import extreme, extremes, upsert_newest
 from tierloom.operators.skew import SLICE, join_summaries, with_slices
 from tierloom.operators.windows import latest_per_key
+from tierloom.session import shared_folder
+from tierloom.sources.writers import write_parquet
 
 
 @dataclass(frozen=True)
@@ -76,7 +78,7 @@ def historical_features(
     spec: FeatureView,
     features: Sequence[str] | str,
     ts: str = "event_timestamp",
-    **skew,
+    **slicing,
 ) -> DataFrame:
     """As-of join: each entity row gets the newest feature values at or before its time, not older than the TTL.
 
@@ -84,7 +86,7 @@ def historical_features(
     entity columns pass through. Both sides are laid on one time line per key and the last feature value is carried
     forward, so the work is linear; the slices of a hot key pass their last value on to the next ones.
     """
-    return historical_views(entities, [(view_df, spec)], {spec.name: spec.resolve(features)}, ts, **skew)
+    return historical_views(entities, [(view_df, spec)], {spec.name: spec.resolve(features)}, ts, **slicing)
 
 
 def split_features(features: Sequence[str], specs: Sequence[FeatureView]) -> dict[str, list[str]]:
@@ -103,7 +105,7 @@ def historical_views(
     views: Sequence[tuple[DataFrame, FeatureView]],
     features: Sequence[str] | Mapping[str, Sequence[str]],
     ts: str = "event_timestamp",
-    **skew,
+    **slicing,
 ) -> DataFrame:
     """:func:`historical_features` from several views with one key: all of them are laid on one time line.
 
@@ -127,14 +129,18 @@ def historical_views(
     asked = entities.select(
         key, F.col(ts).alias("__ts"), F.lit(1).alias("__side"), F.struct(*entities.columns).alias("__entity")
     )
-    line, hot = with_slices(known.unionByName(asked, allowMissingColumns=True), [key], "__ts", **skew)
+    # The line joins and casts several inputs. Written once, it is not planned again for its count, its sample, its summaries
+    # and the result.
+    line = known.unionByName(asked, allowMissingColumns=True)
+    written = write_parquet(line, shared_folder(entities.sparkSession, "timeline"))
+    line, slices = with_slices(entities.sparkSession.read.schema(line.schema).parquet(written), [key], "__ts", **slicing)
     so_far = (
         Window.partitionBy(key, SLICE)
         .orderBy("__ts", "__side", "__created")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     seen = line.withColumns({value: F.last(value, ignorenulls=True).over(so_far) for value in values})
-    if hot:
+    if slices:
         earlier = Window.partitionBy(key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
         carried = (
             line.where(F.col(SLICE) > 0)
@@ -144,7 +150,7 @@ def historical_views(
             .select(key, SLICE, *[F.last(f"__end{value}", ignorenulls=True).over(earlier).alias(f"__carry{value}")
                                   for value in values])
         )
-        seen = join_summaries(seen, carried, [key, SLICE])
+        seen = join_summaries(seen, carried, [key, SLICE], slices)
         seen = seen.withColumns({value: F.coalesce(value, f"__carry{value}") for value in values})
     columns = []
     for value, (_, spec) in zip(values, views):

@@ -120,7 +120,7 @@ def upsert_newest(target: DataFrame, batch: DataFrame, key: Names, order_by: Nam
 
 
 def scd2_history(
-    log: DataFrame, key: Names, ts: str, columns: Names, tie_break: Sequence[str] = (), **skew
+    log: DataFrame, key: Names, ts: str, columns: Names, tie_break: Sequence[str] = (), **slicing
 ) -> DataFrame:
     """Versions per key from a change log: ``effective_date``, ``end_date`` and ``is_current``.
 
@@ -129,10 +129,10 @@ def scd2_history(
     keys, tracked = _columns(key), _columns(columns)
     state = F.struct(*tracked)
     ordered = log.select(*dict.fromkeys([*keys, ts, *tie_break, *tracked]))
-    sliced, hot = with_slices(ordered, keys, ts, **skew)
-    seen = neighbours(sliced, hot, keys, ts, state, tie_break)
+    sliced, slices = with_slices(ordered, keys, ts, **slicing)
+    seen = neighbours(sliced, slices, keys, ts, state, tie_break)
     changed = seen.where(F.col("__before").isNull() | ~F.col("__before").eqNullSafe(state)).drop("__before", "__after")
-    dated = neighbours(changed, hot, keys, ts, F.struct(F.col(ts).alias("ts")), tie_break)
+    dated = neighbours(changed, slices, keys, ts, F.struct(F.col(ts).alias("ts")), tie_break)
     return dated.select(
         *keys,
         *tracked,
@@ -143,7 +143,7 @@ def scd2_history(
 
 
 def scd2_apply(
-    dim: DataFrame, batch: DataFrame, key: Names, ts: str, columns: Names, log: DataFrame | None = None, **skew
+    dim: DataFrame, batch: DataFrame, key: Names, ts: str, columns: Names, log: DataFrame | None = None, **slicing
 ) -> DataFrame:
     """Bring a versioned table up to date with a batch of changes.
 
@@ -165,7 +165,7 @@ def scd2_apply(
         late = logged.where(F.col("__first") < F.col("__last")).select(*keys)
         rebuilt_late = scd2_history(
             join_null_safe(log.select(*keys, ts, *tracked).unionByName(changes), late, keys, "left_semi"),
-            keys, ts, tracked, profile=log.select(*keys, ts), **skew,
+            keys, ts, tracked, profile=log.select(*keys, ts), **slicing,
         )
         dim = join_null_safe(dim, late, keys, "left_anti")
         changes = join_null_safe(changes, late, keys, "left_anti")
@@ -176,7 +176,7 @@ def scd2_apply(
     # At equal times the batch row comes after the version it corrects.
     line = points.withColumn("__order", F.lit(0)).unionByName(changes.withColumn("__order", F.lit(1)))
     loads = dim.select(*keys, F.col("effective_date").alias(ts)).unionByName(batch.select(*keys, ts))
-    rebuilt = scd2_history(line, keys, ts, tracked, ["__order"], profile=loads, **skew)
+    rebuilt = scd2_history(line, keys, ts, tracked, ["__order"], profile=loads, **slicing)
     out = untouched.unionByName(rebuilt)
     return out if rebuilt_late is None else out.unionByName(rebuilt_late)
 

@@ -1,111 +1,95 @@
-"""Slices for keys that hold too many rows for one task.
+"""Slices for keys that hold too many rows for one task: a prefix scan over ranges of (key, order).
 
-A window over ``partitionBy(key)`` puts all rows of a key into one task. Keys that hold more than a given share of
-the rows are cut into slices along the order column, so that a window over (key, slice) stays within a task. What a
-slice needs from its neighbours is one summary row per (key, slice), which the operators carry across.
+A window over ``partitionBy(key)`` puts all rows of a key into one task. Here the rows, in the order of key and order column, are
+cut into ranges of about :data:`ROWS_PER_SLICE` rows by a sorted sample, and a window runs over (key, slice). What a slice needs from
+earlier ones is one summary row, and the callers scan these summaries. The number of slices grows with the rows and the
+rows of a slice do not, however they are spread over the keys.
 
-At most ``1/share`` keys can hold more than ``share`` of the rows, and a key gets about one slice per ``share``. So
-the list of hot keys has at most ``1/share`` rows and the summaries together at most about ``3/share``: that is the
-size bound behind the broadcasts in the callers.
+Keys count by their hash, as only the order within a key matters. A key of fewer than about two slices is not cut. Where the cuts fall
+changes only the work per task and never the result, so a sample may choose them; it is read once, so that every later evaluation
+of the frame cuts in the same places.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.functions.columns import clock_position
 from tierloom.operators.joins import join_null_safe
+from tierloom.session import carry_to_workers
+
+carry_to_workers(__name__)
 
 SLICE = "__slice"
-_HASH = "__key_hash"
-_BOUNDS = "__bounds"
-_GRID = 1024  # quantile cuts per hot key before thinning
+_HASH, _AT = "__key_hash", "__at"
 
-#: A key is hot above this share of all rows ...
-SHARE = 1 / 4000
-#: ... and above this many rows.
-MIN_ROWS = 5_000_000
+#: Rows of a slice, about; a table of fewer rows than the second number is left whole.
+ROWS_PER_SLICE, MIN_ROWS = 1_000_000, 5_000_000
+#: Sampled rows between two cuts, which makes slices even to about a fifth, and sampled rows that one task sorts.
+SAMPLE_PER_SLICE, SAMPLE_PER_TASK = 32, 65_536
+#: So many summaries may be broadcast; more of them are joined by the planner's choice.
+BROADCAST_SLICES = 200_000
 
 
 def with_slices(
     df: DataFrame,
     key: Sequence[str],
     order_by: str,
-    share: float = SHARE,
+    rows_per_slice: int = ROWS_PER_SLICE,
     min_rows: int = MIN_ROWS,
     profile: DataFrame | None = None,
-) -> tuple[DataFrame, bool]:
-    """Add the column :data:`SLICE`: 0 for ordinary keys, 1, 2, ... in order for the rows of a hot key.
+) -> tuple[DataFrame, int]:
+    """Add the column :data:`SLICE`: 0 for keys that are not cut, 1, 2, ... in order for the rows of those that are.
 
-    Returns the frame and whether there is any hot key. Which keys count as hot, and where they are cut, changes
-    only the work per task and never the result, so the counts may come from a sketch, and from ``profile`` if the
-    rows of ``df`` are costly to compute: a frame with the same key and order columns that needs no join. The cuts
-    are read once and kept as literals, hence every later evaluation of the frame cuts in the same places.
+    Returns the frame and the number of slices, 0 if no key is cut. The sample comes from ``profile`` if the rows of ``df`` are
+    costly to compute: a frame with the same key and order columns that needs no join.
     """
     profile = df if profile is None else profile
-    if profile.count() <= min_rows:  # reads no columns
-        return df.withColumn(SLICE, F.lit(0)), False
-    hashed = F.xxhash64(*key)
-    top = int(1 / share)
-    found = profile.select(hashed.alias(_HASH)).agg(
-        F.expr(f"approx_top_k({_HASH}, {top}, {min(1_000_000, 8 * top)})").alias("top"), F.count("*").alias("rows")
-    )
-    row = found.first()
-    target = max(row["rows"] * share, min_rows)
-    hot = [item["item"] for item in row["top"] or [] if item["count"] > target]
-    if not hot:
-        return df.withColumn(SLICE, F.lit(0)), False
-
-    position = clock_position(order_by, dict(df.dtypes)[order_by])
-    cuts = (
-        profile.select(hashed.alias(_HASH), position.alias("at"))
-        .where(F.col(_HASH).isin(hot))
-        .groupBy(_HASH)
-        .agg(
-            F.percentile_approx("at", [i / _GRID for i in range(1, _GRID)], 10 * _GRID).alias("grid"),
-            F.count("*").alias("rows"),
-        )
-        .withColumn("step", F.greatest(F.lit(1), F.floor(F.lit(_GRID * target) / F.col("rows"))).cast("int"))
-        .select(
-            _HASH,
-            F.array_sort(
-                F.array_distinct(F.filter("grid", lambda cut, i: (i + 1) % F.col("step") == 0))
-            ).alias(_BOUNDS),
-        )
-        .collect()  # at most 1/share keys with about one cut per share of the rows
-    )
-    spark = df.sparkSession
-    bounds = spark.createDataFrame(
-        [(c[_HASH], [b for b in c[_BOUNDS] or []]) for c in cuts], f"{_HASH} bigint, {_BOUNDS} array<double>"
-    )
-    sliced = (
-        df.withColumn(_HASH, hashed)
-        .withColumn("__at", position)
-        .join(F.broadcast(bounds), _HASH, "left")
-        .withColumn(
-            SLICE,
-            F.when(F.col(_BOUNDS).isNull(), 0).otherwise(1 + _rank_in(F.col(_BOUNDS), F.col("__at"))),
-        )
-        .drop(_HASH, _BOUNDS, "__at")
-    )
-    return sliced, True
-
-
-def _rank_in(bounds: Column, value: Column) -> Column:
-    """How many of the ascending ``bounds`` lie below ``value``; a NULL value sorts first and gives 0."""
-    steps = F.array(*[F.lit(1 << bit) for bit in reversed(range(_GRID.bit_length()))])
-    return F.aggregate(
-        steps,
-        F.lit(0),
-        lambda at, step: F.when(
-            (at + step <= F.size(bounds)) & (F.get(bounds, at + step - 1) < value), at + step
-        ).otherwise(at),
-    )
-
-
-def join_summaries(rows: DataFrame, summaries: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Attach one summary row per (key, slice). The summaries are bounded, see above, and a NULL key has its own."""
-    return join_null_safe(rows, F.broadcast(summaries), columns)
+    rows = profile.count()  # reads no columns
+    if rows <= min_rows:
+        return df.withColumn(SLICE, F.lit(0)), 0
+    placed = [F.xxhash64(*key).alias(_HASH), _position(df, order_by).alias(_AT)]
+    cuts = _cuts(profile.select(*placed), rows, rows_per_slice)
+    if not len(cuts):
+        return df.withColumn(SLICE, F.lit(0)), 0
+    # one cut per slice, two numbers each
+    shared = df.sparkSession.sparkContext.broadcast({h: own[_AT].to_numpy() for h, own in cuts.groupby(_HASH)})
+
+    @F.pandas_udf("int")
+    def slice_of(hashes: pd.Series, at: pd.Series) -> pd.Series:
+        bounds, out = shared.value, np.zeros(len(hashes), np.int32)
+        hashes, at = hashes.to_numpy(), at.to_numpy()
+        for one in set(np.unique(hashes).tolist()) & bounds.keys():
+            own = hashes == one
+            out[own] = 1 + np.searchsorted(bounds[one], at[own])
+        return pd.Series(out)
+
+    return df.withColumn(SLICE, slice_of(*placed)), len(cuts) + cuts[_HASH].nunique()
+
+
+def _position(df: DataFrame, order_by: str):
+    """A number that rises with the order column; NULL comes first."""
+    return F.coalesce(clock_position(order_by, dict(df.dtypes)[order_by]), F.lit(float("-inf")))
+
+
+def _cuts(placed: DataFrame, rows: int, rows_per_slice: int) -> pd.DataFrame:
+    """Every :data:`SAMPLE_PER_SLICE`-th row of a sorted sample, of keys that have several, without repeats."""
+    sampled = SAMPLE_PER_SLICE * rows / rows_per_slice
+    some = placed.sample(min(1.0, sampled / rows), 17)
+    tasks = max(1, int(sampled / SAMPLE_PER_TASK))
+    in_order = some.repartitionByRange(tasks, _HASH, _AT).sortWithinPartitions(_HASH, _AT)
+    number = F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)
+    picked = in_order.select(_HASH, _AT, number.alias("n")).where(F.col("n") % SAMPLE_PER_SLICE == SAMPLE_PER_SLICE - 1)
+    found = picked.select(_HASH, _AT).toPandas().sort_values([_HASH, _AT])
+    found = found[found.groupby(_HASH)[_AT].transform("size") > 1] if len(found) else found
+    return found.drop_duplicates()
+
+
+def join_summaries(rows: DataFrame, summaries: DataFrame, columns: Sequence[str], slices: int) -> DataFrame:
+    """Attach one summary row per (key, slice), of which there are ``slices``. A NULL key has its own."""
+    return join_null_safe(rows, F.broadcast(summaries) if slices <= BROADCAST_SLICES else summaries, columns)

@@ -27,7 +27,7 @@ def latest_per_key(
 
 
 def neighbours(
-    sliced: DataFrame, hot: bool, key: Sequence[str], ts: str, state: Column, tie_break: Sequence[str] = ()
+    sliced: DataFrame, slices: int, key: Sequence[str], ts: str, state: Column, tie_break: Sequence[str] = ()
 ) -> DataFrame:
     """Add the structs ``__before`` and ``__after``: the state of the previous and next row of the same key.
 
@@ -38,7 +38,7 @@ def neighbours(
     order = [ts, *tie_break]
     window = Window.partitionBy(*group).orderBy(*order)
     out = sliced.withColumns({"__before": F.lag(state).over(window), "__after": F.lead(state).over(window)})
-    if not hot:
+    if not slices:
         return out
     along = Window.partitionBy(*key).orderBy(SLICE)
     edges = (
@@ -48,20 +48,20 @@ def neighbours(
         .select(*group, F.lag("last").over(along).alias("__carry"), F.lead("first").over(along).alias("__next"))
     )
     return (
-        join_summaries(out, edges, group)
+        join_summaries(out, edges, group, slices)
         .withColumns({"__before": F.coalesce("__before", "__carry"), "__after": F.coalesce("__after", "__next")})
         .drop("__carry", "__next")
     )
 
 
 def status_transitions(
-    df: DataFrame, key: str | Sequence[str], ts: str, status: str, tie_break: Sequence[str] = (), **skew
+    df: DataFrame, key: str | Sequence[str], ts: str, status: str, tie_break: Sequence[str] = (), **slicing
 ) -> DataFrame:
     """Add ``prev_status``, ``next_status`` and ``status_changed`` (a previous status exists and differs)."""
     keys = _columns(key)
-    sliced, hot = with_slices(df, keys, ts, **skew)
+    sliced, slices = with_slices(df, keys, ts, **slicing)
     return (
-        neighbours(sliced, hot, keys, ts, F.struct(F.col(status).alias("status")), tie_break)
+        neighbours(sliced, slices, keys, ts, F.struct(F.col(status).alias("status")), tie_break)
         .withColumns({"prev_status": F.col("__before.status"), "next_status": F.col("__after.status")})
         .withColumn(
             "status_changed", F.col("prev_status").isNotNull() & (F.col("prev_status") != F.col(status))
