@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from tierloom.functions.columns import squared_l2
 from tierloom.operators import alerts as al
-from tierloom.operators import drift, experiments, keyed, sparse, text, vectors
+from tierloom.operators import clusters, drift, experiments, keyed, sparse, text, vectors
 from tierloom.operators.joins import enrich
 from tierloom.plans import testtables as tt
 from tierloom.plans.registry import query
@@ -356,6 +356,13 @@ def retrieve_lsh_all_buckets(spark, sf_dir):
     return typed(vectors.retrieve_lsh(tt.centroids(spark, sf_dir), stored, radius=5, bits=5))
 
 
+@query("retrieve_clusters", hits_sql())
+def retrieve_clusters(spark, sf_dir):
+    """The exact hits over an index of clusters, which the triangle inequality prunes."""
+    index = clusters.build_clusters(tt.table(spark, sf_dir, "embeddings"))
+    return typed(clusters.retrieve_clusters(tt.centroids(spark, sf_dir), index))
+
+
 def stored(spark, df, purpose):
     """A collection is written once and then searched; its text is read only for the hits."""
     path = shared_folder(spark, purpose)
