@@ -33,9 +33,11 @@ from tierloom.llm.common import staged
 ORDER, GAP, DECAY = 4, 2, 0.8
 #: Bounds of the training sample: documents of each label, toxic spans, clean spans, landmarks of each label.
 MOST_DOCS, MOST_TOXIC, MOST_CLEAN, LANDMARKS = 8_000, 400, 12_000, 80
-#: A span needs this share of the toxic documents (at least 3) as different surroundings to count as a toxic example, and
-#: may occur in clean documents at most this often against toxic ones.
-LEAST_SHARE, MOST_RATIO = 0.008, 0.05
+#: A span counts as a toxic example if its toxic surroundings are more than chance explains, at this level for all spans
+#: together, or if they are as many as this share of the toxic documents (at least 3); in clean documents it may occur at most so often
+#: against toxic ones. The first way's minimum grows with the logarithm of the number of spans only, so a rare insult is not
+#: lost in a larger sample; the second one is for samples too small for the first.
+LEVEL, LEAST_SHARE, MOST_RATIO = 0.01, 0.008, 0.05
 LONGEST = 40
 #: A worker's remembered spans are dropped beyond this count; the scores stay the same.
 MOST_SPANS = 200_000
@@ -62,6 +64,11 @@ def spelled(words: list[str]) -> list[str]:
     return runs
 
 
+def windows_of(word: str) -> list[str]:
+    """A word of up to :data:`LONGEST` characters, or the overlapping windows of a longer one."""
+    return [word[at : at + LONGEST] for at in range(0, max(1, len(word) - LONGEST // 2), LONGEST // 2)]
+
+
 def subsequences(span: str) -> dict[str, float]:
     """Weights of a span's subsequences."""
     marked, found = f"\x02{span}\x03", {}
@@ -143,8 +150,8 @@ class Scorer:
         """Long words are scored in overlapping windows."""
         cut, owner = [], []
         for i, word in enumerate(map(span_of, words)):
-            for at in range(0, max(1, len(word) - LONGEST // 2), LONGEST // 2):
-                cut.append(word[at : at + LONGEST])
+            for span in windows_of(word):
+                cut.append(span)
                 owner.append(i)
         if not words:
             return []
@@ -247,6 +254,14 @@ def highest_spans(docs: DataFrame, machine: Machine, kept: list[str], text: str)
     return picked.mapInArrow(run, schema)
 
 
+def surprise(toxic: Column, clean: Column, usual: float) -> Column:
+    """Minus the logarithm of a bound on the chance (Chernoff's) that so many of ``toxic + clean`` occurrences are toxic."""
+    both, n = F.greatest(toxic + clean, F.lit(1)), toxic + clean
+    seen = F.when(toxic > 0, toxic * F.log(toxic / (both * usual))).otherwise(0.0)
+    unseen = F.when(clean > 0, clean * F.log(clean / (both * (1 - usual)))).otherwise(0.0)
+    return F.when(toxic > n * usual, seen + unseen).otherwise(0.0)
+
+
 def fold_of(key: Column, folds: int) -> Column:
     """crc32 of the key as text, modulo ``folds``; a null key counts as the empty text."""
     return (F.crc32(F.coalesce(key.cast("string"), F.lit(""))) % folds).cast("int")
@@ -271,8 +286,7 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
                     words = [span_of(word) for word in sentence.lower().split()]
                     words += spelled(words)
                     for before, word, after in zip(["", *words], words, [*words[1:], ""]):
-                        if 2 < len(word) <= LONGEST:
-                            rows.add((word, f"{before} {after}" if y else ""))
+                        rows.update((span, f"{before} {after}" if y else "") for span in windows_of(word) if len(span) > 1)
                 if rows:
                     spans, around = zip(*rows)
                     yield pa.RecordBatch.from_arrays(
@@ -289,9 +303,11 @@ def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "
     counts = staged(counts, "spans")
     share = F.col("clean") / sizes[0] <= MOST_RATIO * F.col("toxic") / sizes[1]
     least = max(3, int(LEAST_SHARE * sizes[1]))
-    toxic = counts.where((F.col("toxic") >= least) & share).orderBy(F.desc("toxic"), "span").limit(MOST_TOXIC)
+    enough = (F.col("toxic") >= least) | (surprise(F.col("toxic"), F.col("clean"), sizes[1] / (sizes[0] + sizes[1]))
+                                          >= math.log(max(1, counts.count()) / LEVEL))
+    toxic = counts.where(enough & share).orderBy(F.desc("toxic"), "span").limit(MOST_TOXIC)
     toxic = [row["span"] for row in toxic.collect()]
-    ordinary = counts.where("clean > 0").where(~(F.col("toxic") >= least) | ~share).select("span")
+    ordinary = counts.where("clean > 0").where(~enough | ~share).select("span")
     clean = [row["span"] for row in ordinary.orderBy(F.xxhash64("span")).limit(MOST_CLEAN // 2).collect()]
     machine = fit(toxic, clean)
     for _ in range(3):
