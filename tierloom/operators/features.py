@@ -14,6 +14,7 @@ from tierloom.operators.keyed import extreme, extremes, upsert_newest
 from tierloom.operators.skew import SLICE, join_summaries, with_slices
 from tierloom.operators.windows import latest_per_key
 from tierloom.session import shared_folder
+from tierloom.sources.bucketed import BucketedTable
 from tierloom.sources.writers import write_parquet
 
 
@@ -238,6 +239,18 @@ def online_features(
     return entities.join(latest.select(spec.key, *spec.resolve(features)), spec.key, "left")
 
 
+def online_lookup(entities: DataFrame, table: BucketedTable, spec: FeatureView, features: Sequence[str] | str) -> DataFrame:
+    """:func:`online_features` for the keys of a request: of a stored latest table only the buckets of these keys are read."""
+    (key,) = table.key
+    if key != spec.key:
+        raise ValueError(f"the table's key is {key}, the view's {spec.key}")
+    latest = table.lookup(entities.select(key))
+    if latest is None:
+        latest = entities.sparkSession.createDataFrame([], T.StructType([entities.schema[key], *(
+            T.StructField(name, spec.fields[name]) for name in spec.resolve(features))]))
+    return online_features(latest, entities, spec, features)
+
+
 def online_views(
     entities: DataFrame, latest: Sequence[tuple[DataFrame, FeatureView]], features: Sequence[str]
 ) -> DataFrame:

@@ -184,6 +184,11 @@ def guarded_publish(
     return df.sparkSession.table(name)
 
 
+def checked(df: DataFrame, checks: Sequence, refs: Mapping[str, DataFrame] | None = None) -> DataFrame:
+    """The rows, computed once into the shared folder, if every check passes on them; otherwise :class:`CheckFailed`."""
+    return _checked(df, checks, shared_folder(df.sparkSession, "checked"), refs)
+
+
 def _checked(df: DataFrame, checks: Sequence, folder: str, refs: Mapping[str, DataFrame] | None) -> DataFrame:
     df.write.parquet(folder)
     rows = df.sparkSession.read.schema(df.schema).parquet(folder)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tierloom.operators import alerts as al
 from tierloom.operators.features import FeatureView, increment
 from tierloom.operators.keyed import collection_add, new_rows, replace_keys, scd2_apply, scd2_history, upsert_newest
-from tierloom.operators.quality import AcceptedValues, NotNull, Relationship, Unique, guarded_write, run_checks
+from tierloom.operators.quality import AcceptedValues, NotNull, Relationship, Unique, checked, guarded_write, run_checks
 from tierloom.operators.staging import stage_customers, stage_orders
 from tierloom.operators.windows import latest_per_key
 from tierloom.session import shared_folder
@@ -87,12 +87,19 @@ def load_incremental(
     lookback: timedelta | None = None,
     dedup: bool = False,
     tie_break: Sequence[str] = (),
+    checks: Sequence = (),
 ) -> DataFrame:
-    """Delete-and-insert into a stored table; only buckets that hold keys of new rows are rewritten."""
+    """Delete-and-insert into a stored table; only buckets that hold keys of new rows are rewritten.
+
+    ``checks`` are run on the new rows, which replace all rows of their keys, before anything is published; if one fails, the
+    table stays as it is.
+    """
     target = table.read()
     batch = source if target is None else new_rows(source, target, cursor, lookback)
     if dedup:
         batch = latest_per_key(batch, table.key, cursor, tie_break)
+    if checks:
+        batch = checked(batch, checks)
     table.update(batch, lambda current, rows: replace_keys(current, rows, table.key))
     return table.read()
 

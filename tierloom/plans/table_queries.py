@@ -10,7 +10,7 @@ from tierloom.operators import keyed
 from tierloom.operators import quality as dq
 from tierloom.operators.joins import orphans
 from tierloom.plans import testtables as tt
-from tierloom.plans.loads import load_features, load_incremental
+from tierloom.plans.loads import INCREMENTAL_ORDER_CHECKS, load_features, load_incremental
 from tierloom.plans.registry import query
 from tierloom.session import shared_folder
 from tierloom.sources.bucketed import BucketedTable
@@ -51,8 +51,8 @@ def incremental_delete_insert(spark, sf_dir):
     """A first load of the earlier orders, then an incremental load from all orders into the stored table."""
     stored = BucketedTable(spark, shared_folder(spark, "orders_incremental"), "order_id", buckets=8)
     earlier = tt.orders(spark, sf_dir).where(F.col("order_date") < tt.moment(tt.ORDER_CUT))
-    load_incremental(stored, earlier, "last_updated")
-    return load_incremental(stored, reissued_orders(spark, sf_dir), "last_updated")
+    load_incremental(stored, earlier, "last_updated", checks=INCREMENTAL_ORDER_CHECKS)
+    return load_incremental(stored, reissued_orders(spark, sf_dir), "last_updated", checks=INCREMENTAL_ORDER_CHECKS)
 
 
 LAST_ORDER_SQL = "row_number() OVER (PARTITION BY customer_id ORDER BY last_updated DESC, order_id DESC) = 1"
@@ -300,6 +300,19 @@ def online_features(spark, sf_dir):
     return fe.online_features(latest, entities, tt.USER_VIEW, "activity").withColumnRenamed("user_id", "customer_id")
 
 
+@query(
+    "online_lookup",
+    f"""SELECT customer_id, value, event_type FROM (SELECT c_custkey AS customer_id FROM customer WHERE c_nationkey = 7) LEFT JOIN (
+        {LATEST_SQL.format("true")}) ON customer_id = user_id""",
+)
+def online_lookup(spark, sf_dir):
+    """A request for the customers of one nation against the stored latest table; the other keys' buckets are not read."""
+    latest = BucketedTable(spark, shared_folder(spark, "latest_features"), "user_id", buckets=32)
+    load_features(latest, tt.events(spark, sf_dir), tt.USER_VIEW, "2100-01-01", "1900-01-01")
+    entities = tt.table(spark, sf_dir, "customer").where("c_nationkey = 7").select(F.col("c_custkey").alias("user_id"))
+    return fe.online_lookup(entities, latest, tt.USER_VIEW, "activity").withColumnRenamed("user_id", "customer_id")
+
+
 VIEWS = ["user_stats:value", "order_stats:order_amount", "order_stats:value"]
 
 

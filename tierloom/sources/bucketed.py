@@ -22,6 +22,8 @@ from tierloom.sources.writers import write_parquet
 
 #: Names of folders; no column of a table may have them.
 BUCKET, VERSION = "__bucket", "__version"
+#: A lookup of at most so many keys names them to the scan, which skips row groups by their ranges and Bloom filters.
+NAMED_KEYS = 1_000
 _MANIFEST = f"bucket int, version bigint, facts string, {VERSION} bigint"
 
 
@@ -70,6 +72,30 @@ class BucketedTable:
         held, schema = self._published(max(published, default=None))
         return None if schema is None else self._read(held, schema)
 
+    def lookup(self, keys: DataFrame) -> DataFrame | None:
+        """The rows of the given keys (columns named as the table's key); None if there was nothing yet.
+
+        Only the buckets that hold the keys are read. Keys of another type count as the table's; NULL keys match nothing, and a key
+        asked twice is answered once.
+        """
+        held, schema = self._published(self.last_version())
+        if schema is None:
+            return None
+        asked = keys.select(*[F.col(name).cast(schema[name].dataType).alias(name) for name in self.key]).dropna().distinct()
+        staged = write_parquet(asked, shared_folder(self.spark, "asked"))
+        asked = self.spark.read.schema(asked.schema).parquet(staged)
+        buckets = [row[0] for row in asked.select(self._bucket()).distinct().collect()]  # at most self.buckets values
+        rows = self._read({bucket: held[bucket] for bucket in buckets if bucket in held}, schema)
+        few = asked.limit(NAMED_KEYS + 1).collect()
+        if len(few) <= NAMED_KEYS:
+            for name in self.key:  # with several columns these are more than the keys, so the join stays
+                rows = rows.where(F.col(name).isin([row[name] for row in few]))
+            asked = F.broadcast(asked)
+        return rows.join(asked, self.key, "left_semi")
+
+    def _bucket(self):
+        return F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+
     def _read(self, held: Mapping[int, int], schema: T.StructType) -> DataFrame:
         if not held:
             return self.spark.createDataFrame([], schema)
@@ -88,7 +114,7 @@ class BucketedTable:
         held, schema = self._published(last)
         staged = write_parquet(batch, shared_folder(self.spark, "batch"))
         batch = self.spark.read.schema(batch.schema).parquet(staged)
-        bucket = F.pmod(F.xxhash64(*self.key), F.lit(self.buckets)).cast("int")
+        bucket = self._bucket()
         touched = [row[0] for row in batch.select(bucket).distinct().collect()]  # at most self.buckets values
         if not touched:
             return last
@@ -96,13 +122,11 @@ class BucketedTable:
         merged = merge(current, batch)
         schema = _widened(schema, merged.schema)
         data = f"{self.root}/data/{VERSION}={version}"
-        (
-            merged.withColumn(BUCKET, bucket)
-            .hint("rebalance", BUCKET)
-            .write.mode("overwrite")
-            .partitionBy(BUCKET)
-            .parquet(data)
-        )
+        placed = merged.withColumn(BUCKET, bucket).hint("rebalance", BUCKET).sortWithinPartitions(BUCKET, *self.key)
+        writer = placed.write.mode("overwrite").partitionBy(BUCKET)
+        for name in self.key:  # lookups skip row groups by key
+            writer = writer.option(f"parquet.bloom.filter.enabled#{name}", "true")
+        writer.parquet(data)
         written = self.spark.read.schema(T.StructType([*schema, T.StructField(BUCKET, T.IntegerType())])).parquet(data)
         filled = {row[0] for row in written.select(BUCKET).distinct().collect()}  # buckets that merge emptied have no folder
         held = {b: v for b, v in held.items() if b not in touched} | dict.fromkeys(filled, version)
