@@ -455,3 +455,42 @@ def test_matches_sql(spark, name):
 
     got = spark_rows(queries.QUERIES[name](spark, SF))
     assert difference(got, duck_rows(connect(SF), queries.ORACLES[name])) is None
+
+
+def test_rows_of_one_key_do_not_meet_each_other(spark):
+    """Many rows without a key: the join back to the texts stays linear, and links are found."""
+    base = [f"w{i}" for i in range(60)]
+    rows = [(None, " ".join([*base[:59], f"x{i}"])) for i in range(400)] + [(None, " ".join(base))] * 50
+    frame = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    degree, group = brute.jaccard_links([text for _, text in rows])
+    got = ngram_join.near_duplicates(frame)
+    assert sorted(r["n_links"] for r in got.collect()) == sorted(degree)
+    assert got.where("kept").count() == len(set(group))
+    made = []
+    real = ngram_join._with_sets
+
+    def counted(texts, words):
+        made.append(texts.count())
+        return real(texts, words)
+
+    ngram_join._with_sets = counted
+    try:
+        ngram_join.near_duplicates(frame)
+    finally:
+        ngram_join._with_sets = real
+    assert made and made[0] <= len(rows)
+
+
+@pytest.mark.parametrize("partitions", [1, 5])
+def test_the_smallest_key_stays_in_tables_with_null_and_repeated_keys(spark, partitions):
+    """Ties go by key, not by the order of the rows, also where some other key is null or repeats."""
+    text = " ".join(f"w{i}" for i in range(40))
+    rows = [(None, "unrelated"), (9, "also unrelated"), (9, "and another one"), (7, ""), (3, None), (5, text), (2, text), (None, text),
+            (8, text + " more"), (4, text + " else")]
+    for order in (rows, rows[::-1]):
+        frame = spark.createDataFrame(order, "doc_id long, text string").repartition(partitions)
+        kept = exact_dedup.drop_duplicates(frame)
+        assert sorted((r["doc_id"] for r in kept.collect()), key=repr) == [2, 3, 4, 8, 9, 9, None]
+        near = ngram_join.drop_near_duplicates(kept)
+        assert sorted((r["doc_id"] for r in near.collect()), key=repr) == [2, 3, 9, 9, None]
+        assert substring_dedup.cut_passages(near).count() == 5

@@ -44,12 +44,17 @@ def fresh_name(df: DataFrame, name: str) -> str:
 
 
 def with_unique_key(docs: DataFrame, key: str) -> tuple[DataFrame, str]:
-    """``docs`` and a column that tells all rows apart: ``key``, or where it has nulls or repeats, a number written with the rows."""
+    """``docs`` and a column that tells all rows apart and sorts as ``key`` does, null keys last.
+
+    That is ``key``, or where it has nulls or repeats, a struct of it and a number, written with the rows; the number decides between
+    rows with one key only.
+    """
     repeated = docs.groupBy(F.col(key).alias("key")).agg(F.count("*").alias("n")).where("n > 1 or key is null")
     if not repeated.limit(1).count():
         return docs, key
     name = fresh_name(docs, "_row")
-    return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    own = F.struct(F.col(key).isNull().alias("none"), F.col(key).alias("key"), F.monotonically_increasing_id().alias("n"))
+    return staged(docs.withColumn(name, own), "numbered"), name
 
 
 def rows_with(docs: DataFrame, key: str, kept: DataFrame) -> DataFrame:

@@ -1,10 +1,10 @@
-"""Near-duplicate texts: the Jaccard join of their word n-grams by a MinHash forest.
+"""Near-duplicate texts: the Jaccard join of their word n-grams by MinHash banding.
 
-A tree's label of a text is a sequence of short minimum hashes, packed into one integer from the top down, so that the sorted
-labels of all texts are the tree's prefix trie and texts that share the first d hashes share the first d bytes. Two texts of
-similarity s share a prefix of length d in a tree with probability s^d. Matched prefixes begin at the trie's full depth and are
-shortened, one tree after the other, until a pair at the threshold is met in some tree with the target probability; more similar
-pairs are met more often. Texts under one prefix form a bucket; buckets of different trees with the same members are kept once.
+A tree's label of a text is a sequence of short minimum hashes, packed into one integer from the top down, so that texts which share
+the first d hashes share the first d bytes. Two texts of similarity s share a prefix of length d in a tree with probability
+s^d. The length for each tree is set before any row is read: as long as a pair at the threshold is still met in some tree with the
+target probability; more similar pairs are met more often. Texts under one prefix form a bucket; buckets of different trees with the
+same members are kept once.
 
 Texts with the same n-grams are one class, compared once. In a bucket the n-grams of its texts decide exactly. A pair that shares
 several buckets is compared in its first one only. Crowded buckets are cut into blocks, and each pair of blocks is a task of its own.
@@ -40,7 +40,7 @@ MOST_WORDS = 200_000
 
 
 def forest_depths(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> list[int]:
-    """Prefix length of each tree: all begin at ``depth`` and are shortened in turn until the recall at ``threshold`` is met."""
+    """Prefix length of each tree: the longest that meet the recall at ``threshold``, within one of each other."""
     depths, turn = [depth] * trees, 0
     while 1 - np.prod([1 - threshold**d for d in depths]) < recall:
         if depths[turn] == 1:
@@ -101,8 +101,10 @@ def labels(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
 
 
 def _labelled(docs: DataFrame, key: str, text: str, words: int, depths: list[int], depth: int) -> DataFrame:
-    """``row, key, grams, digest, buckets``: a digest of each text's n-grams and its prefix in every tree."""
-    picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), whole_text(F.col(text)).alias("text"))
+    """``row, key, of_text, grams, digest, buckets``: digests of each text and of its n-grams, and its prefix in every tree."""
+    whole = whole_text(F.col(text))
+    picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.unhex(F.md5(whole)).alias("of_text"),
+                         whole.alias("text"))
     kind, trees = picked.schema["key"].dataType.simpleString(), len(depths)
     shifts = np.array([8 * (depth - d) for d in depths], np.uint64)
     tops = np.arange(trees, dtype=np.uint64) << np.uint64(56)
@@ -112,17 +114,17 @@ def _labelled(docs: DataFrame, key: str, text: str, words: int, depths: list[int
         for batch in batches:
             for at in range(0, batch.num_rows, 300):
                 part = batch.slice(at, 300)
-                sets = gram_sets(part.column(2).to_pylist(), known, words)
+                sets = gram_sets(part.column(3).to_pylist(), known, words)
                 there = [s for s in sets if len(s)]
                 prefixes = ((labels(there, trees, depth) >> shifts) | tops).astype(np.int64) if there else np.zeros((0, trees), np.int64)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 offsets = np.concatenate([[0], np.cumsum((sizes > 0) * trees)]).astype(np.int32)
                 digests = [hashlib.md5(s.tobytes()).digest() for s in sets]
-                arrays = [part.column(0), part.column(1), pa.array(sizes), pa.array(digests, pa.binary()),
+                arrays = [part.column(0), part.column(1), part.column(2), pa.array(sizes), pa.array(digests, pa.binary()),
                           pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefixes.ravel()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "grams", "digest", "buckets"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "of_text", "grams", "digest", "buckets"])
 
-    return picked.mapInArrow(run, f"row long, key {kind}, grams long, digest binary, buckets array<long>")
+    return picked.mapInArrow(run, f"row long, key {kind}, of_text binary, grams long, digest binary, buckets array<long>")
 
 
 def _with_sets(texts: DataFrame, words: int) -> DataFrame:
@@ -135,8 +137,6 @@ def _with_sets(texts: DataFrame, words: int) -> DataFrame:
                 rows = batch.slice(at, 100).to_pylist()
                 out = []
                 for row, own in zip(rows, gram_sets([row["text"] for row in rows], known, words)):
-                    if hashlib.md5(own.tobytes()).digest() != row["digest"]:
-                        continue  # another text with the same key
                     packed = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
                     order = np.array([b["bucket"] for b in row["in_buckets"]], np.int64)
                     for bucket in row["in_buckets"]:
@@ -275,9 +275,10 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     buckets = staged(buckets.select("bucket", blocks.alias("blocks")), "buckets")
     inside = places.select("node", "bucket").join(buckets, "bucket").groupBy("node").agg(
         F.sort_array(F.collect_list(F.struct("bucket", "blocks"))).alias("in_buckets"))
-    wanted = inside.join(rows.select(F.col("row").alias("node"), "key"), "node").join(texts, "node")
-    whole = docs.select(F.col(key).alias("_key"), whole_text(F.col(text)).alias("text"))
-    wanted = wanted.join(whole, F.col("key").eqNullSafe(F.col("_key"))).select("node", "weight", "digest", "in_buckets", "text")
+    wanted = inside.join(rows.select(F.col("row").alias("node"), "key", "of_text"), "node").join(texts, "node")
+    # by key and text, so that rows which share a key, or have none, don't meet each other
+    whole = docs.select(F.col(key).alias("_key"), whole_text(F.col(text)).alias("text")).withColumn("_of_text", F.unhex(F.md5("text")))
+    wanted = wanted.join(whole, F.col("key").eqNullSafe(F.col("_key")) & (F.col("of_text") == F.col("_of_text"))).select("node", "weight", "in_buckets", "text")
     member = _with_sets(wanted, words).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
     member = member.select("*", other).withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
