@@ -55,6 +55,20 @@ def test_threshold_runs(spark, seeds, tmp_path):
         "run_name=threshold_350", "run_name=threshold_400"]
 
 
+def test_a_table_of_thresholds(spark):
+    spend = [None, float("nan"), 0.0, 1.0, 2.0, 2.0, 3.5, 900.0]
+    scoring = spark.createDataFrame([(i, s) for i, s in enumerate(spend)], "customer_id long, total_spend double")
+    marks = [*(i / 4 for i in range(-4, 1000)), 2.0, 2.0, None, float("nan"), 1e9]
+    runs = spark.createDataFrame([(f"r{i}", t) for i, t in enumerate(marks)], "run_name string, threshold double")
+    got = {r.run_name: (r.hits, r.customers) for r in ex.sweep_table(scoring, runs).collect()}
+    known = [0 if s is None or s != s else s for s in spend]
+    assert got == {f"r{i}": (0 if t is None or t != t else sum(s > t for s in known), 8) for i, t in enumerate(marks)}
+    plain = ex.threshold_sweep(scoring.selectExpr("*", "0L as pending_orders", "0L as cancelled_orders"), {"a": 1.5, "b": 2.0})
+    assert {r.run_name: r.metrics["high_value_customer_count"] for r in plain.collect()} == {"a": 4.0, "b": 2.0}
+    assert {r.hits for r in ex.sweep_table(scoring.limit(0), runs).collect()} == {0}
+    assert ex.sweep_table(scoring, runs.limit(0)).collect() == []
+
+
 def test_notes(seeds):
     notes = {r.customer_id: r for r in text.alert_notes(build_targets(*seeds)).collect()}
     assert notes[3].alert_note == (

@@ -169,6 +169,22 @@ def threshold_sweep(spark, sf_dir):
     )
 
 
+@query(
+    "threshold_sweep_table",
+    f"""WITH stg_customers AS ({tt.CUSTOMERS_SQL}), stg_orders AS ({tt.ORDERS_SQL}), signals AS ({tt.SIGNALS_SQL}),
+        s AS (SELECT coalesce(total_spend, 0) AS spend FROM stg_customers LEFT JOIN signals USING (customer_id)),
+        runs AS (SELECT 'nation_' || c_nationkey || '_' || c_mktsegment AS run_name, max(c_acctbal) * 500 AS threshold FROM customer GROUP BY ALL)
+        SELECT run_name, threshold, count(*) FILTER (WHERE spend > threshold) AS hits, count(*) AS customers
+        FROM runs, s GROUP BY run_name, threshold""",
+)
+def threshold_sweep_table(spark, sf_dir):
+    """Thresholds from a table: one per nation and segment, by the largest balance there."""
+    runs = tt.table(spark, sf_dir, "customer").groupBy("c_nationkey", "c_mktsegment").agg(F.max("c_acctbal").alias("most"))
+    runs = runs.select(F.concat(F.lit("nation_"), F.col("c_nationkey"), F.lit("_"), F.col("c_mktsegment")).alias("run_name"),
+                       (F.col("most") * 500).alias("threshold"))
+    return experiments.sweep_table(scoring(spark, sf_dir), runs)
+
+
 @query(
     "scored_by_run",
     SCORED_SQL
