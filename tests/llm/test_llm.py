@@ -494,3 +494,11 @@ def test_the_smallest_key_stays_in_tables_with_null_and_repeated_keys(spark, par
         near = ngram_join.drop_near_duplicates(kept)
         assert sorted((r["doc_id"] for r in near.collect()), key=repr) == [2, 3, 9, 9, None]
         assert substring_dedup.cut_passages(near).count() == 5
+
+
+def test_different_vectors_may_share_a_key(spark):
+    rows = [(1, [1.0, 0.0, 0.0, 0.0]), (1, [0.999, 0.04, 0.0, 0.0]), (2, [0.0, 1.0, 0.0, 0.0]), (2, [0.0, 0.0, 1.0, 0.0]),
+            (0, [0.0, 0.0, 0.999, 0.03]), (None, [1.0, 0.0, 0.0, 0.0])]
+    got = vector_dedup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(
+        [(1, 1, 1, True), (1, 1, 1, True), (2, 0, 2, True), (2, 1, 0, False), (0, 1, 0, True), (None, 0, None, True)], key=repr)

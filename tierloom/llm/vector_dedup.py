@@ -188,7 +188,8 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, key: str = "vec_id",
     key that links reach, and whether that is its own.
 
     Vectors that are null, zero or empty or hold null or non-finite components link with nothing, and so do rows without a key;
-    vectors link only with those of their own width. Repeated rows link with each other. ``spread=None`` probes every list that
+    vectors link only with those of their own width. Repeated rows link with each other, and so do different vectors that share a
+    key; all rows of a component's smallest key are kept. An empty table gives no rows. ``spread=None`` probes every list that
     can hold a neighbour. Further columns are not read.
     """
     picked = rows.select(F.col(key).alias("key"), F.col(vector).alias("vector"))
@@ -196,8 +197,10 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, key: str = "vec_id",
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf")).cast(element)))
     good = F.coalesce((F.size("vector") > 0) & finite & F.exists("vector", lambda x: x != 0) & F.col("key").isNotNull(), F.lit(False))
     picked = picked.withColumn("good", good)
-    classes = picked.where("good").groupBy("vector").agg(F.min("key").cast("long").alias("node"), F.count("*").alias("weight"))
-    classes = staged(classes.withColumn("width", F.size("vector")), "vector-classes")
+    # A class has a number of its own, as different vectors may share a key.
+    classes = picked.where("good").groupBy("vector").agg(F.min("key").cast("long").alias("least"), F.count("*").alias("weight"))
+    classes = classes.withColumns({"width": F.size("vector"), "node": F.monotonically_increasing_id()})
+    classes = staged(classes, "vector-classes")
     found = None
     for width, count in sorted(tuple(r) for r in classes.groupBy("width").count().collect()):  # as many rows as widths
         of_width = classes.where(F.col("width") == width)
@@ -210,10 +213,13 @@ def near_vectors(rows: DataFrame, threshold: float = 0.95, key: str = "vec_id",
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     roots = roots.groupBy("node").agg(F.min("root").alias("root"))
     of_class = classes.join(links, "node", "left").join(roots, "node", "left")
-    of_class = staged(of_class.select(F.col("vector").alias("_vector"), "node", "weight", "links", "root"), "vector-results")
+    of_class = staged(of_class.select(F.col("vector").alias("_vector"), "least", "weight", "links", F.coalesce("root", "node").alias("root")),
+                      "vector-results")
+    smallest = staged(of_class.groupBy("root").agg(F.min("least").alias("component")), "components")
+    of_class = of_class.join(smallest, "root")
     out = picked.withColumn("_join", F.when(F.col("good"), F.col("vector")))
     out = out.join(of_class, F.col("_join") == F.col("_vector"), "left")
-    component = F.coalesce(F.least("root", "node"), F.col("key").cast("long"))
+    component = F.coalesce("component", F.col("key").cast("long"))
     return out.select(
         F.col("key").alias(key),
         F.coalesce(F.col("weight") - 1 + F.coalesce("links", F.lit(0)), F.lit(0)).cast("long").alias("n_links"),
