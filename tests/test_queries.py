@@ -7,7 +7,7 @@ from compare import connect, difference, duck_rows, spark_rows
 from tierloom.plans.registry import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
-ROWS_ONLY = {"chunk_recursive", "chunk_search", "retrieve_lsh"}
+ROWS_ONLY = {"retrieve_lsh"}
 
 
 @pytest.fixture(scope="module")

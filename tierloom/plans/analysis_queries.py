@@ -233,7 +233,49 @@ def alert_notes(spark, sf_dir):
     return notes(spark, sf_dir).select("note_id", "customer_id", "region", "target_tier", "alert_note")
 
 
-@query("chunk_recursive")
+def level_sql(level: int, separator: str, size: int, overlap: int) -> str:
+    """The pieces of texts that reach a level of the splitter, and their chunks.
+
+    ``p0`` and ``p1`` are where a piece begins and ends in its text. Pieces of a full chunk's size go to the next level. Runs of
+    shorter ones are packed: ``n`` gives for every first piece where its chunk ends and with which piece the next one begins, and
+    ``r`` follows that from the first piece of a run on.
+    """
+    sep = "''" if not separator else " || ".join(f"'{c}'" if c.isprintable() else f"chr({ord(c)})" for c in separator)
+    split = f"string_split(text, {sep})"
+    pieces = split if not separator else f"list_prepend({split}[1], list_transform({split}[2:], lambda x: {sep} || x))"
+    here = "true" if not separator else f"contains(text, {sep})"
+    return f"""
+    p{level} AS (SELECT doc_id, path, text, unnest(range(len(ps))) AS j, unnest(ps) AS piece
+           FROM (SELECT *, {pieces} AS ps FROM in{level} WHERE {here})),
+    o{level} AS MATERIALIZED (SELECT *, p1 - length(piece) AS p0, length(piece) >= {size} AS long,
+           count(*) FILTER (WHERE length(piece) >= {size}) OVER (PARTITION BY doc_id, path ORDER BY j) AS run_no FROM (
+           SELECT doc_id, path, j, piece, sum(length(piece)) OVER (PARTITION BY doc_id, path ORDER BY j) AS p1
+           FROM p{level} WHERE piece <> '')),
+    in{level + 1} AS MATERIALIZED (SELECT doc_id, path, text FROM in{level} WHERE NOT {here}
+           UNION ALL SELECT doc_id, list_append(path, j), piece FROM o{level} WHERE long),
+    q{level} AS MATERIALIZED (SELECT *, min(g) OVER w AS run, max(p1) OVER w AS run_end FROM (
+           SELECT doc_id, path, j, p0, p1, run_no, row_number() OVER (ORDER BY doc_id, path, j) AS g FROM o{level} WHERE NOT long)
+           WINDOW w AS (PARTITION BY doc_id, path, run_no)),
+    full{level} AS (SELECT a.run, a.g, b.p0 AS until, greatest(b.p0 - {overlap}, b.p1 - {size}) AS since
+           FROM q{level} a ASOF JOIN q{level} b ON a.run = b.run AND a.p0 + {size} < b.p1),
+    n{level} AS MATERIALIZED (SELECT f.g, until, c.g AS next FROM full{level} f ASOF JOIN q{level} c ON f.run = c.run AND since <= c.p0),
+    r{level} AS (SELECT DISTINCT run AS g FROM q{level} UNION ALL SELECT next FROM r{level} JOIN n{level} USING (g)),
+    out{level} AS (SELECT doc_id, list_append(path, j) AS place, substring(text, p0::BIGINT + 1, (coalesce(until, run_end) - p0)::BIGINT) AS chunk
+           FROM r{level} JOIN q{level} USING (g) LEFT JOIN n{level} USING (g) JOIN in{level} USING (doc_id, path))"""
+
+
+RECURSIVE_SQL = f"""
+    WITH RECURSIVE in0 AS (SELECT doc_id, []::BIGINT[] AS path, text FROM documents WHERE text <> ''),
+    {",".join(level_sql(i, sep, text.CHUNK_SIZE, text.CHUNK_OVERLAP) for i, sep in enumerate(text.SEPARATORS))},
+    found AS (SELECT doc_id, place, regexp_replace(chunk, '^\\s+|\\s+$', '', 'g') AS chunk_text FROM (
+              {" UNION ALL ".join(f"SELECT * FROM out{i}" for i in range(len(text.SEPARATORS)))})),
+    numbered AS (SELECT doc_id, chunk_text, row_number() OVER (PARTITION BY doc_id ORDER BY place) - 1 AS chunk_index,
+                        count(*) OVER (PARTITION BY doc_id) AS total_chunks FROM found WHERE chunk_text <> '')
+    SELECT doc_id || '#' || chunk_index AS chunk_id, doc_id, chunk_index::INTEGER AS chunk_index, total_chunks::INTEGER AS total_chunks,
+           (chunk_index + 1) || '/' || total_chunks AS chunk_label, chunk_text FROM numbered"""
+
+
+@query("chunk_recursive", RECURSIVE_SQL)
 def chunk_recursive(spark, sf_dir):
     return text.chunk_recursive(tt.table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -443,7 +485,11 @@ def chunk_hits(spark, chunks, id_col="chunk_id", payload=("source", "chunk_label
     )
 
 
-@query("chunk_search")
+@query(
+    "chunk_search",
+    search_sql(f"SELECT c.*, source FROM ({RECURSIVE_SQL}) c JOIN documents USING (doc_id)", "chunk_id", "chunk_text", CHUNK_QUESTIONS,
+               "source, chunk_label, chunk_text", f"distance <= {vectors.MAX_DISTANCE}"),
+)
 def chunk_search(spark, sf_dir):
     """Documents split, embedded and stored; questions find the chunks that share most words with them."""
     return chunk_hits(spark, text.chunk_recursive(tt.table(spark, sf_dir, "documents"), "doc_id", "text", keep=["source"]))
