@@ -46,6 +46,8 @@ def test_filter_payload_and_few_rows(spark, points, asked):
     where = F.col("part") == 2
     assert rows(clusters.retrieve_clusters(asked, index, 4, where=where, payload=["part"])) == rows(
         vectors.retrieve(asked, points, 4, where=where, payload=["part"]))
+    narrow = asked.withColumn("query_id", F.col("query_id").cast("int"))
+    assert rows(clusters.retrieve_clusters(narrow, index, 2)) == rows(vectors.retrieve(narrow, points, 2))
     few = points.where("vec_id < 3")
     assert rows(clusters.retrieve_clusters(asked, clusters.build_clusters(few), 5)) == rows(vectors.retrieve(asked, few, 5))
     none = clusters.build_clusters(points.where("vec_id < 0"))

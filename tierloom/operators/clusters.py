@@ -144,7 +144,9 @@ def retrieve_clusters(
 ) -> DataFrame:
     """As ``vectors.retrieve``, with the same rows, over an index."""
     spark = index.rows.sparkSession
-    asked = queries.select(query_id, F.col(query_vector).cast("array<double>").alias("__q"))
+    whole = dict(queries.dtypes)[query_id] in ("tinyint", "smallint", "int")
+    name = (F.col(query_id).cast("bigint") if whole else F.col(query_id)).alias(query_id)
+    asked = queries.select(name, F.col(query_vector).cast("array<double>").alias("__q"))
     asked.write.parquet(path := shared_folder(spark, "questions"))  # so that they are made once
     asked = spark.read.schema(asked.schema).parquet(path)
     blocks = max(1, -(-asked.count() // block))

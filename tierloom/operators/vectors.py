@@ -136,7 +136,11 @@ def retrieve(
         F.col(query_vector).cast("array<double>").alias("__q"),
     )
     first = asked.limit(block + 1).collect()
-    blocks = 1 if len(first) <= block else -(-asked.count() // block)
+    blocks = 1
+    if len(first) > block:  # written once, as their vectors would be made again for each block
+        asked.write.parquet(written := shared_folder(queries.sparkSession, "questions"))
+        asked = queries.sparkSession.read.schema(asked.schema).parquet(written)
+        blocks = -(-asked.count() // block)
     search = (asked.schema[query_id], searched, top_k, id_col, vector_col)
     if blocks == 1:
         nearest = _nearest(first, *search)
