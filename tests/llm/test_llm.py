@@ -116,6 +116,49 @@ def test_forest_depths_meet_the_recall():
         ngram_join.forest_depths(0.1, 1, 7, 0.999)
 
 
+def test_descent_shortens_prefixes_until_the_last_ones():
+    last = ngram_join.forest_depths(0.8, 20, 7, 0.998)
+    rounds = ngram_join.descent(last, 7)
+    assert rounds[0] == [7] * 20 and rounds[-1] == last
+    assert all(0 <= a - b <= 1 for before, after in zip(rounds, rounds[1:]) for a, b in zip(before, after))
+    label = (3 << 56) | 0x11223344556677
+    assert label & ngram_join.prefix_masks([5], 7)[0] == (3 << 56) | 0x11223344550000
+    assert label & ngram_join.prefix_masks([7], 7)[0] == label
+
+
+def test_descent_ends_when_the_least_similar_link_is_met_surely(spark, monkeypatch):
+    """Near copies that differ in few n-grams need the longest prefixes only; a link near the threshold makes it go on."""
+    rounds = []
+    real = ngram_join._met_in_round
+    monkeypatch.setattr(ngram_join, "_met_in_round", lambda *given: rounds.append(given) or real(*given))
+    base = [f"w{i}" for i in range(400)]
+    close = [(i, " ".join([*base, f"x{i}"])) for i in range(5)]
+    got = ngram_join.near_duplicates(spark.createDataFrame(close, "doc_id long, text string"))
+    assert {(r["class_id"], r["n_links"]) for r in got.collect()} == {(0, 4)} and len(rounds) == 1
+    rounds.clear()
+    far = [*close, (9, " ".join(base[:322]))]  # 318 of 397 n-grams are shared: 0.801
+    got = ngram_join.near_duplicates(spark.createDataFrame(far, "doc_id long, text string"))
+    assert {(r["class_id"], r["n_links"]) for r in got.collect()} == {(0, 5)} and len(rounds) == 3
+
+
+def test_pairs_that_met_under_longer_prefixes_are_not_intersected_again():
+    def member(node, labels, grams):
+        return {"node": node, "weight": 1, "labels": np.array(labels, np.int64).tobytes(),
+                "set": np.array(grams, np.uint64).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()}
+
+    both = ngram_join.prefix_masks([1, 1], 2), ngram_join.prefix_masks([2, 2], 2)
+    tree = 1 << 56
+    rows = [member(1, [0x0101, tree | 0x0101], range(10)), member(2, [0x0202, tree | 0x0101], range(10)),
+            member(3, [0x0303, tree | 0x0102], range(9)), member(4, [0x0204, tree | 0x0103], range(10))]
+    texts = ngram_join.Members(rows)
+    links, least = ngram_join.links_between(texts, texts, tree | 0x0100, *both, 0.8)
+    # 1 and 2 met in the round before, 2 and 4 in this round's first tree
+    assert sorted(map(tuple, np.argwhere(links))) == [(0, 2), (0, 3), (1, 2), (2, 0), (2, 1), (2, 3), (3, 0), (3, 2)]
+    assert least == 0.9
+    assert ngram_join.newly_shared(texts, texts, 1, both[1])[0, 1] == 0
+    assert ngram_join.newly_shared(texts, texts, 1, None)[0, 1] == 10
+
+
 def test_toxicity_tolerates_gaps():
     clean = ["loose", "moon", "stupor", "ideal", "clover", "house", "garden", "diode", "idiom", "weather", "morning", "downtown"] * 3
     machine = toxicity.fit(["idiot", "moron", "clown", "stupid"], clean, cost=100)

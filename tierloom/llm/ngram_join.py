@@ -1,14 +1,19 @@
-"""Near-duplicate texts: the Jaccard join of their word n-grams by MinHash banding.
+"""Near-duplicate texts: the Jaccard join of their word n-grams by a MinHash LSH forest.
 
 A tree's label of a text is a sequence of short minimum hashes, packed into one integer from the top down, so that texts which share
-the first d hashes share the first d bytes. Two texts of similarity s share a prefix of length d in a tree with probability
-s^d. The length for each tree is set before any row is read: as long as a pair at the threshold is still met in some tree with the
-target probability; more similar pairs are met more often. Texts under one prefix form a bucket; buckets of different trees with the
-same members are kept once.
-
-Texts with the same n-grams are one class, compared once. In a bucket the n-grams of its texts decide exactly. A pair that shares
-several buckets is compared in its first one only. Crowded buckets are cut into blocks, and each pair of blocks is a task of its own.
-Pairs are never emitted: a task gives each text its number of links and edges to the smallest text its links reach.
+the first d hashes share the first d bytes. Sorted labels are the tree's prefix trie: texts under one prefix lie side by side and form
+a bucket. Two texts of similarity s share a prefix of length d in a tree with probability s^d.
+
+The descent starts at the longest prefixes. Each round compares the texts of the buckets that it has and the rounds before had not,
+and exact verification gives their links. Then prefixes are shortened by one hash in all trees and the next round follows, until
+the least similar link met so far is one that these prefixes meet with the target probability. At the latest it ends with the prefixes
+that meet a pair at the threshold with that probability; some trees keep longer ones there. Labels that share even those with no
+other text are left out of the tries from the start.
+
+Texts with the same n-grams are one class, compared once. In a bucket the n-grams of its texts decide exactly. A pair is compared in
+the first bucket that it shares: in its first round, and there in its first tree; texts that met under a longer prefix are not
+intersected again. Crowded buckets are cut into blocks, and each pair of blocks is a task of its own. Pairs are never emitted: a task
+gives each text its number of links and edges to the smallest text its links reach.
 """
 
 from __future__ import annotations
@@ -39,10 +44,15 @@ BLOCK_TEXTS, BLOCK_GRAMS, STRIP, GRAMS_AT_ONCE = 2048, 500_000, 64, 1024
 MOST_WORDS = 200_000
 
 
+def chance(similarity: float, depths: list[int]) -> float:
+    """Probability that two texts share the prefix of some tree."""
+    return 1 - float(np.prod([1 - similarity**d for d in depths]))
+
+
 def forest_depths(threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, recall: float = RECALL) -> list[int]:
-    """Prefix length of each tree: the longest that meet the recall at ``threshold``, within one of each other."""
+    """Shortest prefixes of the descent: the longest that meet the recall at ``threshold``, within one of each other."""
     depths, turn = [depth] * trees, 0
-    while 1 - np.prod([1 - threshold**d for d in depths]) < recall:
+    while chance(threshold, depths) < recall:
         if depths[turn] == 1:
             raise ValueError("too few trees for this recall")
         depths[turn] -= 1
@@ -50,6 +60,16 @@ def forest_depths(threshold: float = THRESHOLD, trees: int = TREES, depth: int =
     return depths
 
 
+def descent(last: list[int], depth: int) -> list[list[int]]:
+    """Prefix lengths of each round: all of them ``depth``, then one less each time, but no shorter than the ``last`` ones."""
+    return [[max(d, own) for own in last] for d in range(depth, min(last) - 1, -1)]
+
+
+def prefix_masks(depths: list[int], depth: int) -> list[int]:
+    """What keeps a label's tree, in its top byte, and the first hashes of it."""
+    return [(1 << 63) - (1 << 8 * (depth - d)) for d in depths]
+
+
 class WordHashes(dict):
     """Hash of a word in lower case without anything but letters and digits; 0 if nothing is left."""
 
@@ -100,13 +120,12 @@ def labels(sets: list[np.ndarray], trees: int, depth: int) -> np.ndarray:
     return out
 
 
-def _labelled(docs: DataFrame, key: str, text: str, words: int, depths: list[int], depth: int) -> DataFrame:
-    """``row, key, of_text, grams, digest, buckets``: digests of each text and of its n-grams, and its prefix in every tree."""
+def _labelled(docs: DataFrame, key: str, text: str, words: int, trees: int, depth: int) -> DataFrame:
+    """``row, key, of_text, grams, digest, labels``: digests of each text and of its n-grams, and its label in every tree."""
     whole = whole_text(F.col(text))
     picked = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.unhex(F.md5(whole)).alias("of_text"),
                          whole.alias("text"))
-    kind, trees = picked.schema["key"].dataType.simpleString(), len(depths)
-    shifts = np.array([8 * (depth - d) for d in depths], np.uint64)
+    kind = picked.schema["key"].dataType.simpleString()
     tops = np.arange(trees, dtype=np.uint64) << np.uint64(56)
 
     def run(batches):
@@ -116,46 +135,41 @@ def _labelled(docs: DataFrame, key: str, text: str, words: int, depths: list[int
                 part = batch.slice(at, 300)
                 sets = gram_sets(part.column(3).to_pylist(), known, words)
                 there = [s for s in sets if len(s)]
-                prefixes = ((labels(there, trees, depth) >> shifts) | tops).astype(np.int64) if there else np.zeros((0, trees), np.int64)
+                own = (labels(there, trees, depth) | tops).astype(np.int64) if there else np.zeros((0, trees), np.int64)
                 sizes = np.array([len(s) for s in sets], np.int64)
                 offsets = np.concatenate([[0], np.cumsum((sizes > 0) * trees)]).astype(np.int32)
                 digests = [hashlib.md5(s.tobytes()).digest() for s in sets]
                 arrays = [part.column(0), part.column(1), part.column(2), pa.array(sizes), pa.array(digests, pa.binary()),
-                          pa.ListArray.from_arrays(pa.array(offsets), pa.array(prefixes.ravel()))]
-                yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "of_text", "grams", "digest", "buckets"])
+                          pa.ListArray.from_arrays(pa.array(offsets), pa.array(own.ravel()))]
+                yield pa.RecordBatch.from_arrays(arrays, names=["row", "key", "of_text", "grams", "digest", "labels"])
 
-    return picked.mapInArrow(run, f"row long, key {kind}, of_text binary, grams long, digest binary, buckets array<long>")
+    return picked.mapInArrow(run, f"row long, key {kind}, of_text binary, grams long, digest binary, labels array<long>")
 
 
 def _with_sets(texts: DataFrame, words: int) -> DataFrame:
-    """A row for each text and bucket it is compared in: ``bucket, blocks, node, weight, buckets, set``."""
+    """``node, weight, labels, set`` from ``node, weight, labels, text``: labels and n-grams as bytes."""
 
     def run(batches):
         known = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 100):
-                rows = batch.slice(at, 100).to_pylist()
-                out = []
-                for row, own in zip(rows, gram_sets([row["text"] for row in rows], known, words)):
-                    packed = np.ascontiguousarray(own.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-                    order = np.array([b["bucket"] for b in row["in_buckets"]], np.int64)
-                    for bucket in row["in_buckets"]:
-                        out.append((bucket["bucket"], bucket["blocks"], row["node"], row["weight"], order.tobytes(), packed))
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                part = batch.slice(at, 100)
+                own = [np.array(row, np.int64).tobytes() for row in part.column(2).to_pylist()]
+                packed = [np.ascontiguousarray(s.view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
+                          for s in gram_sets(part.column(3).to_pylist(), known, words)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(own, pa.binary()), pa.array(packed, pa.binary())],
+                                                 names=["node", "weight", "labels", "set"])
 
-    names = ["bucket", "blocks", "node", "weight", "buckets", "set"]
-    types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary()]
-    return texts.mapInArrow(run, "bucket long, blocks int, node long, weight long, buckets binary, set binary")
+    return texts.mapInArrow(run, "node long, weight long, labels binary, set binary")
 
 
 class Members:
-    """Texts of one block: nodes, weights, places of their buckets, and sets."""
+    """Texts of one block: nodes, weights, labels, and sets."""
 
     def __init__(self, rows: list[dict]):
         self.nodes = np.array([row["node"] for row in rows], np.int64)
         self.weights = np.array([row["weight"] for row in rows], np.int64)
-        self.buckets = [np.frombuffer(row["buckets"], np.int64) for row in rows]
+        self.labels = np.array([np.frombuffer(row["labels"], np.int64) for row in rows])
         self.sets = []
         for row in rows:
             wide = np.zeros((len(row["set"]) // 6, 8), np.uint8)
@@ -163,14 +177,10 @@ class Members:
             self.sets.append(wide.view(np.uint64).ravel())
         self.sizes = np.array([len(s) for s in self.sets], np.int64)
 
-    def first(self, bucket: int, trees: int) -> np.ndarray:
-        """Buckets in trees before this bucket's tree, 0 where there is none."""
-        tree = bucket >> 56
-        out = np.zeros((len(self.nodes), trees), np.int64)
-        for i, own in enumerate(self.buckets):
-            own = own[(own >> 56) < tree]
-            out[i, own >> 56] = own + 1
-        return out[:, :tree]
+    def places(self, tree: int, masks: list[int], before: list[int] | None) -> np.ndarray:
+        """Prefixes under which a text met others before this tree: longer ones in all trees, and this round's in earlier trees."""
+        now = self.labels[:, :tree] & np.array(masks[:tree], np.int64)
+        return now if before is None else np.hstack([now, self.labels & np.array(before, np.int64)])
 
 
 def shared_grams(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -199,23 +209,41 @@ def shared_grams(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def links_between(left: Members, right: Members, bucket: int, trees: int, threshold: float) -> np.ndarray:
-    """Which pairs are at least as similar as the threshold and have this bucket as the first that they share."""
-    shared = shared_grams(left.sets, right.sets)
+def newly_shared(left: Members, right: Members, tree: int, before: list[int] | None) -> np.ndarray:
+    """As :func:`shared_grams`, but for the largest part that met under one longer prefix of the tree, whose pairs are left 0."""
+    if before is None:
+        return shared_grams(left.sets, right.sets)
+    a, b = left.labels[:, tree] & before[tree], right.labels[:, tree] & before[tree]
+    prefixes, sizes = np.unique(np.concatenate([a, b]), return_counts=True)
+    met = prefixes[np.argmax(sizes)]
+    out = np.zeros((len(a), len(b)), np.float32)
+    for rows, columns in ((a != met, np.ones(len(b), bool)), (a == met, b != met)):
+        if rows.any() and columns.any():
+            out[np.ix_(rows, columns)] = shared_grams([left.sets[i] for i in np.flatnonzero(rows)],
+                                                      [right.sets[i] for i in np.flatnonzero(columns)])
+    return out
+
+
+def links_between(left: Members, right: Members, bucket: int, masks: list[int], before: list[int] | None,
+                  threshold: float) -> tuple[np.ndarray, float]:
+    """Which pairs are at least as similar as the threshold and meet here first, and the least similarity of these."""
+    tree, least = bucket >> 56, 1.0
+    shared = newly_shared(left, right, tree, before)
     links = np.zeros(shared.shape, bool)
-    before, after = left.first(bucket, trees), right.first(bucket, trees)
+    mine, yours = left.places(tree, masks, before), right.places(tree, masks, before)
     for at in range(0, len(links), STRIP):
         strip = slice(at, at + STRIP)
-        near = shared[strip] >= threshold * (left.sizes[strip, None] + right.sizes - shared[strip].astype(float)) - 1e-9
-        near &= left.nodes[strip, None] != right.nodes
+        either = left.sizes[strip, None] + right.sizes - shared[strip].astype(float)
+        near = (shared[strip] >= threshold * either - 1e-9) & (left.nodes[strip, None] != right.nodes)
         if near.any():
-            met = (before[strip, None, :] == after[None]) & (before[strip, None, :] > 0)
-            links[strip] = near & ~met.any(2)
-    return links
+            near &= ~(mine[strip, None, :] == yours[None]).any(2)
+            links[strip] = near
+            least = min(least, float((shared[strip][near] / either[near]).min(initial=1.0)))
+    return links, least
 
 
-def _compared(rows: DataFrame, trees: int, threshold: float) -> DataFrame:
-    """``node, links, root`` from rows sorted by bucket, pair of blocks, block and node."""
+def _compared(rows: DataFrame, masks: list[int], before: list[int] | None, threshold: float) -> DataFrame:
+    """``node, links, root, least`` from rows sorted by bucket, pair of blocks, block and node."""
 
     def run(batches):
         place, rows = None, []
@@ -237,7 +265,7 @@ def _compared(rows: DataFrame, trees: int, threshold: float) -> DataFrame:
         second = first if left == right else Members([row for row in rows if row["block"] == right])
         if not len(first.nodes) or not len(second.nodes):
             return
-        links = links_between(first, second, bucket, trees, threshold)
+        links, least = links_between(first, second, bucket, masks, before, threshold)
         roots, other = linked_labels(links, first.nodes, second.nodes)
         out = [(first.nodes, links @ second.weights, roots)]
         if second is not first:
@@ -245,9 +273,35 @@ def _compared(rows: DataFrame, trees: int, threshold: float) -> DataFrame:
         for nodes, found, root in out:
             has = found > 0
             if has.any():
-                yield pa.RecordBatch.from_arrays([pa.array(x[has]) for x in (nodes, found, root)], names=["node", "links", "root"])
+                columns = [pa.array(x[has]) for x in (nodes, found, root, np.full(len(nodes), least))]
+                yield pa.RecordBatch.from_arrays(columns, names=["node", "links", "root", "least"])
 
-    return rows.mapInArrow(run, "node long, links long, root long")
+    return rows.mapInArrow(run, "node long, links long, root long, least double")
+
+
+def _met_in_round(leaves: DataFrame, sets: DataFrame, seen: list[DataFrame], masks: list[int], before: list[int] | None,
+                  threshold: float) -> DataFrame:
+    """Links of the texts under the prefixes of one round; the buckets compared go to ``seen``."""
+    tree = F.shiftright("label", 56).cast("int")
+    if before is not None:
+        leaves = leaves.where(tree.isin([i for i, (a, b) in enumerate(zip(masks, before)) if a != b]))
+    prefix = F.element_at(F.array(*[F.lit(mask) for mask in masks]), tree + 1)
+    places = leaves.select("node", "grams", F.col("label").bitwiseAND(prefix).alias("bucket"))
+    hashed = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
+    buckets = places.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("grams").alias("grams"), *hashed).where("size > 1")
+    # Buckets with the same members are kept once, in the first round and tree.
+    buckets = buckets.groupBy("size", "h1", "h2").agg(F.min("bucket").alias("bucket"), F.max("grams").alias("grams"))
+    for earlier in seen:
+        buckets = buckets.join(earlier, ["size", "h1", "h2"], "left_anti")
+    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_TEXTS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
+    seen.append(staged(buckets.select("size", "h1", "h2", "bucket", blocks.alias("blocks")), "buckets"))
+    member = places.select("node", "bucket").join(seen[-1].select("bucket", "blocks"), "bucket").join(sets, "node")
+    member = member.withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    member = member.select("*", other).withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
+    member = member.repartition(shuffle_partitions(leaves.sparkSession), "bucket", "left", "right")
+    member = member.sortWithinPartitions("bucket", "left", "right", "node")
+    return staged(_compared(member, masks, before, threshold), "links")
 
 
 def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = WORDS, threshold: float = THRESHOLD,
@@ -258,33 +312,38 @@ def near_duplicates(docs: DataFrame, key: str = "doc_id", text: str = "text", wo
     that are at least as similar as ``threshold``, ``copy_id`` is the smallest key among rows with the same n-grams, ``class_id`` the
     smallest key that links reach; ``kept`` is true for one row of each class, the first of those with that key. Texts with
     fewer than ``words`` words are one n-gram; texts without words, null ones included, link with nothing and are their
-    own class. ``row`` numbers the rows, so repeated rows and null keys are rows of their own; null keys come last. Further
+    own class, and an empty table gives no rows. Long texts are read whole. ``row`` numbers the rows, so repeated rows and null keys are rows of their own; null keys come last. Further
     columns are not read.
     """
-    spark, depths = docs.sparkSession, forest_depths(threshold, trees, depth, recall)
-    rows = staged(_labelled(docs, key, text, words, depths, depth), "labelled-texts")
+    spark, last = docs.sparkSession, forest_depths(threshold, trees, depth, recall)
+    rows = staged(_labelled(docs, key, text, words, trees, depth), "labelled-texts")
     texts = rows.where("grams > 0").groupBy("digest", "grams").agg(F.min("row").alias("node"), F.count("*").alias("weight"))
     texts = staged(texts, "texts")
-    own = rows.select(F.col("row").alias("node"), "key", "buckets").join(texts.select("node", "grams"), "node")
-    places = own.select("node", "grams", F.explode("buckets").alias("bucket"))
-    hashed = [F.bit_xor(F.xxhash64("node", F.lit(seed))).alias(f"h{seed}") for seed in (1, 2)]
-    buckets = places.groupBy("bucket").agg(F.count("*").alias("size"), F.sum("grams").alias("grams"), *hashed).where("size > 1")
-    # Buckets with the same members are kept once, in the first tree.
-    buckets = buckets.groupBy("size", "h1", "h2").agg(F.min("bucket").alias("bucket"), F.max("grams").alias("grams"))
-    blocks = F.greatest(F.ceil(F.col("size") / BLOCK_TEXTS), F.ceil(F.col("grams") / BLOCK_GRAMS)).cast("int")
-    buckets = staged(buckets.select("bucket", blocks.alias("blocks")), "buckets")
-    inside = places.select("node", "bucket").join(buckets, "bucket").groupBy("node").agg(
-        F.sort_array(F.collect_list(F.struct("bucket", "blocks"))).alias("in_buckets"))
-    wanted = inside.join(rows.select(F.col("row").alias("node"), "key", "of_text"), "node").join(texts, "node")
+    own = rows.select(F.col("row").alias("node"), "key", "of_text", "labels").join(texts.select("node", "grams", "weight"), "node")
+
+    # The tries: labels that share their shortest prefix with another text, in their order, so that rows of one bucket lie together.
+    stems = prefix_masks(last, depth)
+    leaves = own.select("node", "grams", F.posexplode("labels").alias("tree", "label"))
+    leaves = leaves.withColumn("stem", F.col("label").bitwiseAND(F.element_at(F.array(*[F.lit(mask) for mask in stems]), F.col("tree") + 1)))
+    crowded = leaves.groupBy("stem").agg(F.count("*").alias("size")).where("size > 1").select("stem")
+    leaves = leaves.join(crowded, "stem").select("node", "grams", "label")
+    leaves = leaves.repartitionByRange(shuffle_partitions(spark), "label", "node").sortWithinPartitions("label", "node")
+    leaves = staged(leaves, "sorted-labels")
+
     # by key and text, so that rows which share a key, or have none, don't meet each other
     whole = docs.select(F.col(key).alias("_key"), whole_text(F.col(text)).alias("text")).withColumn("_of_text", F.unhex(F.md5("text")))
-    wanted = wanted.join(whole, F.col("key").eqNullSafe(F.col("_key")) & (F.col("of_text") == F.col("_of_text"))).select("node", "weight", "in_buckets", "text")
-    member = _with_sets(wanted, words).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
-    member = member.select("*", other).withColumn("left", F.least("block", "other")).withColumn("right", F.greatest("block", "other"))
-    member = member.repartition(shuffle_partitions(spark), "bucket", "left", "right")
-    member = member.sortWithinPartitions("bucket", "left", "right", "node")
-    found = staged(_compared(member, trees, threshold), "links")
+    wanted = own.join(leaves.select("node").distinct(), "node")
+    wanted = wanted.join(whole, F.col("key").eqNullSafe(F.col("_key")) & (F.col("of_text") == F.col("_of_text")))
+    sets = staged(_with_sets(wanted.select("node", "weight", "labels", "text"), words), "sets")
+
+    found, seen, before = None, [], None
+    for depths in descent(last, depth):
+        masks = prefix_masks(depths, depth)
+        met = _met_in_round(leaves, sets, seen, masks, before, threshold)
+        found, before = met if found is None else found.union(met), masks
+        least = found.agg(F.min("least")).first()[0]
+        if least is not None and chance(least, depths) >= recall:
+            break
 
     links = found.groupBy("node").agg(F.sum("links").alias("links"))
     roots = components(found.select(F.col("node").alias("a"), F.col("root").alias("b"))).groupBy("node").agg(F.min("root").alias("root"))
