@@ -328,3 +328,14 @@ def test_chunk_search_fixed_reads_all_documents(spark):
     assert rows(got, "query_id", "rank", "chunk_id") == want
     sources = {r.chunk_id: r.source for r in pool}
     assert any(sources[name] != "src3" for _, _, name in want)
+
+
+def test_texts_are_split_once_and_in_bounded_pieces(spark):
+    """One Python step in the plan (a column function stood there twice), and a few texts at a time in it."""
+    docs = spark.createDataFrame([(i, f"Words {i}. " * (i % 90) or None, "s") for i in range(1300)], "d long, t string, s string").coalesce(1)
+    got = text.chunk_recursive(docs, "d", "t", keep=["s"])
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") + plan.count("ArrowEvalPython") == 1
+    want = [(f"{i}#{n}", i, "s", n, part) for i, t, _ in docs.collect() if t
+            for n, part in enumerate(text.split_text(t, text.CHUNK_SIZE, text.CHUNK_OVERLAP, text.SEPARATORS))]
+    assert rows(got, "chunk_id", "d", "s", "chunk_index", "chunk_text") == sorted(want, key=repr)

@@ -6,12 +6,15 @@ import re
 from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
 
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tierloom.functions.columns import first_match, money_text, part_label
 from tierloom.operators.alerts import CANCELLED, HIGH_VALUE, PENDING
+from tierloom.operators.batches import cuts
 from tierloom.session import carry_to_workers
 
 carry_to_workers(__name__)
@@ -41,6 +44,9 @@ CHUNK_SIZE = 400
 CHUNK_OVERLAP = 60
 SEPARATORS = ("\n\n", "\n", ". ", " ", "")
 
+#: Texts and bytes that a worker splits at a time.
+PIECE_ROWS, PIECE_BYTES = 500, 1 << 20
+
 
 def fill_template(template: str) -> Column:
     """A text with ``{column}`` and ``{$column}`` (money) places as one concatenation."""
@@ -130,12 +136,21 @@ def chunk_recursive(
     if not 0 <= overlap < size:
         raise ValueError("overlap must be at least 0 and below size")
 
-    @F.pandas_udf("array<string>")
-    def split(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda text: split_text(text, size, overlap, separators) if text else [])
-
-    chunked = docs.select(id_col, *keep, split(F.col(text_col)).alias("__chunks"))
-    return _numbered(chunked, id_col, "__chunks", keep)
+    # Not a function of the column: the optimizer would repeat it in the filter for texts with chunks, and so split twice.
+    picked = docs.select(id_col, *keep, F.col(text_col).alias("__text"))
+    schema = T.StructType([*picked.schema.fields[:-1], T.StructField("__chunks", T.ArrayType(T.StringType()))])
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = batch.column(batch.num_columns - 1)
+            lengths = pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False)
+            for begin, end in cuts(lengths, PIECE_ROWS, PIECE_BYTES):
+                part = texts.slice(begin, end - begin).to_pylist()
+                chunks = [split_text(text, size, overlap, separators) if text else [] for text in part]
+                columns = [column.slice(begin, end - begin) for column in batch.columns[:-1]]
+                yield pa.RecordBatch.from_arrays([*columns, pa.array(chunks, pa.list_(pa.string()))], names=schema.names)
+
+    return _numbered(picked.mapInArrow(split, schema), id_col, "__chunks", keep)
 
 
 def _numbered(chunked: DataFrame, id_col: str, chunks: str, keep: Sequence[str]) -> DataFrame:
