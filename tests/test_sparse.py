@@ -125,3 +125,32 @@ def test_bounds_skip_most_postings():
     assert sparse.best_of_block(norms, lists, question, float(target @ target), 5, floor)[2] <= read
     far = {bucket: 0.01 for bucket in (20, 21)}
     assert sparse.best_of_block(norms, lists, far, 0.0002, 5, 0.2)[2] == 0  # a block out of reach is not read
+
+
+def test_work_is_done_in_bounded_pieces(spark, texts, monkeypatch):
+    """However many rows a session puts into a batch, few tokens are counted at a time."""
+    import pyarrow as pa
+
+    words = pa.array([["a"] * n for n in (3, 0, 5, 900, 1)] * 40 + [None], pa.list_(pa.string()))
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(words))), words], names=["id", "tokens"])
+    monkeypatch.setattr(sparse, "PIECE_TOKENS", 10)
+    counted = []
+    monkeypatch.setattr(sparse, "_counted", lambda part, places, dim: counted.append(len(part.flatten())) or part)
+    ids = [i for columns in sparse._with_vectors(iter([batch]), 29) for i in columns[0].to_pylist()]
+    assert ids == list(range(len(words))) and sum(counted) == 909 * 40 and set(counted) <= {*range(11), 900}
+
+
+@pytest.mark.parametrize("by", [[], ["part"]])
+def test_postings_of_texts_are_those_of_their_vectors(spark, texts, by):
+    """One pass over the texts gives the blocks that their vectors give; the text does not go through Python."""
+    sizes = {"block_rows": 40, "block_values": 300}
+    one = sparse.text_postings(texts.coalesce(1), "vec_id", "text", by, dim=31, **sizes)
+    two = sparse.postings(sparse.embed_sparse(texts.coalesce(1), "text", 31, keep=["vec_id", "part"]), "vec_id", by, **sizes)
+    assert one.schema == two.schema and one.columns == two.columns
+    assert sorted(i for r in one.where(f"bucket = {sparse.HEADER}").collect() for i in r.ids) == sorted(
+        r.vec_id for r in sparse.embed_sparse(texts, "text", 31).where("size(sparse) > 0").collect())
+    drop = ["block"]  # their numbers and where they end may differ with the cuts
+    assert rows(one.drop(*drop).where("bucket >= 0").selectExpr("bucket", "explode(values) v")) == rows(
+        two.drop(*drop).where("bucket >= 0").selectExpr("bucket", "explode(values) v"))
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1

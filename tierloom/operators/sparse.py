@@ -3,7 +3,8 @@
 The vectors are those of ``vectors.embed``'s built-in encoder: tokens counted up or down in buckets, scaled to unit length. A text of
 sixty words fills sixty of two thousand buckets, so only these are kept.
 
-**Postings.** A task turns its rows into blocks of bounded size. A block has one row per bucket with the positions and values of
+**Postings.** A task turns its rows into blocks of bounded size; from texts it does so in the same pass that counts their tokens,
+a bounded number of them at a time. A block has one row per bucket with the positions and values of
 its vectors there and the least and largest value, and one header row with ids and squared lengths. Building shuffles nothing.
 Stored, it is sorted by bucket within a block, so a search reads the lists of the questions' buckets and the headers.
 
@@ -26,6 +27,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tierloom.operators.batches import cuts
 from tierloom.operators.vectors import HASH_DIM, QUERY_BLOCK, TOP_K, _Places, tokens
 from tierloom.session import carry_to_workers, shared_folder
 
@@ -41,30 +43,45 @@ NAMED_BUCKETS = 2_000
 NAMED_BLOCKS = 5_000
 #: Remembered tokens of a worker.
 MOST_PLACES = 200_000
+#: Rows and tokens that a worker counts at a time.
+PIECE_ROWS, PIECE_TOKENS = 5_000, 200_000
 
 #: Distances count to nine digits; sums in another order differ by less than this.
 SLACK = 2e-9
 HEADER = -1
 
 
-def embed_sparse(df: DataFrame, text_col: str, dim: int = HASH_DIM, vector_col: str = "sparse") -> DataFrame:
+def embed_sparse(df: DataFrame, text_col: str, dim: int = HASH_DIM, vector_col: str = "sparse",
+                 keep: Sequence[str] | None = None) -> DataFrame:
     """Add the unit-length vector of each text as an array of ``bucket, value`` by bucket, without zeros.
 
-    A text without tokens, or whose counts cancel out, and a null text have an empty array. Shuffles nothing.
+    A text without tokens, or whose counts cancel out, and a null text have an empty array. Shuffles nothing. ``keep`` names the
+    columns to return with it, all by default; others, such as the text, then are not sent to Python and back.
     """
-    if vector_col in df.columns:
+    kept = ["*"] if keep is None else keep
+    fields = df.select(*kept).schema.fields
+    if vector_col in [field.name for field in fields]:
         raise ValueError(f"there is a column {vector_col} already")
-    schema = T.StructType([*df.schema.fields, T.StructField(vector_col, SPARSE)])
+    schema = T.StructType([*fields, T.StructField(vector_col, SPARSE)])
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        places = _Places(dim)
-        for batch in batches:
+        for columns in _with_vectors(batches, dim):
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return df.select(*kept, tokens(text_col).alias("__tokens")).mapInArrow(count, schema)
+
+
+def _with_vectors(batches: Iterator[pa.RecordBatch], dim: int) -> Iterator[list[pa.Array]]:
+    """The columns of each piece of the batches, with vectors in place of the last one, lists of tokens."""
+    places = _Places(dim)
+    for batch in batches:
+        last = batch.num_columns - 1
+        lengths = batch.column(last).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        for begin, end in cuts(lengths, PIECE_ROWS, PIECE_TOKENS):
             if len(places) > MOST_PLACES:
                 places.clear()
-            found = _counted(batch.column(batch.num_columns - 1), places, dim)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], found], names=schema.names)
-
-    return df.select("*", tokens(text_col).alias("__tokens")).mapInArrow(count, schema)
+            part = batch.slice(begin, end - begin)
+            yield [*part.columns[:-1], _counted(part.column(last), places, dim)]
 
 
 def _counted(words: pa.Array, places: _Places, dim: int) -> pa.Array:
@@ -91,58 +108,73 @@ def postings(vectors: DataFrame, id_col: str, by: Sequence[str] = (), vector_col
     Empty vectors are left out; they are as far from every question as can be. A block holds one combination of the ``by`` columns,
     which a search can filter on; they should have few values. Ids should be unique; each row counts by itself.
     """
-    fields = vectors.schema
-    schema = T.StructType([
-        T.StructField("block", T.LongType()), *(fields[name] for name in by), T.StructField("bucket", T.IntegerType()),
-        T.StructField("rows", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.FloatType())),
-        T.StructField("low", T.FloatType()), T.StructField("high", T.FloatType()),
-        T.StructField("ids", T.ArrayType(fields[id_col].dataType)), T.StructField("norms", T.ArrayType(T.DoubleType())),
-    ])
+    schema = _postings_schema(vectors, id_col, by)
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = TaskContext.get().partitionId() << 32
-        held: dict[tuple, list] = {}
-        for batch in batches:
-            keys = list(zip(*(batch.column(1 + i).to_pylist() for i in range(len(by))))) if by else [()] * len(batch)
-            own: dict[tuple, list[int]] = {}
-            for i, value in enumerate(keys):
-                own.setdefault(value, []).append(i)
-            for value, rows in own.items():
-                part = batch.take(pa.array(rows, pa.int64())) if len(own) > 1 else batch
-                group = held.setdefault(value, [0, 0, []])
-                for begin, end in _cuts(part.column(part.num_columns - 1), block_rows, block_values):
-                    cut = part.slice(begin, end - begin)
-                    values = len(cut.column(cut.num_columns - 1).flatten())
-                    if group[2] and (group[0] + len(cut) > block_rows or group[1] + values > block_values):
-                        yield _block(number, value, group[2], schema)
-                        number += 1
-                        group[:] = 0, 0, []
-                    group[0] += len(cut)
-                    group[1] += values
-                    group[2].append(cut)
-        for value, (_, _, parts) in held.items():
-            if parts:
-                yield _block(number, value, parts, schema)
-                number += 1
+        yield from _blocks(batches, schema, len(by), block_rows, block_values)
 
     picked = vectors.where(F.size(vector_col) > 0).select(F.col(id_col).alias("__id"), *by, F.col(vector_col).alias("__vector"))
     return picked.mapInArrow(build, schema)
 
 
-def _cuts(column: pa.Array, most_rows: int, most_values: int) -> Iterator[tuple[int, int]]:
-    """Bounds of slices that fit a block."""
-    total = np.concatenate([[0], np.cumsum(column.value_lengths().to_numpy(zero_copy_only=False))])
-    begin = 0
-    while begin < len(column):
-        end = int(np.searchsorted(total, total[begin] + most_values, "right")) - 1
-        end = min(max(end, begin + 1), begin + most_rows, len(column))
-        yield begin, end
-        begin = end
+def text_postings(texts: DataFrame, id_col: str, text_col: str, by: Sequence[str] = (), dim: int = HASH_DIM,
+                  block_rows: int = BLOCK_ROWS, block_values: int = BLOCK_VALUES) -> DataFrame:
+    """The :func:`postings` of the vectors of :func:`embed_sparse`, in one pass over the texts by one worker for each task."""
+    schema = _postings_schema(texts, id_col, by)
+    names = ["id", *(f"by{i}" for i in range(len(by))), "vector"]
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        embedded = (pa.RecordBatch.from_arrays(columns, names=names) for columns in _with_vectors(batches, dim))
+        filled = (batch.filter(pc.greater(batch.column(len(by) + 1).value_lengths(), 0)) for batch in embedded)
+        yield from _blocks(filled, schema, len(by), block_rows, block_values)
+
+    picked = texts.select(F.col(id_col).alias("__id"), *by, tokens(text_col).alias("__tokens"))
+    return picked.mapInArrow(build, schema)
+
+
+def _postings_schema(rows: DataFrame, id_col: str, by: Sequence[str]) -> T.StructType:
+    fields = rows.schema
+    return T.StructType([
+        T.StructField("block", T.LongType()), *(fields[name] for name in by), T.StructField("bucket", T.IntegerType()),
+        T.StructField("rows", T.ArrayType(T.IntegerType())), T.StructField("values", T.ArrayType(T.FloatType())),
+        T.StructField("low", T.FloatType()), T.StructField("high", T.FloatType()),
+        T.StructField("ids", T.ArrayType(fields[id_col].dataType)), T.StructField("norms", T.ArrayType(T.DoubleType())),
+    ])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], schema: T.StructType, by: int, block_rows: int,
+            block_values: int) -> Iterator[pa.RecordBatch]:
+    """The blocks of a task's rows: id, ``by`` columns and vector."""
+    number = TaskContext.get().partitionId() << 32
+    held: dict[tuple, list] = {}
+    for batch in batches:
+        keys = list(zip(*(batch.column(1 + i).to_pylist() for i in range(by)))) if by else [()] * len(batch)
+        own: dict[tuple, list[int]] = {}
+        for i, value in enumerate(keys):
+            own.setdefault(value, []).append(i)
+        for value, rows in own.items():
+            part = batch.take(pa.array(rows, pa.int64())) if len(own) > 1 else batch
+            group = held.setdefault(value, [0, 0, []])
+            sizes = part.column(part.num_columns - 1).value_lengths().to_numpy(zero_copy_only=False)
+            for begin, end in cuts(sizes, block_rows, block_values):
+                values = int(sizes[begin:end].sum())
+                if group[2] and (group[0] + end - begin > block_rows or group[1] + values > block_values):
+                    yield _block(number, value, group[2], schema)
+                    number += 1
+                    group[:] = 0, 0, []
+                group[0] += end - begin
+                group[1] += values
+                group[2].append(part.slice(begin, end - begin))
+    for value, (_, _, parts) in held.items():
+        if parts:
+            yield _block(number, value, parts, schema)
+            number += 1
 
 
 def _block(number: int, value: tuple, parts: list[pa.RecordBatch], schema: T.StructType) -> pa.RecordBatch:
     """One block's rows, by bucket, the header first; its vectors stand in the order of their ids, so that places break ties."""
     whole = pa.Table.from_batches(parts).combine_chunks()
+    parts.clear()
     ids = whole.column(0).combine_chunks() if isinstance(whole.column(0), pa.ChunkedArray) else whole.column(0)
     vectors = whole.column(whole.num_columns - 1).combine_chunks()
     order = pc.sort_indices(ids).to_numpy()

@@ -332,7 +332,7 @@ def search_sql(stored: str, key: str, text: str, questions: dict[str, str], payl
 )
 def embed_hash(spark, sf_dir):
     """The vector of every document, as its parts that are not zero."""
-    embedded = sparse.embed_sparse(tt.table(spark, sf_dir, "documents").select("doc_id", "text"), "text")
+    embedded = sparse.embed_sparse(tt.table(spark, sf_dir, "documents"), "text", keep=["doc_id"])
     parts = embedded.select("doc_id", F.explode("sparse").alias("part"))
     return parts.select("doc_id", "part.bucket", F.round(F.col("part.value").cast("double"), 6).alias("value"))
 
@@ -436,8 +436,7 @@ def asked(spark, **questions):
 
 def searchable(spark, rows, id_col, text_col, by=()):
     """Stored posting lists of the texts of ``rows``."""
-    embedded = sparse.embed_sparse(rows.select(id_col, *by, text_col), text_col)
-    return stored(spark, sparse.postings(embedded, id_col, by), "postings")
+    return stored(spark, sparse.text_postings(rows, id_col, text_col, by), "postings")
 
 
 NOTE_QUESTIONS = {
