@@ -6,6 +6,7 @@ import zlib
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 import tiktoken
@@ -433,6 +434,37 @@ def test_crowded_anchors_go_by_window(small, crowded, monkeypatch):
     assert sorted_rows(got, "key", "n_removed") == sorted(((i, w[1]) for (i, _), w in zip(rows, want)), key=repr)
 
 
+def test_a_passage_of_many_texts_is_never_in_one_index(spark, monkeypatch):
+    """Its windows are counted by Spark; an index holds a shard's words and the segments of one uncrowded anchor more at most."""
+    pick = np.random.default_rng(3)
+    passage = " ".join(f"p{i}" for i in range(16))
+    around = [[" ".join(f"w{x}" for x in pick.integers(0, 10**6, 15)) for _ in range(2)] for _ in range(200)]
+    rows = [(i, f"{before} {passage} {after}") for i, (before, after) in enumerate(around)]
+    most = 500 + 5 * 100
+
+    class Bounded(fm_index.FMIndex):
+        def __init__(self, text, size):
+            assert len(text) <= most, f"{len(text)} words in one index"
+            fm_index.FMIndex.__init__(self, text, size)
+
+    monkeypatch.setattr(substring_dedup, "CROWDED", 5)
+    monkeypatch.setattr(substring_dedup, "SHARD_WORDS", 500)
+    monkeypatch.setattr(substring_dedup, "FMIndex", Bounded)
+    got = substring_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), window=12, anchor=5)
+    want = brute.without_repeats([text for _, text in rows], 12)
+    assert sorted_rows(got, "key", "n_removed", "kept_sha256") == sorted(
+        ((i, gone, brute.sha(kept)) for i, (_, gone, kept) in enumerate(want)), key=repr)
+    assert {gone for _, gone, _ in want} == {16}
+
+
+def test_texts_are_split_in_pieces_of_bounded_size():
+    texts = [b"a b " * 75_000] * 5 + [b"c"] * 1000 + [b"d " * 2_000_000]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts, pa.binary())], names=["row", "text"]).slice(1)
+    pieces = list(substring_dedup._pieces(batch, 1))
+    assert [i for piece in pieces for i in piece.column(0).to_pylist()] == list(range(1, len(texts)))
+    assert all(p.num_rows == 1 or p.num_rows <= 400 and sum(map(len, p.column(1).to_pylist())) <= 1 << 20 for p in pieces)
+
+
 def test_fm_index_counts_what_is_there():
     pick = np.random.default_rng(0)
     strings = [pick.integers(1, 5, pick.integers(1, 60)) for _ in range(30)]

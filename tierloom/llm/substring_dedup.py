@@ -6,28 +6,33 @@ neighbouring windows mostly share one. A run of windows with one anchor is a seg
 left out early, equal segments are kept once, and the others go to the shard of their anchor with their words. There the
 words get integer names, an index is built over the segments, and backward search gives the stretches that occur twice.
 
-An anchor with very many different segments, such as the edge of a passage that is in every other document, is dealt window by
-window instead, by the hash of the whole window.
+An anchor with very many different segments, such as the edge of a passage that is in every other document, gets no index. Its
+segments are cut into single windows, whose digests Spark counts, so that no task holds all texts with that passage.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tierloom.llm.common import SPACES, fresh_name, shuffle_partitions, staged, whole_text, with_unique_key, words_of
 from tierloom.llm.fm_index import FMIndex, repeated_stretches
+from tierloom.operators.batches import cuts
 
 WINDOW, ANCHOR = 35, 12
 #: Segments of an anchor before it is dealt window by window, words of one index.
 CROWDED, SHARD_WORDS = 1_000, 200_000
-#: A worker's remembered words are dropped beyond this count; the hashes stay the same.
-MOST_WORDS = 600_000
+#: A worker's remembered words, and its remembered segments, are dropped beyond this count; the results stay the same.
+MOST_WORDS = 100_000
+#: Texts and bytes of text that a worker splits into words at a time.
+MOST_TEXTS, MOST_BYTES = 400, 1 << 20
 
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -97,6 +102,13 @@ def segments(hashes: np.ndarray, bounds: np.ndarray, window: int, anchor: int) -
     return document[begin], place[begin] - bounds[document[begin]], count, anchors[begin], again
 
 
+def _pieces(batch: pa.RecordBatch, text: int) -> Iterator[pa.RecordBatch]:
+    """A batch in pieces with a bounded number of bytes in column ``text``, or a single row."""
+    sizes = pc.binary_length(batch.column(text)).to_numpy(zero_copy_only=False)
+    for begin, end in cuts(sizes, MOST_TEXTS, MOST_BYTES):
+        yield batch.slice(begin, end - begin)
+
+
 def _hashed(texts: list[list[bytes]], known: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     if len(known) > MOST_WORDS:
         known.clear()
@@ -119,8 +131,7 @@ def _anchored(docs: DataFrame, key: str, text: str, window: int, anchor: int) ->
     def run(batches):
         known = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 400):
-                part = batch.slice(at, 400)
+            for part in _pieces(batch, 2):
                 texts = [words_of(text) for text in part.column(2).to_pylist()]
                 flat, bounds = _hashed(texts, known)
                 document, _, _, anchors, again = segments(flat, bounds, window, anchor)
@@ -145,8 +156,7 @@ def _cut(texts: DataFrame, window: int, anchor: int, with_words: bool) -> DataFr
     def run(batches):
         known, seen = WordHashes(), set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 400):
-                part = batch.slice(at, 400)
+            for part in _pieces(batch, 1):
                 rows, found = part.column(0).to_pylist(), part.column(2).to_pylist()
                 texts = [words_of(text) for text in part.column(1).to_pylist()]
                 flat, bounds = _hashed(texts, known)
@@ -182,29 +192,25 @@ def _ranges(owner: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _by_window(crowded: DataFrame, window: int) -> DataFrame:
-    """Segments cut into single windows: ``anchor`` (of the whole window), ``segment, shift, words``."""
+    """Windows of segments cut one by one, each segment once: ``segment, begin, end, window``, the last a digest."""
+    segments = crowded.groupBy("segment").agg(F.first("words").cast("string").alias("words"))
+    words = segments.select("segment", F.split("words", " ").alias("words"))
+    begin = F.explode(F.sequence(F.lit(0), F.size("words") - window)).alias("begin")
+    own = F.unhex(F.md5(F.array_join(F.slice("words", F.col("begin") + 1, F.lit(window)), " ")))
+    return words.select("segment", begin, "words").select("segment", "begin", (F.col("begin") + window).alias("end"), own.alias("window"))
 
-    def run(batches):
-        for batch in batches:
-            out = []
-            for segment, joined in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                words = joined.split(b" ")
-                for shift in range(len(words) - window + 1):
-                    own = b" ".join(words[shift : shift + window])
-                    out.append((xxhash.xxh64_intdigest(own) - (1 << 63), segment, shift, own))
-            if out:
-                types = pa.int64(), pa.binary(), pa.int32(), pa.binary()
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
 
-    names = ["anchor", "segment", "shift", "words"]
-    return crowded.select("anchor", "segment", "words").mapInArrow(run, "anchor long, segment binary, shift int, words binary")
+def _repeated(windows: DataFrame) -> DataFrame:
+    """``segment, begin, end`` of the windows that occur twice."""
+    several = windows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window")
+    return windows.join(several, "window", "left_semi").select("segment", "begin", "end")
 
 
 def _searched(shards: DataFrame, window: int) -> DataFrame:
-    """``segment, begin, end`` of repeated stretches, from shards sorted by anchor, segment and shift."""
+    """``segment, begin, end`` of repeated stretches, from shards sorted by anchor and segment."""
 
-    def search(strings: list[tuple[bytes, int, bytes]]):
-        words = [joined.split(b" ") for _, _, joined in strings]
+    def search(strings: list[tuple[bytes, bytes]]):
+        words = [joined.split(b" ") for _, joined in strings]
         lengths = np.array([len(own) for own in words])
         names = {word: i for i, word in enumerate(sorted({w for own in words for w in own}), 1)}
         begins = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
@@ -213,24 +219,23 @@ def _searched(shards: DataFrame, window: int) -> DataFrame:
             text[begin : begin + len(own)] = [names[word] for word in own]
         index = FMIndex(text, len(names) + 1)
         owner, begin, end = repeated_stretches(index, text, begins, lengths, window)
-        shift = np.array([shift for _, shift, _ in strings])[owner]
         segment = [strings[i][0] for i in owner]
         return pa.RecordBatch.from_arrays(
-            [pa.array(segment, pa.binary()), pa.array(begin + shift, pa.int32()), pa.array(end + shift, pa.int32())],
+            [pa.array(segment, pa.binary()), pa.array(begin, pa.int32()), pa.array(end, pa.int32())],
             names=["segment", "begin", "end"],
         )
 
     def run(batches):
         strings, words, before, last = [], 0, None, None
         for batch in batches:
-            for anchor, segment, shift, joined in zip(*(batch.column(i).to_pylist() for i in range(4))):
-                if (segment, shift) == last:
+            for anchor, segment, joined in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if segment == last:
                     continue  # the same segment from another task
                 if anchor != before and words > SHARD_WORDS:
                     yield search(strings)
                     strings, words = [], 0
-                before, last = anchor, (segment, shift)
-                strings.append((segment, shift, joined))
+                before, last = anchor, segment
+                strings.append((segment, joined))
                 words += joined.count(b" ") + 2
         if strings:  # one segment can repeat a window within itself
             yield search(strings)
@@ -268,10 +273,12 @@ def repeated_passages(docs: DataFrame, key: str = "doc_id", text: str = "text",
     crowds = copies.groupBy("anchor").count().where(F.col("count") > CROWDED).select("anchor")
     crowds = staged(crowds, "crowded-anchors")
     once = _cut(wanted, window, anchor, True)
-    plain = once.join(crowds, "anchor", "left_anti").select("anchor", "segment", F.lit(0).alias("shift"), "words")
-    shards = plain.union(_by_window(once.join(crowds, "anchor", "left_semi"), window))
-    shards = shards.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor", "segment", "shift")
+    shards = once.join(crowds, "anchor", "left_anti").select("anchor", "segment", "words")
+    shards = shards.repartition(shuffle_partitions(spark), "anchor").sortWithinPartitions("anchor", "segment")
     stretches = staged(_searched(shards, window), "stretches")
+    if not crowds.isEmpty():
+        windows = staged(_by_window(once.join(crowds, "anchor", "left_semi"), window), "windows")
+        stretches = stretches.union(staged(_repeated(windows), "repeated-windows"))
 
     several = members.join(copies.where("n > 1").select("segment"), "segment", "left_semi")
     spans = several.select("row", F.col("start").alias("a"), (F.col("start") + F.col("windows") + window - 1).alias("b"))
@@ -296,14 +303,14 @@ def _without(texts: DataFrame) -> DataFrame:
     """``row, n_removed, kept_sha256, kept_text`` from ``row, text, ..., spans`` of words to leave out."""
 
     def run(batches):
-        for batch in batches:
-            out = []
-            for row, text, spans in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                words = words_of(text)
+        for part in (part for batch in batches for part in _pieces(batch, 1)):
+            out, bounds = [], np.append(0, np.cumsum(pc.list_value_length(part.column(2)).to_numpy(zero_copy_only=False)))
+            a, b = (x.to_numpy(zero_copy_only=False) for x in part.column(2).flatten().flatten())
+            for i, (row, text) in enumerate(zip(part.column(0).to_pylist(), part.column(1).to_pylist())):
+                words, own = words_of(text), slice(bounds[i], bounds[i + 1])
                 edges = np.zeros(len(words) + 1, np.int64)
-                for span in spans:
-                    edges[span["a"]] += 1
-                    edges[span["b"]] -= 1
+                np.add.at(edges, a[own], 1)
+                np.add.at(edges, b[own], -1)
                 gone = np.cumsum(edges)[:-1] > 0
                 left = b" ".join(word for word, drop in zip(words, gone.tolist()) if not drop)
                 out.append((row, int(gone.sum()), hashlib.sha256(left).hexdigest(), left.decode() if left else None))
